@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hangarline import schemas
 from hangarline.functions import round_places
 from hangarline.operators import audit, checks, dimensions, extract, facts, quality
 from hangarline.plans import kpis, pipeline, raw_kpis
@@ -76,9 +77,12 @@ def _candidate_tables(src: SourceTables) -> dict[str, DataFrame]:
 
 
 def _dq_audit(src: SourceTables) -> DataFrame:
-    marked = pipeline.marked_flights(src)
-    candidates = {"flights": pipeline.flights_candidate(marked), "unavailability": _all_unavailability(src)}
-    return audit.dq_audit(marked, pipeline.report_rows(src), candidates, {"aircraft": _aircraft(src)})
+    aircraft = _aircraft(src)
+    marked = quality.mark_overlaps(_repaired(src).drop("times_swapped"))
+    # BR-21 looks at one aircraft at a time, so unknown aircraft can be rolled up on their own.
+    unknown = checks.orphans(_flights(src), schemas.FLIGHTS.references[0], aircraft)
+    candidates = {"flights": facts.flights_fact(unknown), "unavailability": _all_unavailability(src)}
+    return audit.dq_audit(_repaired(src), marked, pipeline.report_rows(src), candidates, {"aircraft": aircraft})
 
 
 def _dq_summary(src: SourceTables) -> DataFrame:

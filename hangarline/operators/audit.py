@@ -77,14 +77,18 @@ def dropped_facts(candidates: dict[str, DataFrame], dimensions: dict[str, DataFr
 
 
 def dq_audit(
+    repaired: DataFrame,
     marked: DataFrame,
     reports: DataFrame,
     candidates: dict[str, DataFrame],
     dimensions: dict[str, DataFrame],
 ) -> DataFrame:
-    """All entries. `marked` are the flights after BR-23, marked by BR-21."""
+    """All entries. `repaired` are the flights after BR-23, `marked` the same marked by BR-21.
+
+    Where the marked flights are stored, pass them for both.
+    """
     return (
-        swapped_times(marked)
+        swapped_times(repaired)
         .unionByName(removed_overlaps(marked))
         .unionByName(dropped_reports(reports, dimensions["aircraft"]))
         .unionByName(dropped_facts(candidates, dimensions))

@@ -68,7 +68,8 @@ def daily_flights(kept: DataFrame) -> DataFrame:
 
 def flights_fact(flights: DataFrame) -> DataFrame:
     """BR-23, BR-21 and the roll-up; aircraft that are not in the dimension are still included."""
-    return daily_flights(without_overlaps(mark_overlaps(repair_swapped_times(flights))))
+    repaired = repair_swapped_times(flights).drop("times_swapped")
+    return daily_flights(without_overlaps(mark_overlaps(repaired)))
 
 
 SLOT_COLUMNS = ["aircraft_id", "start_date", "month_id", "type", "days"]

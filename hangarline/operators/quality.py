@@ -66,10 +66,10 @@ def mark_overlaps(flights: DataFrame) -> DataFrame:
     )
     day_keys = ["aircraft_id", "flight_day", "airborne"]
     in_day = Window.partitionBy(*day_keys).orderBy("actualdeparture", "actualarrival", *others)
-    next_day = Window.partitionBy("aircraft_id").orderBy("flight_day")
+    next_day = Window.partitionBy("aircraft_id", "airborne").orderBy("flight_day")
+    # No filter on airborne here: pushed down to the scan, it would repeat the repair expressions.
     day_starts = (
-        records.where("airborne")
-        .groupBy(*day_keys)
+        records.groupBy(*day_keys)
         .agg(F.min("actualdeparture").alias("first_departure"))
         .select(*day_keys, F.lead("first_departure").over(next_day).alias("next_day_departure"))
     )
@@ -80,7 +80,7 @@ def mark_overlaps(flights: DataFrame) -> DataFrame:
     """)
     return (
         records.withColumn("next_departure", F.lead("actualdeparture").over(in_day))
-        .join(day_starts, day_keys, "left")
+        .join(day_starts.hint("merge"), day_keys, "left")
         .select(*flights.columns, "copies", removed.alias("removed_copies"))
     )
 

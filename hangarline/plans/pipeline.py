@@ -1,5 +1,7 @@
 """Source tables to a published warehouse."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from hangarline import schemas
@@ -53,39 +55,50 @@ def fact_tables(src: SourceTables, aircraft: DataFrame) -> dict[str, DataFrame]:
 
 
 def run(spark: SparkSession, src: SourceTables, root: str) -> Warehouse:
-    """Full rebuild. Publishes only if the dimension keys hold; an error leaves the old run in place.
+    """Full rebuild. Publishes only if everything was written; an error leaves the old run in place.
 
-    Dimensions are written first and read back, so later joins know their true size. The marked
-    flights feed the fact and the audit; they are written once instead of being computed twice, which
-    also means a lost executor never repeats the overlap search.
+    Dimensions are read back after they are written, so later joins know their true size. The marked
+    flights feed the fact and the audit; they are stored instead of being computed twice, which also
+    means that a lost executor never repeats the overlap search for a later step. Steps that do not
+    depend on each other are submitted together, so that the end of one does not leave the cluster idle.
     """
     prepare(spark)
     warehouse = Warehouse.new_run(spark, root)
-
-    dims = {"aircraft": warehouse.write("aircraft", dimensions.aircraft_from_lookup(src.aircraft_lookup))}
-    checks.require_unique_key(dims["aircraft"], schemas.AIRCRAFT)
-    dims["date"] = warehouse.write("date", dimensions.dates(extract.calendar(src)))
-    dims["month"] = warehouse.write("month", dimensions.months(dims["date"]))
-
-    marked = warehouse.write("flights_checked", marked_flights(src))
     slots, reports = extract.maintenance(src.maintenance), report_rows(src)
-    candidates = {
-        "flights": warehouse.write("flights_daily", flights_candidate(marked)),
-        "unavailability": warehouse.write("unavailability_monthly", facts.unavailability_fact(slots)),
-    }
-    for spec in (schemas.FLIGHTS, schemas.UNAVAILABILITY):
-        warehouse.write(spec.name, loadable(candidates[spec.name], dims["aircraft"]))
-    warehouse.write(
-        "reports",
-        facts.reports_fact(
-            extract.postflight_reports(src.postflightreports),
-            extract.technical_logbook(src.technicallogbookorders),
-            dims["aircraft"],
-            extract.personnel(src.personnel),
-        ),
-    )
-    log = warehouse.write("dq_audit", audit.dq_audit(marked, reports, candidates, dims))
-    warehouse.write("dq_summary", audit.dq_summary(log, warehouse.tables()))
+
+    def write_aircraft() -> DataFrame:
+        written = warehouse.write("aircraft", dimensions.aircraft_from_lookup(src.aircraft_lookup))
+        checks.require_unique_key(written, schemas.AIRCRAFT)
+        return written
+
+    def write_calendar() -> None:
+        dates = warehouse.write("date", dimensions.dates(extract.calendar(src)))
+        warehouse.write("month", dimensions.months(dates))
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        calendar = pool.submit(write_calendar)
+        marking = pool.submit(lambda: warehouse.write("flights_checked", marked_flights(src)))
+        summing = pool.submit(lambda: warehouse.write("unavailability_monthly", facts.unavailability_fact(slots)))
+        aircraft = write_aircraft()
+        numbering = pool.submit(
+            lambda: warehouse.write(
+                "reports",
+                facts.reports_fact(
+                    extract.postflight_reports(src.postflightreports),
+                    extract.technical_logbook(src.technicallogbookorders),
+                    aircraft,
+                    extract.personnel(src.personnel),
+                ),
+            )
+        )
+        marked = marking.result()
+        candidates = {"flights": flights_candidate(marked), "unavailability": summing.result()}
+        entries = audit.dq_audit(marked, marked, reports, candidates, {"aircraft": aircraft})
+        auditing = pool.submit(lambda: warehouse.write("dq_audit", entries))
+        for name, candidate in candidates.items():
+            warehouse.write(name, loadable(candidate, aircraft))
+        for step in (calendar, numbering):
+            step.result()
+        warehouse.write("dq_summary", audit.dq_summary(auditing.result(), warehouse.tables()))
     warehouse.publish()
     return warehouse
-

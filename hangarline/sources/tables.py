@@ -3,7 +3,7 @@
 Every reader returns lazy DataFrames in the source's own column names; nothing is fetched here.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -37,6 +37,22 @@ JDBC_TABLES = {
 }
 
 
+# The source columns that are used.
+SOURCE_COLUMNS = {
+    "flights": [
+        "aircraftregistration",
+        "scheduleddeparture",
+        "scheduledarrival",
+        "actualdeparture",
+        "actualarrival",
+        "cancelled",
+    ],
+    "maintenance": ["aircraftregistration", "scheduleddeparture", "scheduledarrival", "programmed"],
+    "postflightreports": ["reporteurid", "aircraftregistration", "reportingdate", "reporteurclass"],
+    "technicallogbookorders": ["reporteurid", "aircraftregistration", "reportingdate", "reporteurclass"],
+}
+
+
 def jdbc_query(name: str) -> str:
     """Table or subquery to read. Tables used only for their registrations are reduced at the source."""
     table, split_column = JDBC_TABLES[name]
@@ -106,6 +122,18 @@ def parquet_tables(spark: SparkSession, folder: str, lookup_csv: str, personnel_
     )
 
 
+def landed(src: SourceTables, folder: str) -> SourceTables:
+    """Copies the four tables a build reads to parquet, so that a database is read once only.
+
+    The build reads flights several times (calendar, overlaps). Pointless for parquet sources.
+    """
+    needed = ("flights", "maintenance", "postflightreports", "technicallogbookorders")
+    for name in needed:
+        getattr(src, name).select(*SOURCE_COLUMNS[name]).write.parquet(f"{folder}/{name}")
+    spark = src.flights.sparkSession
+    return replace(src, **{name: spark.read.parquet(f"{folder}/{name}") for name in needed})
+
+
 def aircraft_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, schemas.AIRCRAFT_LOOKUP_FILE)
 
