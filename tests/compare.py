@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections import Counter
-from datetime import date, datetime
 
+SF_SMALL = "/root/testdata/sf0.001"
 TABLES = ("supplier", "lineitem", "orders", "events")
 
 
@@ -18,19 +17,9 @@ def connect(sf_dir: str):
     return con
 
 
-def _value(v):
-    if isinstance(v, float):
-        return None if math.isnan(v) else v
-    if isinstance(v, datetime):
-        return v.replace(tzinfo=None)
-    if isinstance(v, date):
-        return v
-    return v
-
-
 def _rows(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return Counter(tuple(_value(r[i]) for i in order) for r in rows)
+    return Counter(tuple(r[i] for i in order) for r in rows)
 
 
 KINDS = {
