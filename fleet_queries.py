@@ -30,8 +30,12 @@ def _flights(src: SourceTables) -> DataFrame:
     return extract.flights(src.flights)
 
 
-def _repaired(src: SourceTables) -> DataFrame:
-    return quality.repair_swapped_times(_flights(src))
+_repaired = pipeline.repaired_flights
+
+
+def _removed(src: SourceTables) -> DataFrame:
+    flights = _repaired(src).drop("times_swapped")
+    return quality.removed_flights(flights, quality.surviving_flights(quality.ordered_departures(flights)))
 
 
 def _flights_fact(src: SourceTables) -> DataFrame:
@@ -78,11 +82,10 @@ def _candidate_tables(src: SourceTables) -> dict[str, DataFrame]:
 
 def _dq_audit(src: SourceTables) -> DataFrame:
     aircraft = _aircraft(src)
-    marked = quality.mark_overlaps(_repaired(src).drop("times_swapped"))
     # BR-21 looks at one aircraft at a time, so unknown aircraft can be rolled up on their own.
     unknown = checks.orphans(_flights(src), schemas.FLIGHTS.references[0], aircraft)
     candidates = {"flights": facts.flights_fact(unknown), "unavailability": _all_unavailability(src)}
-    return audit.dq_audit(_repaired(src), marked, pipeline.report_rows(src), candidates, {"aircraft": aircraft})
+    return audit.dq_audit(_repaired(src), _removed(src), pipeline.report_rows(src), candidates, {"aircraft": aircraft})
 
 
 def _dq_summary(src: SourceTables) -> DataFrame:
@@ -137,12 +140,10 @@ QUERIES: dict[str, Query] = {
     "src_manufacturer_aircraft": lambda s: extract.manufacturer_aircraft(s.aircraft_lookup),
     # Quality rules
     "br23_flagged": lambda s: _flights(s).where("actualarrival < actualdeparture"),
-    "br23_swapped": lambda s: _repaired(s),
+    "br23_swapped": _repaired,
     "flight_measures": lambda s: facts.flight_measures(_repaired(s).drop("times_swapped")),
-    "br21_flagged": lambda s: quality.overlaps_only(quality.mark_overlaps(_repaired(s).drop("times_swapped"))),
-    "br21_kept": lambda s: quality.expand_copies(
-        quality.without_overlaps(quality.mark_overlaps(_repaired(s).drop("times_swapped")))
-    ),
+    "br21_flagged": _removed,
+    "br21_kept": lambda s: quality.without_overlaps(_repaired(s).drop("times_swapped")),
     "br_known_aircraft": lambda s: quality.with_known_aircraft(pipeline.report_rows(s), _aircraft(s)),
     "br_unknown_aircraft": lambda s: quality.with_unknown_aircraft(pipeline.report_rows(s), _aircraft(s)),
     "reports_union": pipeline.report_rows,
@@ -179,7 +180,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_utilization": lambda s: reconcile(_utilization(s), _raw_utilization(s)),
     "reconcile_reporting": lambda s: reconcile(_reporting(s), _raw_reporting(s)),
     "reconcile_reporting_role": lambda s: reconcile(
-        _reporting(s, per_role=True), _raw_reporting(s, per_role=True).withColumn("role", F.upper("role"))
+        _reporting(s, per_role=True), raw_kpis.upper_roles(_raw_reporting(s, per_role=True))
     ),
 }
 

@@ -34,20 +34,19 @@ def _entries(rows: DataFrame, rule: str, **columns: Column | str) -> DataFrame:
 
 
 def swapped_times(flights: DataFrame) -> DataFrame:
-    """Repaired flights, with the times as they arrived. `flights` may carry `copies`."""
+    """Repaired flights, with the times as they arrived."""
     return _entries(
         flights.where("times_swapped"),
         "BR-23",
         aircraft_id="aircraft_id",
         departure="actualarrival",
         arrival="actualdeparture",
-        **({"copies": "copies"} if "copies" in flights.columns else {}),
     )
 
 
-def removed_overlaps(marked: DataFrame) -> DataFrame:
+def removed_overlaps(removed: DataFrame) -> DataFrame:
     return _entries(
-        quality.overlaps_only(marked),
+        removed,
         "BR-21",
         aircraft_id="aircraft_id",
         departure="actualdeparture",
@@ -78,18 +77,15 @@ def dropped_facts(candidates: dict[str, DataFrame], dimensions: dict[str, DataFr
 
 def dq_audit(
     repaired: DataFrame,
-    marked: DataFrame,
+    removed: DataFrame,
     reports: DataFrame,
     candidates: dict[str, DataFrame],
     dimensions: dict[str, DataFrame],
 ) -> DataFrame:
-    """All entries. `repaired` are the flights after BR-23, `marked` the same marked by BR-21.
-
-    Where the marked flights are stored, pass them for both.
-    """
+    """All entries. `repaired` are the flights after BR-23, `removed` those BR-21 removes from them."""
     return (
         swapped_times(repaired)
-        .unionByName(removed_overlaps(marked))
+        .unionByName(removed_overlaps(removed))
         .unionByName(dropped_reports(reports, dimensions["aircraft"]))
         .unionByName(dropped_facts(candidates, dimensions))
     )

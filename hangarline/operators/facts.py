@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from hangarline.functions import false_if_null, micros_between
 from hangarline.functions.expressions import MICROS_PER_HOUR, MICROS_PER_MINUTE
 from hangarline.operators.quality import (
-    mark_overlaps,
+    contestable,
+    ordered_departures,
     repair_swapped_times,
     with_known_aircraft,
-    without_overlaps,
 )
 from hangarline.schemas import require_columns
 
@@ -50,26 +50,39 @@ def flight_measures(flights: DataFrame) -> DataFrame:
     )
 
 
-def daily_flights(kept: DataFrame) -> DataFrame:
-    """Flights (with `copies`) to one row per aircraft and day. Rows without a key do not count."""
-    total = {name: F.sum(value * F.col("copies")) for name, value in _measures().items()}
-    return (
-        kept.where("aircraft_id IS NOT NULL AND date_id IS NOT NULL")
-        .groupBy("aircraft_id", "date_id")
-        .agg(
-            (total["flight_micros"] / MICROS_PER_HOUR).alias("flight_hours"),
-            total["takeoff"].alias("takeoff"),
-            total["delays"].alias("delays"),
-            (total["delay_micros"] / MICROS_PER_MINUTE).alias("delay_minutes"),
-            total["cancellations"].alias("cancellations"),
-        )
+def measured_departures(flights: DataFrame) -> DataFrame:
+    """`ordered_departures` with the total measures of the flights BR-21 cannot remove."""
+    totals = {name: F.when(contestable(), 0).otherwise(value) for name, value in _measures().items()}
+    totals["uncontested"] = (~contestable()).cast("int")
+    return ordered_departures(flights, totals)
+
+
+def daily_flights(departures: DataFrame) -> DataFrame:
+    """Kept flights to one row per aircraft and day, from the uncontested totals and the survivors.
+
+    A day on which no flight is kept has no row, and neither have flights without aircraft or day.
+    """
+    kept = departures.where("survives OR uncontested > 0").where("aircraft_id IS NOT NULL AND date_id IS NOT NULL")
+    measured = kept.select(
+        "*",
+        F.col("departure").alias("actualdeparture"),
+        *[f"last.{c}" for c in ("actualarrival", "scheduledarrival", "cancelled")],
+    )
+    total = {
+        name: F.sum(F.col(name) + F.when(F.col("survives"), value).otherwise(0)) for name, value in _measures().items()
+    }
+    return measured.groupBy("aircraft_id", "date_id").agg(
+        (total["flight_micros"] / MICROS_PER_HOUR).alias("flight_hours"),
+        total["takeoff"].alias("takeoff"),
+        total["delays"].alias("delays"),
+        (total["delay_micros"] / MICROS_PER_MINUTE).alias("delay_minutes"),
+        total["cancellations"].alias("cancellations"),
     )
 
 
 def flights_fact(flights: DataFrame) -> DataFrame:
     """BR-23, BR-21 and the roll-up; aircraft that are not in the dimension are still included."""
-    repaired = repair_swapped_times(flights).drop("times_swapped")
-    return daily_flights(without_overlaps(mark_overlaps(repaired)))
+    return daily_flights(measured_departures(repair_swapped_times(flights).drop("times_swapped")))
 
 
 SLOT_COLUMNS = ["aircraft_id", "start_date", "month_id", "type", "days"]

@@ -1,5 +1,6 @@
 """Data-quality rules. Each keeps the rows it repairs or removes, so that they can be audited."""
 
+from collections.abc import Mapping
 from functools import reduce
 from operator import and_
 
@@ -26,95 +27,90 @@ def repair_swapped_times(flights: DataFrame) -> DataFrame:
     )
 
 
-def in_the_air() -> Column:
+def airborne() -> Column:
     """Flights that take part in BR-21: not cancelled, with aircraft and both times known."""
     known = [F.col(c).isNotNull() for c in ("aircraft_id", "actualdeparture", "actualarrival")]
     return reduce(and_, known, ~false_if_null(F.col("cancelled")))
 
 
-def mark_overlaps(flights: DataFrame) -> DataFrame:
-    """BR-21: a flight still in the air when the aircraft's next flight departs is to be removed.
+def contestable() -> Column:
+    """Flights BR-21 can remove: one without a duration ends before any later departure."""
+    return airborne() & (F.col("actualarrival") > F.col("actualdeparture"))
 
-    Flights are ordered per aircraft by departure, arrival and then the remaining columns, and each
-    is compared with its immediate successor only.
 
-    Returns one row per distinct flight with `copies`, the number of identical input rows, and
-    `removed_copies`, how many of them the rule removes.
+def ordered_departures(flights: DataFrame, totals: Mapping[str, Column] | None = None) -> DataFrame:
+    """BR-21 decided for one candidate per aircraft, scheduled day and departure.
 
-    Nothing is grouped by aircraft alone, as one aircraft may hold a large share of all flights:
+    Flights are ordered per aircraft by departure, arrival and then the remaining columns; one that is
+    still in the air when its immediate successor departs is removed.
 
-    * identical rows are counted first (combined before the shuffle). A copy is followed by the next
-      copy, so all but the last overlap exactly if the flight has a positive duration;
-    * the order is taken within (aircraft, day of departure);
-    * the last flight of a day is followed by the first one of the next day that has any. Those come
-      from a table with one row per aircraft and day, joined on the keys the window already
-      partitions and sorts by.
+    Of flights that leave at the same moment only the last in that order can survive, since each of the
+    others is followed by a departure before its arrival. So it is enough to compare one candidate, a
+    maximum that is combined before the shuffle, with the next departure. Any number of copies, or of
+    flights with the same placeholder departure, shrinks to one row per day.
+
+    Nothing is grouped by aircraft alone either, as one aircraft may hold a large share of all flights:
+    departures are ordered within (aircraft, day of departure). The last one of a day is followed by the
+    first of the next day that has any, from a table with one row per aircraft and day. That table is
+    merged on the keys the window already partitions and sorts by, so the departures are not shuffled
+    again for it.
+
+    Columns of the result: `aircraft_id`, `date_id`, `departure` (NULL for flights outside the rule),
+    `last` (the candidate's other columns, NULL if there is none), `survives`, and the sums `totals`
+    over all flights of the row.
     """
     require_columns(flights, FLIGHT_COLUMNS, "flights")
-    others = [c for c in flights.columns if c not in ("aircraft_id", "actualdeparture", "actualarrival")]
-    others.sort(key=lambda c: (c != "scheduledarrival", c != "date_id"))
-    records = (
-        flights.groupBy(*flights.columns)
-        .agg(F.count("*").alias("copies"))
-        .withColumns(
-            {
-                # Flights outside the rule are only spread out, by day as well.
-                "flight_day": F.coalesce(F.to_date("actualdeparture"), F.col("date_id")),
-                "airborne": in_the_air(),
-            }
+    rest = [c for c in flights.columns if c not in ("aircraft_id", "date_id", "actualdeparture")]
+    rest.sort(key=lambda c: (c != "actualarrival", c != "scheduledarrival"))
+    rest.insert(2, "date_id")
+    day_keys = ["aircraft_id", "departure_day"]
+    # Flights outside the rule are not filtered out: pushed down to the scan, the filter would evaluate
+    # the repair expressions of BR-23 many times. They collapse into one row per aircraft and day.
+    departures = (
+        flights.withColumn("departure", F.when(airborne(), F.col("actualdeparture")))
+        .groupBy("aircraft_id", "date_id", "departure")
+        .agg(
+            F.max(F.when(contestable(), F.struct(*rest))).alias("last"),
+            *[F.sum(value).alias(name) for name, value in (totals or {}).items()],
         )
+        .withColumn("departure_day", F.to_date("departure"))
     )
-    day_keys = ["aircraft_id", "flight_day", "airborne"]
-    in_day = Window.partitionBy(*day_keys).orderBy("actualdeparture", "actualarrival", *others)
-    next_day = Window.partitionBy("aircraft_id", "airborne").orderBy("flight_day")
-    # No filter on airborne here: pushed down to the scan, it would repeat the repair expressions.
+    in_day = Window.partitionBy(*day_keys).orderBy("departure", "last")
+    by_day = Window.partitionBy("aircraft_id").orderBy("departure_day")
     day_starts = (
-        records.groupBy(*day_keys)
-        .agg(F.min("actualdeparture").alias("first_departure"))
-        .select(*day_keys, F.lead("first_departure").over(next_day).alias("next_day_departure"))
+        departures.groupBy(*day_keys)
+        .agg(F.min("departure").alias("first_departure"))
+        .select(*day_keys, F.lead("first_departure").over(by_day).alias("next_day_departure"))
     )
-    removed = F.expr("""
-        CASE WHEN NOT airborne OR actualarrival <= actualdeparture THEN 0L
-             WHEN coalesce(next_departure, next_day_departure) < actualarrival THEN copies
-             ELSE copies - 1 END
-    """)
+    followed_by = F.coalesce("next_departure", "next_day_departure")
+    survives = F.col("last").isNotNull() & F.coalesce(followed_by >= F.col("last.actualarrival"), F.lit(True))
     return (
-        records.withColumn("next_departure", F.lead("actualdeparture").over(in_day))
+        departures.withColumn("next_departure", F.lead("departure").over(in_day))
         .join(day_starts.hint("merge"), day_keys, "left")
-        .select(*flights.columns, "copies", removed.alias("removed_copies"))
+        .select("aircraft_id", "date_id", "departure", "last", survives.alias("survives"), *(totals or {}))
     )
 
 
-def without_overlaps(marked: DataFrame) -> DataFrame:
-    """Flights BR-21 keeps, with the number of `copies` kept."""
-    return (
-        marked.where("copies > removed_copies")
-        .withColumn("copies", F.expr("copies - removed_copies"))
-        .drop("removed_copies")
-    )
+def surviving_flights(departures: DataFrame) -> DataFrame:
+    """The contestable flights BR-21 keeps."""
+    return departures.where("survives").select("aircraft_id", F.col("departure").alias("actualdeparture"), "last.*")
 
 
-def overlaps_only(marked: DataFrame) -> DataFrame:
-    """Flights BR-21 removes, with the number of `copies` removed."""
-    return marked.where("removed_copies > 0").withColumn("copies", F.col("removed_copies")).drop("removed_copies")
+def without_overlaps(flights: DataFrame) -> DataFrame:
+    """Every flight BR-21 keeps. Flights it cannot remove are not shuffled."""
+    survivors = surviving_flights(ordered_departures(flights))
+    return flights.where(~contestable()).unionByName(survivors.select(flights.columns))
 
 
-def expand_copies(counted: DataFrame, chunk: int = 10_000) -> DataFrame:
-    """Back to one row per copy. A row with very many copies is expanded by many tasks."""
-    columns = [c for c in counted.columns if c != "copies"]
-    few = counted.where(F.col("copies") <= chunk).select(
-        *columns, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")
-    )
-    chunks = counted.where(F.col("copies") > chunk).select(
-        *columns,
-        "copies",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {chunk}"))).alias("part"),
-    )
-    many = chunks.repartition(*columns, "part").select(
-        *columns,
-        F.explode(F.expr(f"sequence(part * {chunk} + 1, least(copies, (part + 1) * {chunk}))")).alias("copy"),
+def removed_flights(flights: DataFrame, survivors: DataFrame) -> DataFrame:
+    """The flights BR-21 removes: contestable ones minus survivors, equal rows counted as `copies`."""
+    candidates = flights.withColumn("copies", contestable().cast("long"))
+    return (
+        candidates.unionByName(survivors.select(*flights.columns, F.lit(-1).cast("long").alias("copies")))
+        .groupBy(*flights.columns)
+        .agg(F.sum("copies").alias("copies"))
+        .where("copies > 0")
     )
-    return few.unionByName(many).drop("copy")
 
 
 def with_known_aircraft(rows: DataFrame, aircraft: DataFrame) -> DataFrame:

@@ -125,6 +125,6 @@ def reporting(reports: DataFrame, flights: DataFrame, aircraft: DataFrame, per_r
     return reporting_rates(report_summary(reports, aircraft, per_role), flight_summary(flights, aircraft))
 
 
-def presented(kpis: DataFrame) -> DataFrame:
-    """Reading order of a KPI table, which has a few rows per manufacturer."""
-    return kpis.orderBy(*[c for c in ("manufacturer", "year", "role") if c in kpis.columns])
+def presented(result: DataFrame) -> DataFrame:
+    """Reading order of a KPI table or of the calendar, which are small."""
+    return result.orderBy(*[c for c in ("manufacturer", "date_id", "year", "role") if c in result.columns])

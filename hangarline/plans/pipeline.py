@@ -20,9 +20,8 @@ def dimension_tables(src: SourceTables) -> dict[str, DataFrame]:
     }
 
 
-def marked_flights(src: SourceTables) -> DataFrame:
-    """Flights after BR-23, marked by BR-21."""
-    return quality.mark_overlaps(quality.repair_swapped_times(extract.flights(src.flights)))
+def repaired_flights(src: SourceTables) -> DataFrame:
+    return quality.repair_swapped_times(extract.flights(src.flights))
 
 
 def report_rows(src: SourceTables) -> DataFrame:
@@ -31,10 +30,6 @@ def report_rows(src: SourceTables) -> DataFrame:
     )
 
 
-def flights_candidate(marked: DataFrame) -> DataFrame:
-    return facts.daily_flights(quality.without_overlaps(marked))
-
-
 def loadable(candidate: DataFrame, aircraft: DataFrame) -> DataFrame:
     """Fact rows on known aircraft. Their days and months come from tables the calendar covers."""
     return candidate.join(aircraft.select("aircraft_id"), "aircraft_id", "left_semi")
@@ -57,10 +52,11 @@ def fact_tables(src: SourceTables, aircraft: DataFrame) -> dict[str, DataFrame]:
 def run(spark: SparkSession, src: SourceTables, root: str) -> Warehouse:
     """Full rebuild. Publishes only if everything was written; an error leaves the old run in place.
 
-    Dimensions are read back after they are written, so later joins know their true size. The marked
-    flights feed the fact and the audit; they are stored instead of being computed twice, which also
-    means that a lost executor never repeats the overlap search for a later step. Steps that do not
-    depend on each other are submitted together, so that the end of one does not leave the cluster idle.
+    Dimensions are read back after they are written, so later joins know their true size. Repaired
+    flights and the outcome of BR-21 feed the fact and the audit; they are stored instead of being
+    computed twice, which also means that a lost executor never repeats the overlap search for a later
+    step. Steps that do not depend on each other are submitted together, so that the end of one does
+    not leave the cluster idle.
     """
     prepare(spark)
     warehouse = Warehouse.new_run(spark, root)
@@ -77,7 +73,7 @@ def run(spark: SparkSession, src: SourceTables, root: str) -> Warehouse:
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         calendar = pool.submit(write_calendar)
-        marking = pool.submit(lambda: warehouse.write("flights_checked", marked_flights(src)))
+        repairing = pool.submit(lambda: warehouse.write("flights_repaired", repaired_flights(src)))
         summing = pool.submit(lambda: warehouse.write("unavailability_monthly", facts.unavailability_fact(slots)))
         aircraft = write_aircraft()
         numbering = pool.submit(
@@ -91,9 +87,12 @@ def run(spark: SparkSession, src: SourceTables, root: str) -> Warehouse:
                 ),
             )
         )
-        marked = marking.result()
-        candidates = {"flights": flights_candidate(marked), "unavailability": summing.result()}
-        entries = audit.dq_audit(marked, marked, reports, candidates, {"aircraft": aircraft})
+        repaired = repairing.result()
+        flights = repaired.drop("times_swapped")
+        departures = warehouse.write("flight_departures", facts.measured_departures(flights))
+        removed = quality.removed_flights(flights, quality.surviving_flights(departures))
+        candidates = {"flights": facts.daily_flights(departures), "unavailability": summing.result()}
+        entries = audit.dq_audit(repaired, removed, reports, candidates, {"aircraft": aircraft})
         auditing = pool.submit(lambda: warehouse.write("dq_audit", entries))
         for name, candidate in candidates.items():
             warehouse.write(name, loadable(candidate, aircraft))

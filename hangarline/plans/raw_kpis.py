@@ -167,3 +167,8 @@ def reporting(
     role = ("role",) if per_role else ()
     counts = _reduced(written, ("report_count",), lookup, *role).drop("fleet")
     return reporting_rates(counts, flown)
+
+
+def upper_roles(rates: DataFrame) -> DataFrame:
+    """Roles spelled as in the warehouse, to compare the two."""
+    return rates.withColumn("role", F.upper("role"))

@@ -23,31 +23,29 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
     def aircraft(number, prefix: str = "AC-"):
         return F.concat(F.lit(prefix), number.cast("string")).alias("aircraftregistration")
 
-    flights = (
-        lineitem.selectExpr(
-            "l_suppkey",
-            "l_orderkey",
-            "CAST(l_quantity AS INT) * 30 AS planned",
-            "(CAST(round(l_discount * 100) AS INT) - 5) * 10 AS drift",
-            "l_linenumber * 5 AS pushback",
-            "timestampadd(MINUTE, (l_partkey % 24) * 60, l_shipdate) AS scheduleddeparture",
-            "l_returnflag = 'R' AND l_orderkey % 10 = 0 AS cancelled",
-        )
-        .selectExpr(
-            "*",
-            "timestampadd(MINUTE, CAST(planned AS BIGINT), scheduleddeparture) AS scheduledarrival",
-            "timestampadd(MINUTE, CAST(pushback AS BIGINT), scheduleddeparture) AS off",
-            "CASE WHEN l_orderkey % 97 <> 0 THEN"
-            " timestampadd(MINUTE, CAST(pushback + planned + drift AS BIGINT), scheduleddeparture) END AS `on`",
-        )
-        .select(
-            aircraft(F.col("l_suppkey")),
-            "scheduleddeparture",
-            "scheduledarrival",
-            F.expr("CASE WHEN l_orderkey % 50 = 0 THEN coalesce(`on`, off) ELSE off END").alias("actualdeparture"),
-            F.expr("CASE WHEN l_orderkey % 50 = 0 THEN off ELSE `on` END").alias("actualarrival"),
-            "cancelled",
-        )
+    # Minutes after midnight of the ship day; one timestamp addition per column at the end.
+    minutes = lineitem.selectExpr(
+        "l_suppkey",
+        "l_shipdate",
+        "(l_partkey % 24) * 60 AS departs",
+        "CAST(l_quantity AS INT) * 30 AS lasts",
+        "(l_partkey % 24) * 60 + l_linenumber * 5 AS off",
+        "CASE WHEN l_orderkey % 97 <> 0 THEN (l_partkey % 24) * 60 + l_linenumber * 5 + CAST(l_quantity AS INT) * 30"
+        " + (CAST(round(l_discount * 100) AS INT) - 5) * 10 END AS landed",
+        "l_orderkey % 50 = 0 AS entered_backwards",
+        "l_returnflag = 'R' AND l_orderkey % 10 = 0 AS cancelled",
+    )
+
+    def moment(minute: str, name: str):
+        return F.expr(f"timestampadd(MINUTE, {minute}, l_shipdate)").alias(name)
+
+    flights = minutes.select(
+        aircraft(F.col("l_suppkey")),
+        moment("departs", "scheduleddeparture"),
+        moment("departs + lasts", "scheduledarrival"),
+        moment("IF(entered_backwards, coalesce(landed, off), off)", "actualdeparture"),
+        moment("IF(entered_backwards, off, landed)", "actualarrival"),
+        "cancelled",
     )
     slot_start = "timestampadd(MINUTE, (o_custkey % 24) * 60, o_orderdate)"
     maintenance = orders.select(

@@ -9,20 +9,18 @@ from builders import FLIGHT_SCHEMA, at, by_aircraft, flight, flights_frame
 
 from hangarline.operators import facts, quality
 
-COLUMNS = quality.FLIGHT_COLUMNS
-
-
 def fact(spark, rows):
     return by_aircraft(facts.flights_fact(flights_frame(spark, rows)))
 
 
+def removed_flights(flights):
+    return quality.removed_flights(flights, quality.surviving_flights(quality.ordered_departures(flights)))
+
+
 def kept_and_removed(spark, rows):
-    marked = quality.mark_overlaps(flights_frame(spark, rows)).select(*COLUMNS, "copies", "removed_copies").collect()
-    kept, removed = Counter(), Counter()
-    for row in marked:
-        kept[tuple(row[:6])] += row.copies - row.removed_copies
-        removed[tuple(row[:6])] += row.removed_copies
-    return +kept, +removed
+    flights = flights_frame(spark, rows)
+    kept = Counter(map(tuple, quality.without_overlaps(flights).collect()))
+    return kept, Counter({tuple(r[:6]): r.copies for r in removed_flights(flights).collect()})
 
 
 def sequential_rule(rows):
@@ -162,14 +160,16 @@ def test_overlaps_agree_with_a_sequential_loop(spark, seed):
     assert kept_and_removed(spark, rows) == sequential_rule(rows)
 
 
-def test_kept_and_removed_add_up_and_expand(spark):
-    rows = [flight("A", "08:00", "10:00")] * 25 + [flight("B", "08:00", "08:00")] * 25 + [flight("C", "09:00", None)]
-    marked = quality.mark_overlaps(flights_frame(spark, rows))
-    kept, removed = quality.without_overlaps(marked), quality.overlaps_only(marked)
-    for chunk in (10, 100):  # more and fewer copies than a chunk
-        expanded = [quality.expand_copies(part, chunk) for part in (kept, removed)]
-        assert [part.count() for part in expanded] == [1 + 25 + 1, 24]
-        assert expanded[0].columns == COLUMNS
+def test_many_flights_with_one_placeholder_departure_leave_the_last(spark):
+    start = datetime(1900, 1, 1)
+    rows = [
+        ("A", start.date(), start, start + timedelta(days=30000, minutes=m), start + timedelta(minutes=m % 7), False)
+        for m in range(500)
+    ]
+    after = flight("A", "2024-01-01 08:00", "2024-01-01 10:00")
+    kept, removed = kept_and_removed(spark, [*rows, after, flight("B", "09:00", "10:00")])
+    assert kept[rows[-1]] == 1 and sum(kept.values()) == 3  # it lands in 1982
+    assert sum(removed.values()) == 499
 
 
 def test_delay_counts_from_more_than_fifteen_minutes_in_full(spark):
@@ -217,11 +217,12 @@ def test_day_without_kept_flights_has_no_row(spark):
 
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="scheduledarrival"):
-        quality.mark_overlaps(flights_frame(spark, []).drop("scheduledarrival"))
+        quality.ordered_departures(flights_frame(spark, []).drop("scheduledarrival"))
 
 
 def test_extra_columns_stay_with_their_flights(spark):
     schema = FLIGHT_SCHEMA + ", number int"
     rows = [(*flight("A", "08:00", "11:00"), 1), (*flight("A", "10:00", "12:00"), 2)]
-    marked = quality.mark_overlaps(spark.createDataFrame(rows, schema))
-    assert [r.number for r in quality.overlaps_only(marked).collect()] == [1]
+    flights = spark.createDataFrame(rows, schema)
+    assert [r.number for r in quality.without_overlaps(flights).collect()] == [2]
+    assert [r.number for r in removed_flights(flights).collect()] == [1]
