@@ -6,7 +6,9 @@ row number for report ids, COUNT(DISTINCT) for the raw KPIs), not the way the Sp
 
 from __future__ import annotations
 
-PRELUDE = """
+import re
+
+_PRELUDE = """
 WITH fleet AS (SELECT count(*) AS n FROM supplier),
 lookup_file AS (
   SELECT concat(' ac-', s_suppkey, ' ') AS aircraft_reg_code, concat('M', s_nationkey % 7) AS aircraft_model,
@@ -188,137 +190,112 @@ flights_year AS (
 ),
 unavailability_year AS (
   SELECT aircraft_id, CAST(month_id // 100 AS INTEGER) AS year,
-         sum(CASE WHEN type = 'SCHEDULED' THEN days ELSE 0 END) AS scheduled_days,
-         sum(CASE WHEN type = 'UNSCHEDULED' THEN days ELSE 0 END) AS unscheduled_days,
-         sum(days) AS total_days
+         coalesce(sum(days) FILTER (type = 'SCHEDULED'), 0) AS scheduled_days,
+         coalesce(sum(days) FILTER (type = 'UNSCHEDULED'), 0) AS unscheduled_days, sum(days) AS total_days
   FROM fact_unavailability GROUP BY ALL
 ),
 aircraft_year AS (
-  SELECT f.*, coalesce(u.scheduled_days, 0) AS scheduled_days, coalesce(u.unscheduled_days, 0) AS unscheduled_days,
-         coalesce(u.total_days, 0) AS total_days
-  FROM flights_year f LEFT JOIN unavailability_year u ON f.aircraft_id = u.aircraft_id AND f.year = u.year
+  SELECT * REPLACE (coalesce(scheduled_days, 0) AS scheduled_days, coalesce(unscheduled_days, 0) AS unscheduled_days,
+                    coalesce(total_days, 0) AS total_days)
+  FROM flights_year LEFT JOIN unavailability_year USING (aircraft_id, year)
+),
+fleet_year AS (
+  SELECT manufacturer, year, avg(flight_hours) AS hours, avg(takeoff) AS starts, avg(scheduled_days) AS planned,
+         avg(unscheduled_days) AS unplanned, avg(total_days) AS grounded, 365 - avg(total_days) AS available,
+         sum(takeoff) AS takeoffs, sum(delays) AS delays, sum(cancellations) AS cancellations,
+         sum(delay_minutes) AS minutes
+  FROM aircraft_year JOIN dim_aircraft USING (aircraft_id) GROUP BY ALL
 ),
 kpi_utilization AS (
-  SELECT ac.manufacturer, c.year,
-         round(avg(c.flight_hours) * 100) / 100 AS fh,
-         round(avg(c.takeoff) * 100) / 100 AS take_offs,
-         round(avg(c.scheduled_days) * 100) / 100 AS adoss,
-         round(avg(c.unscheduled_days) * 100) / 100 AS adosu,
-         round(avg(c.total_days) * 100) / 100 AS ados,
-         round((365 - avg(c.total_days)) * 100) / 100 AS adis,
-         round(avg(c.flight_hours) / nullif((365 - avg(c.total_days)) * 24, 0) * 100) / 100 AS du,
-         round(avg(c.takeoff) / nullif(365 - avg(c.total_days), 0) * 100) / 100 AS dc,
-         100 * (round(sum(c.delays) / nullif(sum(c.takeoff), 0) * 10000) / 10000) AS dyr,
-         100 * (round(sum(c.cancellations) / nullif(sum(c.takeoff), 0) * 10000) / 10000) AS cnr,
-         100 - round(100 * (sum(c.delays) + sum(c.cancellations)) / nullif(sum(c.takeoff), 0) * 100) / 100 AS tdr,
-         round(100 * sum(c.delay_minutes) / nullif(sum(c.delays), 0) * 100) / 100 AS avg_delay_x100
-  FROM aircraft_year c JOIN dim_aircraft ac ON c.aircraft_id = ac.aircraft_id
-  GROUP BY ac.manufacturer, c.year
+  SELECT manufacturer, year, {r2:hours} AS fh, {r2:starts} AS take_offs, {r2:planned} AS adoss,
+         {r2:unplanned} AS adosu, {r2:grounded} AS ados, {r2:available} AS adis,
+         {r2:hours / nullif(available * 24, 0)} AS du, {r2:starts / nullif(available, 0)} AS dc,
+         100 * {r4:delays / nullif(takeoffs, 0)} AS dyr, 100 * {r4:cancellations / nullif(takeoffs, 0)} AS cnr,
+         100 - {r2:100 * (delays + cancellations) / nullif(takeoffs, 0)} AS tdr,
+         {r2:100 * minutes / nullif(delays, 0)} AS avg_delay_x100
+  FROM fleet_year
 ),
 flight_summary AS (
-  SELECT a.manufacturer, CAST(year(f.date_id) AS INTEGER) AS year, sum(f.flight_hours) AS flight_hours,
-         CAST(sum(f.takeoff) AS BIGINT) AS flight_cycles
-  FROM fact_flights f JOIN dim_aircraft a ON f.aircraft_id = a.aircraft_id GROUP BY ALL
-),
-report_summary AS (
-  SELECT a.manufacturer, CAST(year(r.date_id) AS INTEGER) AS year, count(*) AS report_count
-  FROM fact_reports r JOIN dim_aircraft a ON r.aircraft_id = a.aircraft_id
-  WHERE r.source = 'POSTFLIGHTREPORT' GROUP BY ALL
+  SELECT manufacturer, CAST(year(date_id) AS INTEGER) AS year, sum(flight_hours) AS flight_hours,
+         CAST(sum(takeoff) AS BIGINT) AS flight_cycles
+  FROM fact_flights JOIN dim_aircraft USING (aircraft_id) GROUP BY ALL
 ),
 report_summary_role AS (
-  SELECT a.manufacturer, CAST(year(r.date_id) AS INTEGER) AS year, r.reporter_class AS role, count(*) AS report_count
-  FROM fact_reports r JOIN dim_aircraft a ON r.aircraft_id = a.aircraft_id
-  WHERE r.source = 'POSTFLIGHTREPORT' GROUP BY ALL
+  SELECT manufacturer, CAST(year(date_id) AS INTEGER) AS year, reporter_class AS role, count(*) AS report_count
+  FROM fact_reports JOIN dim_aircraft USING (aircraft_id) WHERE source = 'POSTFLIGHTREPORT' GROUP BY ALL
 ),
-kpi_reporting AS (
-  SELECT r.manufacturer, r.year,
-         1000 * (round(r.report_count / nullif(f.flight_hours, 0) * 1000) / 1000) AS rrh,
-         100 * (round(r.report_count / nullif(f.flight_cycles, 0) * 100) / 100) AS rrc
-  FROM report_summary r JOIN flight_summary f ON r.manufacturer = f.manufacturer AND r.year = f.year
+report_summary AS (
+  SELECT manufacturer, year, CAST(sum(report_count) AS BIGINT) AS report_count FROM report_summary_role GROUP BY ALL
 ),
+kpi_reporting AS (SELECT manufacturer, year, {rates} FROM report_summary JOIN flight_summary USING (manufacturer, year)),
 kpi_reporting_role AS (
-  SELECT r.manufacturer, r.year, r.role,
-         1000 * (round(r.report_count / nullif(f.flight_hours, 0) * 1000) / 1000) AS rrh,
-         100 * (round(r.report_count / nullif(f.flight_cycles, 0) * 100) / 100) AS rrc
-  FROM report_summary_role r JOIN flight_summary f ON r.manufacturer = f.manufacturer AND r.year = f.year
+  SELECT manufacturer, year, role, {rates} FROM report_summary_role JOIN flight_summary USING (manufacturer, year)
 ),
 maker AS (
-  SELECT registration, CASE WHEN registration IN (SELECT aircraft_id FROM lookup WHERE manufacturer = 'Airbus')
-                            THEN 'Airbus'
-                            WHEN registration IN (SELECT aircraft_id FROM lookup WHERE manufacturer = 'Boeing')
-                            THEN 'Boeing' ELSE registration END AS manufacturer
-  FROM (SELECT aircraftregistration AS registration FROM s_flights
-        UNION SELECT aircraftregistration FROM s_maintenance
-        UNION SELECT aircraftregistration FROM s_reports)
+  SELECT aircraft_id AS registration, min(manufacturer) AS name
+  FROM lookup WHERE manufacturer IN ('Airbus', 'Boeing') GROUP BY ALL
+),
+raw_flight AS (
+  SELECT aircraftregistration AS aircraft_id, coalesce(name, aircraftregistration) AS manufacturer,
+         CAST(year(scheduleddeparture) AS INTEGER) AS year, cancelled,
+         date_diff('microsecond', actualdeparture, actualarrival) AS flown,
+         coalesce(date_diff('microsecond', scheduledarrival, actualarrival), 0) AS late
+  FROM s_flights LEFT JOIN maker ON registration = aircraftregistration
+),
+raw_slot AS (
+  SELECT aircraftregistration AS aircraft_id, coalesce(name, aircraftregistration) AS manufacturer,
+         CAST(year(scheduleddeparture) AS INTEGER) AS year, coalesce(programmed, false) AS programmed,
+         date_diff('microsecond', scheduleddeparture, scheduledarrival) AS lasted
+  FROM s_maintenance LEFT JOIN maker ON registration = aircraftregistration
 ),
 atomic AS (
-  SELECT f.aircraftregistration AS aircraft_id, m.manufacturer,
-         CAST(year(f.scheduleddeparture) AS INTEGER) AS year,
-         CASE WHEN f.cancelled THEN 0 ELSE date_diff('microsecond', f.actualdeparture, f.actualarrival) END
-           AS flight_micros,
-         CASE WHEN f.cancelled THEN 0 ELSE 1 END AS flight_cycles,
-         CASE WHEN f.cancelled THEN 1 ELSE 0 END AS cancellations,
-         CASE WHEN f.cancelled THEN 0
-              WHEN date_diff('microsecond', f.scheduledarrival, f.actualarrival) > 900000000 THEN 1 ELSE 0 END
-           AS delays,
-         CASE WHEN f.cancelled THEN 0
-              WHEN date_diff('microsecond', f.scheduledarrival, f.actualarrival) > 900000000
-              THEN date_diff('microsecond', f.scheduledarrival, f.actualarrival) ELSE 0 END AS delay_micros,
-         0 AS scheduled_micros, 0 AS unscheduled_micros
-  FROM s_flights f JOIN maker m ON f.aircraftregistration = m.registration
-  UNION ALL
-  SELECT s.aircraftregistration, m.manufacturer, CAST(year(s.scheduleddeparture) AS INTEGER), 0, 0, 0, 0, 0,
-         CASE WHEN s.programmed THEN date_diff('microsecond', s.scheduleddeparture, s.scheduledarrival) ELSE 0 END,
-         CASE WHEN s.programmed THEN 0 ELSE date_diff('microsecond', s.scheduleddeparture, s.scheduledarrival) END
-  FROM s_maintenance s JOIN maker m ON s.aircraftregistration = m.registration
+  SELECT aircraft_id, manufacturer, year, if(cancelled, 0, flown) AS flight_micros,
+         CAST(NOT cancelled AS INTEGER) AS flight_cycles, CAST(cancelled AS INTEGER) AS cancellations,
+         CAST(NOT cancelled AND late > 900000000 AS INTEGER) AS delays,
+         if(NOT cancelled AND late > 900000000, late, 0) AS delay_micros, 0 AS scheduled_micros,
+         0 AS unscheduled_micros
+  FROM raw_flight
+  UNION ALL BY NAME
+  SELECT aircraft_id, manufacturer, year, 0 AS flight_micros, 0 AS flight_cycles, 0 AS cancellations, 0 AS delays,
+         0 AS delay_micros, if(programmed, lasted, 0) AS scheduled_micros, if(programmed, 0, lasted) AS unscheduled_micros
+  FROM raw_slot
 ),
 raw_totals AS (
-  SELECT manufacturer, year, count(DISTINCT aircraft_id) AS fleet,
+  SELECT manufacturer, year, nullif(count(DISTINCT aircraft_id), 0) AS fleet,
          sum(flight_micros) / 3600000000.0::DOUBLE AS hours, CAST(sum(flight_cycles) AS BIGINT) AS cycles,
          CAST(sum(cancellations) AS BIGINT) AS cancellations, CAST(sum(delays) AS BIGINT) AS delays,
-         sum(delay_micros) / 60000000.0::DOUBLE AS minutes,
-         sum(scheduled_micros) / 86400000000.0::DOUBLE AS sched, sum(unscheduled_micros) / 86400000000.0::DOUBLE AS unsched
-  FROM atomic GROUP BY manufacturer, year
+         sum(delay_micros) / 60000000.0::DOUBLE AS minutes, sum(scheduled_micros) / 86400000000.0::DOUBLE AS planned,
+         sum(unscheduled_micros) / 86400000000.0::DOUBLE AS unplanned
+  FROM atomic GROUP BY ALL
 ),
 raw_rounded AS (
-  SELECT *, round(hours / nullif(fleet, 0) * 100) / 100 AS fh, cycles // nullif(fleet, 0) AS take_offs,
-         round(sched / nullif(fleet, 0) * 100) / 100 AS adoss, round(unsched / nullif(fleet, 0) * 100) / 100 AS adosu,
-         round((sched + unsched) / nullif(fleet, 0) * 100) / 100 AS ados
+  SELECT *, {r2:hours / fleet} AS fh, cycles // fleet AS take_offs, {r2:planned / fleet} AS adoss,
+         {r2:unplanned / fleet} AS adosu, {r2:(planned + unplanned) / fleet} AS ados
   FROM raw_totals
 ),
 raw_kpi_utilization AS (
   SELECT manufacturer, year, fh, take_offs, adoss, adosu, ados, 365 - ados AS adis,
-         round(fh / nullif((365 - ados) * 24, 0) * 100) / 100 AS du,
-         round(take_offs / nullif(365 - ados, 0) * 100) / 100 AS dc,
-         100 * (round(delays / nullif(cycles, 0) * 10000) / 10000) AS dyr,
-         100 * (round(cancellations / nullif(cycles, 0) * 10000) / 10000) AS cnr,
+         {r2:fh / nullif((365 - ados) * 24, 0)} AS du, {r2:take_offs / nullif(365 - ados, 0)} AS dc,
+         100 * {r4:delays / nullif(cycles, 0)} AS dyr, 100 * {r4:cancellations / nullif(cycles, 0)} AS cnr,
          100 - (100 * (delays + cancellations)) // nullif(cycles, 0) AS tdr,
-         100 * (round(minutes / nullif(delays, 0) * 100) / 100) AS avg_delay_x100
+         100 * {r2:minutes / nullif(delays, 0)} AS avg_delay_x100
   FROM raw_rounded
 ),
 raw_flown AS (
-  SELECT m.manufacturer, CAST(year(f.scheduleddeparture) AS INTEGER) AS year,
-         sum(CASE WHEN f.cancelled THEN 0 ELSE date_diff('microsecond', f.actualdeparture, f.actualarrival) END)
-           / 3600000000.0::DOUBLE AS hours,
-         sum(CASE WHEN f.cancelled THEN 0 ELSE 1 END) AS cycles
-  FROM s_flights f JOIN maker m ON f.aircraftregistration = m.registration GROUP BY ALL
-),
-raw_written AS (
-  SELECT m.manufacturer, CAST(year(r.reportingdate) AS INTEGER) AS year, r.reporteurclass AS role,
-         count(*) AS report_count
-  FROM s_reports r JOIN maker m ON r.aircraftregistration = m.registration
-  WHERE r.source = 'postflightreport' GROUP BY ALL
-),
-raw_kpi_reporting AS (
-  SELECT r.manufacturer, r.year, 1000 * (round(r.report_count / nullif(f.hours, 0) * 1000) / 1000) AS rrh,
-         100 * (round(r.report_count / nullif(f.cycles, 0) * 100) / 100) AS rrc
-  FROM (SELECT manufacturer, year, sum(report_count) AS report_count FROM raw_written GROUP BY ALL) r
-  JOIN raw_flown f ON r.manufacturer = f.manufacturer AND r.year = f.year
-),
+  SELECT manufacturer, year, sum(if(cancelled, 0, flown)) / 3600000000.0::DOUBLE AS flight_hours,
+         count(*) FILTER (NOT cancelled) AS flight_cycles
+  FROM raw_flight GROUP BY ALL
+),
+raw_written_role AS (
+  SELECT coalesce(name, aircraftregistration) AS manufacturer, CAST(year(reportingdate) AS INTEGER) AS year,
+         reporteurclass AS role, count(*) AS report_count
+  FROM s_reports LEFT JOIN maker ON registration = aircraftregistration
+  WHERE source = 'postflightreport' GROUP BY ALL
+),
+raw_written AS (SELECT manufacturer, year, sum(report_count) AS report_count FROM raw_written_role GROUP BY ALL),
+raw_kpi_reporting AS (SELECT manufacturer, year, {rates} FROM raw_written JOIN raw_flown USING (manufacturer, year)),
 raw_kpi_reporting_role AS (
-  SELECT r.manufacturer, r.year, r.role, 1000 * (round(r.report_count / nullif(f.hours, 0) * 1000) / 1000) AS rrh,
-         100 * (round(r.report_count / nullif(f.cycles, 0) * 100) / 100) AS rrc
-  FROM raw_written r JOIN raw_flown f ON r.manufacturer = f.manufacturer AND r.year = f.year
+  SELECT manufacturer, year, role, {rates} FROM raw_written_role JOIN raw_flown USING (manufacturer, year)
 ),
 dq_audit AS (
   SELECT rule, aircraft_id, CAST(departure AS TIMESTAMP) AS departure, CAST(arrival AS TIMESTAMP) AS arrival, date_id,
@@ -339,6 +316,20 @@ dq_audit AS (
 )
 """
 
+
+
+def _expanded(sql: str) -> str:
+    """Writes out `{r2:x}` and `{r4:x}` (x rounded to that many places) and `{rates}`."""
+    sql = sql.replace(
+        "{rates}",
+        "1000 * {r3:report_count / nullif(flight_hours, 0)} AS rrh,"
+        " 100 * {r2:report_count / nullif(flight_cycles, 0)} AS rrc",
+    )
+    return re.sub(r"\{r(\d):(.*?)\}", lambda m: f"(round(({m[2]}) * 1e{m[1]}) / 1e{m[1]})", sql)
+
+
+PRELUDE = _expanded(_PRELUDE)
+
 _KPIS_UTILIZATION = (
     "fh", "take_offs", "adoss", "adosu", "ados", "adis", "du", "dc", "dyr", "cnr", "tdr", "avg_delay_x100",
 )
@@ -451,8 +442,9 @@ SELECTS = {
     "kpi_utilization": "SELECT * FROM kpi_utilization",
     "kpi_reporting": "SELECT * FROM kpi_reporting",
     "kpi_reporting_role": "SELECT * FROM kpi_reporting_role",
-    "raw_manufacturer": """SELECT f.aircraftregistration AS aircraft_id, f.scheduleddeparture, m.manufacturer
-        FROM s_flights f JOIN maker m ON f.aircraftregistration = m.registration""",
+    "raw_manufacturer": """SELECT aircraftregistration AS aircraft_id, scheduleddeparture,
+        coalesce(name, aircraftregistration) AS manufacturer
+        FROM s_flights LEFT JOIN maker ON registration = aircraftregistration""",
     "raw_atomic": """SELECT aircraft_id, manufacturer, year, flight_micros / 3600000000.0::DOUBLE AS flight_hours,
         flight_cycles, cancellations, delays, delay_micros / 60000000.0::DOUBLE AS delayed_minutes,
         scheduled_micros / 86400000000.0::DOUBLE AS scheduled_out_of_service,

@@ -51,8 +51,12 @@ def flight_measures(flights: DataFrame) -> DataFrame:
 
 
 def measured_departures(flights: DataFrame) -> DataFrame:
-    """`ordered_departures` with the total measures of the flights BR-21 cannot remove."""
-    totals = {name: F.when(contestable(), 0).otherwise(value) for name, value in _measures().items()}
+    """`ordered_departures` with the total measures of the flights BR-21 cannot remove.
+
+    After BR-23 those have no hours: they are cancelled, lack a time or have no duration.
+    """
+    measures = {name: value for name, value in _measures().items() if name != "flight_micros"}
+    totals = {name: F.when(contestable(), 0).otherwise(value) for name, value in measures.items()}
     totals["uncontested"] = (~contestable()).cast("int")
     return ordered_departures(flights, totals)
 
@@ -68,9 +72,8 @@ def daily_flights(departures: DataFrame) -> DataFrame:
         F.col("departure").alias("actualdeparture"),
         *[f"last.{c}" for c in ("actualarrival", "scheduledarrival", "cancelled")],
     )
-    total = {
-        name: F.sum(F.col(name) + F.when(F.col("survives"), value).otherwise(0)) for name, value in _measures().items()
-    }
+    survivor = {name: F.when(F.col("survives"), value).otherwise(0) for name, value in _measures().items()}
+    total = {name: F.sum(value + F.col(name) if name in kept.columns else value) for name, value in survivor.items()}
     return measured.groupBy("aircraft_id", "date_id").agg(
         (total["flight_micros"] / MICROS_PER_HOUR).alias("flight_hours"),
         total["takeoff"].alias("takeoff"),

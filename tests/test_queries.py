@@ -52,3 +52,32 @@ def test_scans_read_only_what_they_need(spark):
     read = re.findall(r"ReadSchema: struct<(.*?)>", plan)
     assert read and all("l_extendedprice" not in r and "o_totalprice" not in r and "props" not in r for r in read)
     assert len(re.findall(r"FileScan parquet \[[^\]]*l_shipdate", plan)) == 1
+
+
+# Row counts stated in FIXTURES.md for the smallest scale.
+EXPECTED_ROWS = {
+    "dim_aircraft": 9,
+    "fact_flights": 4632,
+    "kpi_utilization": 14,
+    "kpi_reporting_role": 28,
+    "src_personnel": 7,
+    "fact_reports": 900,
+    "dim_date": 2486,
+    "raw_kpi_utilization": 21,
+    "raw_kpi_reporting_role": 42,
+    "reconcile_utilization": 21,
+}
+
+
+@pytest.mark.parametrize(("name", "rows"), EXPECTED_ROWS.items())
+def test_expected_shape(spark, name, rows):
+    assert QUERIES[name](spark, SF_SMALL).count() == rows
+
+
+def test_session_zone_does_not_bend_durations(spark, con):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("fact_flights", "raw_kpi_utilization"):
+            assert differences(QUERIES[name](spark, SF_SMALL), con, ORACLES[name]) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
