@@ -50,14 +50,12 @@ def _unavailability_fact(src: SourceTables) -> DataFrame:
     return pipeline.loadable(_all_unavailability(src), _aircraft(src))
 
 
-def _attributed_reports(src: SourceTables) -> DataFrame:
-    """Reports without ids, which the KPIs do not need."""
-    known = quality.with_known_aircraft(pipeline.report_rows(src), _aircraft(src))
-    return facts.attributed_reports(known.dropna(subset=facts.REPORT_REQUIRED), extract.personnel(src.personnel))
+def _reports(src: SourceTables) -> DataFrame:
+    return pipeline.loadable_reports(src, _aircraft(src))
 
 
 def _reports_fact(src: SourceTables) -> DataFrame:
-    return facts.numbered_reports(_attributed_reports(src))
+    return facts.expanded_reports(facts.report_id_ranges(_reports(src)))
 
 
 def _dates(src: SourceTables) -> DataFrame:
@@ -111,7 +109,7 @@ def _utilization(src: SourceTables) -> DataFrame:
 
 
 def _reporting(src: SourceTables, per_role: bool = False) -> DataFrame:
-    return kpis.reporting(_attributed_reports(src), facts.flights_fact(_flights(src)), _aircraft(src), per_role)
+    return kpis.reporting(_reports(src), facts.flights_fact(_flights(src)), _aircraft(src), per_role)
 
 
 def _raw_utilization(src: SourceTables) -> DataFrame:
@@ -164,8 +162,8 @@ QUERIES: dict[str, Query] = {
     "agg_unavailability_aircraft_year": lambda s: kpis.unavailability_per_aircraft_year(_unavailability_fact(s)),
     "agg_aircraft_year": lambda s: _settled(kpis.aircraft_year(_flights_fact(s), _unavailability_fact(s))),
     "agg_flight_summary": lambda s: _settled(kpis.flight_summary(facts.flights_fact(_flights(s)), _aircraft(s))),
-    "agg_report_summary": lambda s: kpis.report_summary(_attributed_reports(s), _aircraft(s)),
-    "agg_report_summary_role": lambda s: kpis.report_summary(_attributed_reports(s), _aircraft(s), per_role=True),
+    "agg_report_summary": lambda s: kpis.report_summary(_reports(s), _aircraft(s)),
+    "agg_report_summary_role": lambda s: kpis.report_summary(_reports(s), _aircraft(s), per_role=True),
     "kpi_utilization": _utilization,
     "kpi_reporting": _reporting,
     "kpi_reporting_role": lambda s: _reporting(s, per_role=True),

@@ -40,14 +40,6 @@ def orphans(fact: DataFrame, reference: Reference, dimension: DataFrame) -> Data
     return fact.join(keys, reference.column, "left_anti")
 
 
-def without_orphans(fact: DataFrame, spec: TableSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Fact rows that satisfy every reference of the table."""
-    for reference in spec.references:
-        keys = tables[reference.table].select(F.col(TABLES[reference.table].key[0]).alias(reference.column))
-        fact = fact.join(keys, reference.column, "left_semi")
-    return fact
-
-
 def reference_check(fact: DataFrame, spec: TableSpec, reference: Reference, dimension: DataFrame) -> DataFrame:
     """One row: the number of orphan rows and of distinct orphan values of one reference.
 

@@ -141,18 +141,17 @@ def attributed_reports(known: DataFrame, personnel: DataFrame) -> DataFrame:
     )
 
 
-def numbered_reports(reports: DataFrame, chunk: int = 10_000) -> DataFrame:
-    """Gives reports the ids 0, 1, 2, ...: post-flight reports first, then by day and the other columns.
+def report_id_ranges(reports: DataFrame) -> DataFrame:
+    """Equal reports as one row with `first_id` and their number, `copies`.
 
-    The ids depend on the rows alone, not on how they are partitioned, so a retried task repeats
-    them. No window spans all reports:
+    The ids 0, 1, 2, ... go to post-flight reports first, then by day and the other columns. They depend
+    on the rows alone, not on how they are partitioned, so a retried task repeats them. No window spans
+    all reports:
 
-    * reports that agree in every column are counted before the shuffle and become a range of ids;
-    * the running total within a day is a window per feed and day;
+    * reports that agree in every column are counted before the shuffle and share a range of ids;
+    * the running total within a day is a window per feed and day, over distinct rows;
     * the total before a day is a running total over one row per feed and day, which the calendar
       bounds.
-
-    Ranges of more than `chunk` ids are spread over tasks before they become rows.
     """
     labels = ["aircraft_id", "reporter_class", "airport", "source"]
     day_keys = ["feed", "date_id"]
@@ -168,16 +167,20 @@ def numbered_reports(reports: DataFrame, chunk: int = 10_000) -> DataFrame:
         .select(*day_keys, F.coalesce(F.sum("day_total").over(earlier_days), F.lit(0)).alias("day_start"))
     )
     earlier = Window.partitionBy(*day_keys).orderBy(*labels).rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (
+    return (
         groups.withColumn("in_day", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
         .join(day_starts, day_keys)
         .select("date_id", *labels, "copies", F.expr("day_start + in_day").alias("first_id"))
     )
+
+
+def expanded_reports(ranges: DataFrame, chunk: int = 10_000) -> DataFrame:
+    """One row per id. Ranges of more than `chunk` ids are spread over tasks first."""
     few = ranges.where(F.col("copies") <= chunk)
     many = (
         ranges.where(F.col("copies") > chunk)
         .withColumn("part", F.explode(F.expr(f"sequence(0L, (copies - 1) div {chunk})")))
-        .repartition("date_id", *labels, "part")
+        .repartition("first_id", "part")
         .withColumns(
             {
                 "first_id": F.expr(f"first_id + part * {chunk}"),
@@ -196,8 +199,15 @@ def numbered_reports(reports: DataFrame, chunk: int = 10_000) -> DataFrame:
     )
 
 
+def loadable_reports(
+    postflight: DataFrame, logbook: DataFrame, aircraft: DataFrame, personnel: DataFrame
+) -> DataFrame:
+    """Both feeds, known aircraft only, with airport but without id."""
+    known = with_known_aircraft(all_reports(postflight, logbook), aircraft)
+    return attributed_reports(known.dropna(subset=REPORT_REQUIRED), personnel)
+
+
 def reports_fact(postflight: DataFrame, logbook: DataFrame, aircraft: DataFrame, personnel: DataFrame) -> DataFrame:
     """Both feeds, known aircraft only, with airport and id."""
-    known = with_known_aircraft(all_reports(postflight, logbook), aircraft)
-    return numbered_reports(attributed_reports(known.dropna(subset=REPORT_REQUIRED), personnel))
+    return expanded_reports(report_id_ranges(loadable_reports(postflight, logbook, aircraft, personnel)))
 

@@ -35,17 +35,22 @@ def loadable(candidate: DataFrame, aircraft: DataFrame) -> DataFrame:
     return candidate.join(aircraft.select("aircraft_id"), "aircraft_id", "left_semi")
 
 
+def loadable_reports(src: SourceTables, aircraft: DataFrame) -> DataFrame:
+    """Reports as they are loaded, without ids, which only the table needs."""
+    return facts.loadable_reports(
+        extract.postflight_reports(src.postflightreports),
+        extract.technical_logbook(src.technicallogbookorders),
+        aircraft,
+        extract.personnel(src.personnel),
+    )
+
+
 def fact_tables(src: SourceTables, aircraft: DataFrame) -> dict[str, DataFrame]:
     """The three facts as they would be loaded, computed from the source."""
     return {
         "flights": loadable(facts.flights_fact(extract.flights(src.flights)), aircraft),
         "unavailability": loadable(facts.unavailability_fact(extract.maintenance(src.maintenance)), aircraft),
-        "reports": facts.reports_fact(
-            extract.postflight_reports(src.postflightreports),
-            extract.technical_logbook(src.technicallogbookorders),
-            aircraft,
-            extract.personnel(src.personnel),
-        ),
+        "reports": facts.expanded_reports(facts.report_id_ranges(loadable_reports(src, aircraft))),
     }
 
 
@@ -71,22 +76,16 @@ def run(spark: SparkSession, src: SourceTables, root: str) -> Warehouse:
         dates = warehouse.write("date", dimensions.dates(extract.calendar(src)))
         warehouse.write("month", dimensions.months(dates))
 
+    def write_reports(aircraft: DataFrame) -> None:
+        ranges = warehouse.write("report_ranges", facts.report_id_ranges(loadable_reports(src, aircraft)))
+        warehouse.write("reports", facts.expanded_reports(ranges))
+
     with ThreadPoolExecutor(max_workers=4) as pool:
         calendar = pool.submit(write_calendar)
         repairing = pool.submit(lambda: warehouse.write("flights_repaired", repaired_flights(src)))
         summing = pool.submit(lambda: warehouse.write("unavailability_monthly", facts.unavailability_fact(slots)))
         aircraft = write_aircraft()
-        numbering = pool.submit(
-            lambda: warehouse.write(
-                "reports",
-                facts.reports_fact(
-                    extract.postflight_reports(src.postflightreports),
-                    extract.technical_logbook(src.technicallogbookorders),
-                    aircraft,
-                    extract.personnel(src.personnel),
-                ),
-            )
-        )
+        numbering = pool.submit(write_reports, aircraft)
         repaired = repairing.result()
         flights = repaired.drop("times_swapped")
         departures = warehouse.write("flight_departures", facts.measured_departures(flights))

@@ -54,11 +54,12 @@ SOURCE_COLUMNS = {
 
 
 def jdbc_query(name: str) -> str:
-    """Table or subquery to read. Tables used only for their registrations are reduced at the source."""
+    """Subquery to read: the used columns, report days as dates, registrations reduced at the source."""
     table, split_column = JDBC_TABLES[name]
     if split_column is None:
         return f"(SELECT DISTINCT aircraftregistration FROM {table}) AS {name}"
-    return table
+    columns = [c.replace("reportingdate", "reportingdate::date AS reportingdate") for c in SOURCE_COLUMNS[name]]
+    return f"(SELECT {', '.join(columns)} FROM {table}) AS {name}"
 
 
 def jdbc_options(

@@ -62,7 +62,7 @@ def test_ids_are_dense_ordered_and_independent_of_partitioning(spark, chunk):
     schema = "aircraft_id string, date_id date, reporter_class string, airport string, source string"
     frame = spark.createDataFrame(rows, schema)
     numbered = [
-        sorted(map(tuple, facts.numbered_reports(frame.repartition(n), chunk).collect()), key=lambda r: r[0])
+        sorted(map(tuple, facts.expanded_reports(facts.report_id_ranges(frame.repartition(n)), chunk).collect()), key=lambda r: r[0])
         for n in (1, 7)
     ]
     assert numbered[0] == numbered[1]

@@ -34,11 +34,12 @@ def test_password_is_not_shown():
 def test_jdbc_reads_are_split_on_a_column():
     settings = read_settings(env=ENV)
     options = T.jdbc_options(settings, "flights", datetime(1995, 1, 1), datetime(2025, 1, 1), partitions=200)
-    assert options["dbtable"] == '"AIMS".flights'
+    assert options["dbtable"].endswith('scheduledarrival, actualdeparture, actualarrival, cancelled FROM "AIMS".flights) AS flights')
     assert options["partitionColumn"] == "scheduleddeparture"
     assert (options["lowerBound"], options["numPartitions"]) == ("1995-01-01 00:00:00", "200")
     assert options["preferTimestampNTZ"] == "true"
     assert "partitionColumn" not in T.jdbc_options(settings, "flights")
+    assert "reportingdate::date AS reportingdate" in T.jdbc_options(settings, "postflightreports")["dbtable"]
 
 
 def test_jdbc_registrations_are_reduced_in_the_database():
