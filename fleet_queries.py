@@ -68,13 +68,10 @@ def _warehouse_tables(src: SourceTables) -> dict[str, DataFrame]:
 
 def _candidate_tables(src: SourceTables) -> dict[str, DataFrame]:
     """Facts before unknown aircraft are taken out."""
-    reports = facts.all_reports(
-        extract.postflight_reports(src.postflightreports), extract.technical_logbook(src.technicallogbookorders)
-    )
     return pipeline.dimension_tables(src) | {
         "flights": facts.flights_fact(_flights(src)),
         "unavailability": _all_unavailability(src),
-        "reports": reports,
+        "reports": pipeline.report_rows(src),
     }
 
 

@@ -1,6 +1,7 @@
 """What the quality rules corrected or dropped, as one typed table."""
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +60,7 @@ def dropped_reports(reports: DataFrame, aircraft: DataFrame) -> DataFrame:
     """Reports on unknown aircraft, and reports on known ones that lack a required value."""
     described = {c: c for c in ("aircraft_id", "date_id", "reporter_class", "source")}
     unknown = quality.with_unknown_aircraft(reports, aircraft)
-    missing = ~F.col(facts.REPORT_REQUIRED[0]).isNotNull() | ~F.col(facts.REPORT_REQUIRED[1]).isNotNull()
+    missing = reduce(or_, [F.col(c).isNull() for c in facts.REPORT_REQUIRED])
     incomplete = quality.with_known_aircraft(reports.where(missing), aircraft)
     return _entries(unknown, "BR-UA", **described).unionByName(_entries(incomplete, "NOT-NULL", **described))
 

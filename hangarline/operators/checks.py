@@ -2,6 +2,7 @@
 
 from collections.abc import Mapping
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ def key_check(df: DataFrame, spec: TableSpec) -> DataFrame:
 
     The rows are counted per key before anything else, so this is one shuffle.
     """
-    incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.required])
+    incomplete = reduce(or_, [F.col(c).isNull() for c in spec.required])
     per_key = df.groupBy(*spec.key).agg(
         F.count("*").alias("copies"), F.sum(incomplete.cast("long")).alias("incomplete")
     )

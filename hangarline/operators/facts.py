@@ -174,7 +174,7 @@ def report_id_ranges(reports: DataFrame) -> DataFrame:
     )
 
 
-def expanded_reports(ranges: DataFrame, chunk: int = 10_000) -> DataFrame:
+def expanded_reports(ranges: DataFrame, chunk: int = 100_000) -> DataFrame:
     """One row per id. Ranges of more than `chunk` ids are spread over tasks first."""
     few = ranges.where(F.col("copies") <= chunk)
     many = (

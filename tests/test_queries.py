@@ -54,6 +54,17 @@ def test_scans_read_only_what_they_need(spark):
     assert len(re.findall(r"FileScan parquet \[[^\]]*l_shipdate", plan)) == 1
 
 
+@pytest.mark.parametrize("name", ["kpi_utilization", "kpi_reporting_role", "fact_reports", "dq_audit", "raw_atomic"])
+def test_nothing_depends_on_small_sides(spark, con, name):
+    """The same results and no nested loops if no side is small enough to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Broadcast" not in physical_plan(spark, name)
+        assert differences(QUERIES[name](spark, SF_SMALL), con, ORACLES[name]) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 # Row counts stated in FIXTURES.md for the smallest scale.
 EXPECTED_ROWS = {
     "dim_aircraft": 9,

@@ -52,7 +52,7 @@ def test_repeated_reporter_is_an_error(spark):
         facts.attributed_reports(rows, personnel(spark, (1, "BCN"), (1, "MAD"))).collect()
 
 
-@pytest.mark.parametrize("chunk", [3, 10_000])
+@pytest.mark.parametrize("chunk", [3, 100_000])
 def test_ids_are_dense_ordered_and_independent_of_partitioning(spark, chunk):
     rows = [
         (f"A{i % 4}", date(2024, 1, 1 + i % 3), "PIREP" if i % 2 else "MAREP", None if i % 5 else "BCN", source)
