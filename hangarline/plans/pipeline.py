@@ -65,31 +65,29 @@ def run(spark: SparkSession, src: SourceTables, root: str) -> Warehouse:
     """
     prepare(spark)
     warehouse = Warehouse.new_run(spark, root)
-    slots, reports = extract.maintenance(src.maintenance), report_rows(src)
-
-    def write_aircraft() -> DataFrame:
-        written = warehouse.write("aircraft", dimensions.aircraft_from_lookup(src.aircraft_lookup))
-        checks.require_unique_key(written, schemas.AIRCRAFT)
-        return written
+    # Sources that cannot be opened and conflicting aircraft are found before the long steps start.
+    flights, slots, reports = repaired_flights(src), extract.maintenance(src.maintenance), report_rows(src)
+    aircraft = warehouse.write("aircraft", dimensions.aircraft_from_lookup(src.aircraft_lookup))
+    checks.require_unique_key(aircraft, schemas.AIRCRAFT)
+    numbered = loadable_reports(src, aircraft)
 
     def write_calendar() -> None:
         dates = warehouse.write("date", dimensions.dates(extract.calendar(src)))
         warehouse.write("month", dimensions.months(dates))
 
-    def write_reports(aircraft: DataFrame) -> None:
-        ranges = warehouse.write("report_ranges", facts.report_id_ranges(loadable_reports(src, aircraft)))
+    def write_reports() -> None:
+        ranges = warehouse.write("report_ranges", facts.report_id_ranges(numbered))
         warehouse.write("reports", facts.expanded_reports(ranges))
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         calendar = pool.submit(write_calendar)
-        repairing = pool.submit(lambda: warehouse.write("flights_repaired", repaired_flights(src)))
+        repairing = pool.submit(lambda: warehouse.write("flights_repaired", flights))
         summing = pool.submit(lambda: warehouse.write("unavailability_monthly", facts.unavailability_fact(slots)))
-        aircraft = write_aircraft()
-        numbering = pool.submit(write_reports, aircraft)
+        numbering = pool.submit(write_reports)
         repaired = repairing.result()
-        flights = repaired.drop("times_swapped")
-        departures = warehouse.write("flight_departures", facts.measured_departures(flights))
-        removed = quality.removed_flights(flights, quality.surviving_flights(departures))
+        ordered = repaired.drop("times_swapped")
+        departures = warehouse.write("flight_departures", facts.measured_departures(ordered))
+        removed = quality.removed_flights(ordered, quality.surviving_flights(departures))
         candidates = {"flights": facts.daily_flights(departures), "unavailability": summing.result()}
         entries = audit.dq_audit(repaired, removed, reports, candidates, {"aircraft": aircraft})
         auditing = pool.submit(lambda: warehouse.write("dq_audit", entries))

@@ -3,8 +3,9 @@
 Every reader returns lazy DataFrames in the source's own column names; nothing is fetched here.
 """
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping
 from datetime import datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,16 +14,47 @@ from hangarline import schemas
 from hangarline.sources.settings import ConnectionSettings
 
 
-@dataclass(frozen=True)
+def _same(df: DataFrame) -> DataFrame:
+    return df
+
+
 class SourceTables:
-    flights: DataFrame
-    maintenance: DataFrame
-    workorders: DataFrame
-    maintenanceevents: DataFrame
-    postflightreports: DataFrame
-    technicallogbookorders: DataFrame
-    aircraft_lookup: DataFrame
-    personnel: DataFrame
+    """The six tables and the two files, each opened when it is first used.
+
+    A build needs neither work orders nor maintenance events, and opening a table may ask a database.
+    """
+
+    NAMES = (
+        "flights",
+        "maintenance",
+        "workorders",
+        "maintenanceevents",
+        "postflightreports",
+        "technicallogbookorders",
+        "aircraft_lookup",
+        "personnel",
+    )
+
+    def __init__(self, readers: Mapping[str, Callable[[], DataFrame]]):
+        missing = [name for name in self.NAMES if name not in readers]
+        if missing:
+            raise ValueError(f"no reader for {missing}")
+        self._readers = dict(readers)
+        self._opened: dict[str, DataFrame] = {}
+
+    @classmethod
+    def of(cls, **frames: DataFrame) -> "SourceTables":
+        return cls({name: partial(_same, df) for name, df in frames.items()})
+
+    def with_frames(self, **frames: DataFrame) -> "SourceTables":
+        return SourceTables(self._readers | {name: partial(_same, df) for name, df in frames.items()})
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise AttributeError(name)
+        if name not in self._opened:
+            self._opened[name] = self._readers[name]()
+        return self._opened[name]
 
 
 # Schema-qualified table names, and the column each table is split on when it is
@@ -103,24 +135,26 @@ def jdbc_tables(
     upper: datetime | None = None,
     partitions: int = 1,
 ) -> SourceTables:
-    tables = {
-        name: spark.read.format("jdbc").options(**jdbc_options(settings, name, lower, upper, partitions)).load()
-        for name in JDBC_TABLES
-    }
-    return SourceTables(
-        **tables,
-        aircraft_lookup=aircraft_lookup_csv(spark, lookup_csv),
-        personnel=personnel_csv_or_empty(spark, personnel_csv),
-    )
+    def read(name: str) -> DataFrame:
+        return spark.read.format("jdbc").options(**jdbc_options(settings, name, lower, upper, partitions)).load()
+
+    return SourceTables({name: partial(read, name) for name in JDBC_TABLES} | _files(spark, lookup_csv, personnel_csv))
 
 
 def parquet_tables(spark: SparkSession, folder: str, lookup_csv: str, personnel_csv: str) -> SourceTables:
     """The same tables as parquet datasets `<folder>/<table>`."""
-    return SourceTables(
-        **{name: spark.read.parquet(f"{folder}/{name}") for name in JDBC_TABLES},
-        aircraft_lookup=aircraft_lookup_csv(spark, lookup_csv),
-        personnel=personnel_csv_or_empty(spark, personnel_csv),
-    )
+
+    def read(name: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{name}")
+
+    return SourceTables({name: partial(read, name) for name in JDBC_TABLES} | _files(spark, lookup_csv, personnel_csv))
+
+
+def _files(spark: SparkSession, lookup_csv: str, personnel_csv: str) -> dict[str, Callable[[], DataFrame]]:
+    return {
+        "aircraft_lookup": partial(aircraft_lookup_csv, spark, lookup_csv),
+        "personnel": partial(personnel_csv_or_empty, spark, personnel_csv),
+    }
 
 
 def landed(src: SourceTables, folder: str) -> SourceTables:
@@ -132,7 +166,7 @@ def landed(src: SourceTables, folder: str) -> SourceTables:
     for name in needed:
         getattr(src, name).select(*SOURCE_COLUMNS[name]).write.parquet(f"{folder}/{name}")
     spark = src.flights.sparkSession
-    return replace(src, **{name: spark.read.parquet(f"{folder}/{name}") for name in needed})
+    return src.with_frames(**{name: spark.read.parquet(f"{folder}/{name}") for name in needed})
 
 
 def aircraft_lookup_csv(spark: SparkSession, path: str) -> DataFrame:

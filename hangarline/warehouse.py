@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hangarline import schemas
 from hangarline.plans import kpis
@@ -52,7 +53,11 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """Facts come with their `year` partition column, which filters can prune by."""
-        return self.spark.read.parquet(self.path(name))
+        spec = schemas.TABLES.get(name)
+        if spec is None:
+            return self.spark.read.parquet(self.path(name))
+        stored = T.StructType([*spec.schema.fields, T.StructField("year", T.IntegerType())])
+        return self.spark.read.schema(stored if spec in schemas.FACTS else spec.schema).parquet(self.path(name))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in schemas.TABLES}

@@ -93,7 +93,7 @@ def source(spark):
         "aircraftregistration string, scheduleddeparture timestamp_ntz, scheduledarrival timestamp_ntz,"
         " actualdeparture timestamp_ntz, actualarrival timestamp_ntz, cancelled boolean",
     )
-    return SourceTables(
+    return SourceTables.of(
         flights=flights,
         maintenance=maintenance(spark, [("M1", datetime(2024, 1, 5), datetime(2024, 1, 6), True)]),
         workorders=registrations("W1", "F1"),

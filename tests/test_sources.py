@@ -51,8 +51,15 @@ def test_jdbc_registrations_are_reduced_in_the_database():
 def test_jdbc_without_driver_fails_clearly(spark, tmp_path):
     lookup = tmp_path / "lookup.csv"
     lookup.write_text("aircraft_reg_code,manufacturer_serial_number,aircraft_model,aircraft_manufacturer\n")
+    src = jdbc_tables(spark, read_settings(env=ENV), str(lookup), str(tmp_path / "none.csv"))
+    assert src.aircraft_lookup.isEmpty()  # tables are opened one by one
     with pytest.raises(Exception, match="org.postgresql.Driver"):
-        jdbc_tables(spark, read_settings(env=ENV), str(lookup), str(tmp_path / "none.csv"))
+        src.flights  # noqa: B018
+
+
+def test_every_source_needs_a_reader():
+    with pytest.raises(ValueError, match="no reader for .*'flights'"):
+        T.SourceTables({})
 
 
 def test_reference_files(spark, tmp_path):

@@ -1,7 +1,5 @@
 """The whole build, publishing and reading back."""
 
-from dataclasses import replace
-
 import pytest
 from compare import SF_SMALL, connect, differences
 
@@ -82,7 +80,7 @@ def test_open_without_a_warehouse(spark, tmp_path):
 def test_conflicting_aircraft_stop_the_build(spark, tmp_path):
     src = sample_tables(spark, SF_SMALL)
     lookup = src.aircraft_lookup
-    broken = replace(src, aircraft_lookup=lookup.union(lookup.selectExpr("aircraft_reg_code", "''", "'other'", "'Airbus'")))
+    broken = src.with_frames(aircraft_lookup=lookup.union(lookup.selectExpr("aircraft_reg_code", "''", "'other'", "'Airbus'")))
     with pytest.raises(checks.IntegrityError, match="aircraft"):
         pipeline.run(spark, broken, str(tmp_path))
     with pytest.raises(FileNotFoundError):
