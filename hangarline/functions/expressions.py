@@ -34,10 +34,10 @@ def micros_between(start: Column, end: Column) -> Column:
     """Whole microseconds from start to end.
 
     Returned as a double: sums of whole numbers are exact and independent of row order below
-    2**53, and do not overflow above it. Needs a UTC session, because Spark casts timestamps
-    without zone to the session zone here.
+    2**53, and do not overflow above it. Needs a UTC session, because timestamps without zone are
+    read in the session zone here; this is several times faster than `timestamp_diff`.
     """
-    return F.timestamp_diff("MICROSECOND", start, end).cast("double")
+    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))).cast("double")
 
 
 def month_key(day: Column) -> Column:

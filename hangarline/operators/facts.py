@@ -18,14 +18,20 @@ POSTFLIGHT = "POSTFLIGHTREPORT"
 REPORT_REQUIRED = ["date_id", "reporter_class"]
 
 
-def _measures() -> dict[str, Column]:
+def _flown() -> Column:
+    return micros_between(F.col("actualdeparture"), F.col("actualarrival"))
+
+
+def _late() -> Column:
+    return micros_between(F.col("scheduledarrival"), F.col("actualarrival"))
+
+
+def _measures(flown: Column, late: Column) -> dict[str, Column]:
     """Per-flight measures in whole microseconds, to be summed before they are converted."""
     cancelled = false_if_null(F.col("cancelled"))
-    flown = F.coalesce(micros_between(F.col("actualdeparture"), F.col("actualarrival")), F.lit(0.0))
-    late = micros_between(F.col("scheduledarrival"), F.col("actualarrival"))
     delayed = ~cancelled & false_if_null(late > DELAY_THRESHOLD_MINUTES * MICROS_PER_MINUTE)
     return {
-        "flight_micros": F.when(cancelled, 0.0).otherwise(flown),
+        "flight_micros": F.when(cancelled, 0.0).otherwise(F.coalesce(flown, F.lit(0.0))),
         "takeoff": (~cancelled).cast("int"),
         "delays": delayed.cast("int"),
         "delay_micros": F.when(delayed, late).otherwise(0.0),
@@ -38,7 +44,7 @@ def flight_measures(flights: DataFrame) -> DataFrame:
 
     A delay counts from more than 15 minutes behind the scheduled arrival, and then in full.
     """
-    measures = _measures()
+    measures = _measures(_flown(), _late())
     return flights.withColumns(
         {
             "flight_hours": measures["flight_micros"] / MICROS_PER_HOUR,
@@ -55,7 +61,7 @@ def measured_departures(flights: DataFrame) -> DataFrame:
 
     After BR-23 those have no hours: they are cancelled, lack a time or have no duration.
     """
-    measures = {name: value for name, value in _measures().items() if name != "flight_micros"}
+    measures = {name: value for name, value in _measures(_flown(), _late()).items() if name != "flight_micros"}
     totals = {name: F.when(contestable(), 0).otherwise(value) for name, value in measures.items()}
     totals["uncontested"] = (~contestable()).cast("int")
     return ordered_departures(flights, totals)
@@ -67,14 +73,14 @@ def daily_flights(departures: DataFrame) -> DataFrame:
     A day on which no flight is kept has no row, and neither have flights without aircraft or day.
     """
     kept = departures.where("survives OR uncontested > 0").where("aircraft_id IS NOT NULL AND date_id IS NOT NULL")
-    measured = kept.select(
-        "*",
-        F.col("departure").alias("actualdeparture"),
-        *[f"last.{c}" for c in ("actualarrival", "scheduledarrival", "cancelled")],
+    columns = ("actualarrival", "scheduledarrival", "cancelled")
+    timed = kept.select("*", F.col("departure").alias("actualdeparture"), *[f"last.{c}" for c in columns]).withColumns(
+        {"flown": _flown(), "late": _late()}
     )
-    survivor = {name: F.when(F.col("survives"), value).otherwise(0) for name, value in _measures().items()}
+    measures = _measures(F.col("flown"), F.col("late"))
+    survivor = {name: F.when(F.col("survives"), value).otherwise(0) for name, value in measures.items()}
     total = {name: F.sum(value + F.col(name) if name in kept.columns else value) for name, value in survivor.items()}
-    return measured.groupBy("aircraft_id", "date_id").agg(
+    return timed.groupBy("aircraft_id", "date_id").agg(
         (total["flight_micros"] / MICROS_PER_HOUR).alias("flight_hours"),
         total["takeoff"].alias("takeoff"),
         total["delays"].alias("delays"),

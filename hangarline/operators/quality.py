@@ -49,11 +49,12 @@ def ordered_departures(flights: DataFrame, totals: Mapping[str, Column] | None =
     maximum that is combined before the shuffle, with the next departure. Any number of copies, or of
     flights with the same placeholder departure, shrinks to one row per day.
 
-    Nothing is grouped by aircraft alone either, as one aircraft may hold a large share of all flights:
-    departures are ordered within (aircraft, day of departure). The last one of a day is followed by the
-    first of the next day that has any, from a table with one row per aircraft and day. That table is
-    merged on the keys the window already partitions and sorts by, so the departures are not shuffled
-    again for it.
+    Candidates are not ordered by aircraft alone either, as one aircraft may hold a large share of all
+    flights, but within (aircraft, month of departure). There the clock bounds them: a month has 44,640
+    minutes or 2.7 million seconds, however many flights there are. The last departure of a month is
+    followed by the first of the next month that has any, from a small table with one row per aircraft
+    and month. That table is merged on the keys the window already partitions and sorts by, so the
+    candidates are not shuffled again for it.
 
     Columns of the result: `aircraft_id`, `date_id`, `departure` (NULL for flights outside the rule),
     `last` (the candidate's other columns, NULL if there is none), `survives`, and the sums `totals`
@@ -63,7 +64,7 @@ def ordered_departures(flights: DataFrame, totals: Mapping[str, Column] | None =
     rest = [c for c in flights.columns if c not in ("aircraft_id", "date_id", "actualdeparture")]
     rest.sort(key=lambda c: (c != "actualarrival", c != "scheduledarrival"))
     rest.insert(2, "date_id")
-    day_keys = ["aircraft_id", "departure_day"]
+    month_keys = ["aircraft_id", "departure_month"]
     # Flights outside the rule are not filtered out: pushed down to the scan, the filter would evaluate
     # the repair expressions of BR-23 many times. They collapse into one row per aircraft and day.
     # A maximum of structs is aggregated by sorting, which is fastest with the most selective key first.
@@ -74,20 +75,20 @@ def ordered_departures(flights: DataFrame, totals: Mapping[str, Column] | None =
             F.max(F.when(contestable(), F.struct(*rest))).alias("last"),
             *[F.sum(value).alias(name) for name, value in (totals or {}).items()],
         )
-        .withColumn("departure_day", F.to_date("departure"))
+        .withColumn("departure_month", F.trunc("departure", "month"))
     )
-    in_day = Window.partitionBy(*day_keys).orderBy("departure", "last")
-    by_day = Window.partitionBy("aircraft_id").orderBy("departure_day")
-    day_starts = (
-        departures.groupBy(*day_keys)
+    in_month = Window.partitionBy(*month_keys).orderBy("departure", "last")
+    by_month = Window.partitionBy("aircraft_id").orderBy("departure_month")
+    month_starts = (
+        departures.groupBy(*month_keys)
         .agg(F.min("departure").alias("first_departure"))
-        .select(*day_keys, F.lead("first_departure").over(by_day).alias("next_day_departure"))
+        .select(*month_keys, F.lead("first_departure").over(by_month).alias("next_month_departure"))
     )
-    followed_by = F.coalesce("next_departure", "next_day_departure")
+    followed_by = F.coalesce("next_departure", "next_month_departure")
     survives = F.col("last").isNotNull() & F.coalesce(followed_by >= F.col("last.actualarrival"), F.lit(True))
     return (
-        departures.withColumn("next_departure", F.lead("departure").over(in_day))
-        .join(day_starts.hint("merge"), day_keys, "left")
+        departures.withColumn("next_departure", F.lead("departure").over(in_month))
+        .join(month_starts.hint("merge"), month_keys, "left")
         .select("aircraft_id", "date_id", "departure", "last", survives.alias("survives"), *(totals or {}))
     )
 

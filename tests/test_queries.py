@@ -40,11 +40,11 @@ def test_plan_stays_in_the_jvm_without_cross_joins(spark, name):
 
 
 @pytest.mark.parametrize("name", ["br21_flagged", "fact_flights", "kpi_utilization", "dq_audit"])
-def test_overlap_window_is_split_by_day(spark, name):
+def test_overlap_window_is_split_by_month(spark, name):
     windows = re.findall(r"Window \[lead\(departure#.*?windowspecdefinition\((.*?)\)", physical_plan(spark, name))
     assert windows
     for spec in windows:
-        assert re.match(r"aircraft_id#\d+, departure_day#\d+, departure#\d+ ", spec)
+        assert re.match(r"aircraft_id#\d+, departure_month#\d+, departure#\d+ ", spec)
 
 
 def test_scans_read_only_what_they_need(spark):
