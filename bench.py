@@ -12,6 +12,7 @@ import os
 import statistics
 import tempfile
 import time
+import uuid
 
 from fleet_queries import queries
 from hangarline.plans import pipeline
@@ -45,7 +46,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cpus)
-    root = tempfile.mkdtemp(prefix="bench-warehouse-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    root = f"{shared}/bench-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="bench-warehouse-")
     registered = queries()
 
     def build() -> Warehouse:
