@@ -194,10 +194,13 @@ def exact_duplicates(docs: DataFrame, digests_per_shard: int = DIGESTS_PER_SHARD
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, one row each, with the columns of docs. A repeated row of a kept doc_id is dropped."""
+    """The documents that stay, one row each, with the columns of docs. A repeated row of a kept doc_id is dropped.
+
+    Rows without doc_id stay, as no decision can name them.
+    """
     kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    rows = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    return rows.unionByName(docs.where("doc_id IS NULL"))
 
 
 ORACLE = r"""

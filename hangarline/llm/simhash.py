@@ -237,7 +237,11 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
 
 
 def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document with the smallest doc_id of each component, one row each, with the columns of docs."""
-    kept = near_duplicates(docs, words, max_bits).where("doc_id <=> component_id")
+    """The document with the smallest doc_id of each component, one row each, with the columns of docs.
+
+    Rows without doc_id stay, as no decision can name them.
+    """
+    kept = near_duplicates(docs, words, max_bits).where("doc_id = component_id")
     kept = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates(["doc_id"])
+    rows = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    return rows.unionByName(docs.where("doc_id IS NULL"))
