@@ -5,8 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
@@ -37,6 +41,20 @@ def shards_for(rows: int, rows_per_shard: int) -> int:
     return max(1, -(-rows // rows_per_shard))
 
 
+def text_parts(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Cuts of an array of texts into slices of at most so many bytes, or of one longer text: first and after.
+
+    Batches are bounded in rows; with this a task's working memory is bounded in bytes too.
+    """
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    low = 0
+    while low < len(sizes):
+        high = max(low + 1, int(np.searchsorted(before, before[low] + limit, side="right")) - 1)
+        yield low, high
+        low = high
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hangarline.llm.common import written
+from hangarline.llm.common import text_parts, written
 
 ORDER = 4
 CLASS_BITS = 9
@@ -35,7 +35,7 @@ FOLDS = 10
 ACCEPTED_QUANTILE = 0.999
 #: The score counts evidence up to about so many characters, as neighbouring characters are not independent.
 SCORE_CHARACTERS = 30
-PART_CHARACTERS = 4 << 20
+PART_BYTES = 4 << 20
 UNDETERMINED = "und"
 _HASH = 0x9E3779B97F4A7C15
 
@@ -91,14 +91,10 @@ def _hashed(codes: np.ndarray) -> np.ndarray:
 
 
 def _parts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]]:
-    """Texts some million characters at a time, with the number of the first."""
+    """Texts some megabytes at a time, with the number of the first."""
     texts = pc.fill_null(batch.column(column), "")
-    before = np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False))])
-    low = 0
-    while low < len(texts):
-        high = max(low + 1, int(np.searchsorted(before, before[low] + PART_CHARACTERS, side="right")) - 1)
+    for low, high in text_parts(texts, PART_BYTES):
         yield low, texts.slice(low, high - low).to_pylist()
-        low = high
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hangarline.llm.common import text_parts
+
 RUN_WORDS = 3
 #: Diagonals of one template that are so many words apart or fewer are neighbours.
 NEIGHBOUR_WORDS = 3
@@ -117,12 +119,8 @@ def run_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 def _parts(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """The texts some megabytes at a time, with the number of the first."""
     values = pc.cast(pc.fill_null(texts, ""), pa.binary())
-    before = np.concatenate([[0], np.cumsum(pc.binary_length(values).to_numpy(zero_copy_only=False))])
-    low = 0
-    while low < len(values):
-        high = max(low + 1, int(np.searchsorted(before, before[low] + PART_BYTES, side="right")) - 1)
+    for low, high in text_parts(values, PART_BYTES):
         yield low, values.slice(low, high - low).to_pylist()
-        low = high
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

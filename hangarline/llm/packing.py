@@ -6,8 +6,8 @@ longest piece and fills the gap with the longest pieces of shorter sizes that st
 window is full. The few ids at the end of a group are dealt into sequences whose lengths are powers of two, which
 need no padding either. Sequences are then dealt, longest first, to step groups of an equal number of ids.
 
-Scale: one pass over the scan and no shuffle. A group is one Arrow batch of one input partition, so memory is bounded
-by the batch and nothing depends on the number of documents; a repeated task gives the same pieces, because the
+Scale: one pass over the scan and no shuffle. A group is part of one Arrow batch of one input partition and bounded
+in bytes, so memory does not depend on the number of documents; a repeated task gives the same pieces, because the
 batch's documents are taken in the scan's order. Sequence and step ids carry the partition's number.
 
 Null text counts as empty and gives the closing id alone. Documents keep their doc_id, null or repeated, as it is.
@@ -29,8 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from hangarline.llm.common import text_parts
+
 CONTEXTS = (2048, 1024, 512, 256)
 STEP_TOKENS = 8 * 2048
+GROUP_BYTES = 32 << 20
 CLOSING_ID = 1
 MAX_CACHED_WORDS = 1 << 20
 #: The pieces that the tokenizer file cuts lower-cased words into, and the words whose lower case and
@@ -195,6 +198,12 @@ SCHEMA = (
 )
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    for batch in batches:
+        for low, high in text_parts(batch.column(1), GROUP_BYTES):
+            yield batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low)
+
+
 def _pack_batches(path: str, contexts: tuple[int, ...], step_tokens: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _WORD_IDS:
@@ -202,8 +211,8 @@ def _pack_batches(path: str, contexts: tuple[int, ...], step_tokens: int, with_i
         encoder = _WORD_IDS[path]
         context = TaskContext.get()
         sequence = step = (context.partitionId() if context else 0) << 36
-        for batch in batches:
-            ids, starts = encoder.encode(batch.column(1))
+        for doc_ids, texts in _groups(batches):
+            ids, starts = encoder.encode(texts)
             doc_tokens = np.diff(starts)
             sequences = sorted(packed(doc_tokens.tolist(), contexts), key=lambda s: -sum(piece[2] for piece in s))
             rows: list[tuple[int, int, int, int, int, int, int]] = []
@@ -223,7 +232,7 @@ def _pack_batches(path: str, contexts: tuple[int, ...], step_tokens: int, with_i
             number, begin = table[:, 0], starts[table[:, 0]] + table[:, 1]
             cut = [ids[b : b + n] for b, n in zip(begin.tolist(), table[:, 2].tolist(), strict=True)]
             columns = {
-                "doc_id": batch.column(0).take(pa.array(number)).cast(pa.int64()),
+                "doc_id": doc_ids.take(pa.array(number)).cast(pa.int64()),
                 "start": table[:, 1],
                 "length": table[:, 2],
                 "ids_crc32": np.array([zlib.crc32(piece) for piece in cut], dtype=np.int64),

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hangarline.llm.common import shards_for, shared_folder, written
+from hangarline.llm.common import shards_for, shared_folder, text_parts, written
 
 ORDER = 4
 CHUNK_BYTES = 16 << 20
@@ -53,10 +53,7 @@ def _make_chunks(chunk_bytes: int):
         for batch in batches:
             texts = pc.cast(pc.fill_null(batch.column(2), ""), pa.large_binary())
             sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-            before = np.concatenate([[0], np.cumsum(sizes)])
-            low = 0
-            while low < len(sizes):
-                high = max(low + 1, int(np.searchsorted(before, before[low] + chunk_bytes, side="right")) - 1)
+            for low, high in text_parts(texts, chunk_bytes):
                 part = texts.slice(low, high - low)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -67,7 +64,7 @@ def _make_chunks(chunk_bytes: int):
                         "text": pa.array([compressor.compress(b"".join(part.to_pylist()))], pa.binary()),
                     }
                 )
-                chunk, low = chunk + 1, high
+                chunk += 1
 
     return run
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from hangarline.llm.common import shards_for, written
+from hangarline.llm.common import shards_for, text_parts, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -36,6 +36,7 @@ SEED = 42
 POINTS_PER_SHARD = 1 << 14
 SAMPLE_POINTS = 1 << 13
 LEAF_POINTS = 512
+PART_BYTES = 8 << 20
 _LANES = np.uint64(0x0101010101010101)
 
 
@@ -81,13 +82,12 @@ def _fingerprint_batches(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pc.cast(pc.fill_null(batch.column(1), ""), pa.binary())
-            hashes: list[np.ndarray] = []
-            for text in texts:
-                hashes.append(np.array(shingle_hashes(text.as_py(), words), dtype=np.uint64))
-            sizes = np.array([len(x) for x in hashes], dtype=np.int64)
-            joined = np.concatenate(hashes) if hashes else np.empty(0, dtype=np.uint64)
-            bits = majority_bits(joined, sizes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64))], ["doc_id", "point"])
+            for low, high in text_parts(texts, PART_BYTES):
+                part = texts.slice(low, high - low).to_pylist()
+                hashes = [np.array(shingle_hashes(text, words), dtype=np.uint64) for text in part]
+                sizes = np.array([len(x) for x in hashes], dtype=np.int64)
+                bits = pa.array(majority_bits(np.concatenate(hashes), sizes).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), bits], ["doc_id", "point"])
 
     return run
 
