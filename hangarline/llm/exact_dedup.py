@@ -183,6 +183,7 @@ def exact_duplicates(docs: DataFrame, digests_per_shard: int = DIGESTS_PER_SHARD
         F.sum("copies").alias("group_size"),
         F.max("member").alias("in_history"),
     )
+    classes = written(classes)  # so that nothing but the join reads its exchange, and a hot digest can be split
     return digests.join(classes, "digest").select(
         "doc_id",
         "keep_id",

@@ -31,7 +31,7 @@ SCALE = 256
 QUERY_EVERY = 50
 PAGE_ENTRIES = 256
 FAN_OUT = 64
-VECTORS_PER_SHARD = 1 << 14
+VECTORS_PER_SHARD = 1 << 13
 QUERIES_PER_BLOCK = 1 << 12
 #: Slack of the bounds for rounding; products are exact, square roots are not.
 SLACK = 1e-6
@@ -191,8 +191,10 @@ def top_k(
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     asked = asked.withColumn("dimension", F.size("vector")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     trees = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    keys = [F.col("dimension"), F.col("shard").cast("long"), F.col("block").cast("long")]
-    answers = trees.groupBy(*keys).cogroup(asked.groupBy(*keys))
+    keys, tasks = ["dimension", "shard", "block"], shards * blocks  # a task each: few bytes, but much work
+    asked = asked.withColumn("shard", F.col("shard").cast("long"))
+    trees = trees.withColumn("block", F.col("block").cast("long")).repartition(tasks, *keys)
+    answers = trees.groupBy(*keys).cogroup(asked.repartition(tasks, *keys).groupBy(*keys))
     rows = answers.applyInPandas(_search_shard(k), "query_id long, vec_id long, score long, computed long")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = rows.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
