@@ -33,7 +33,7 @@ from hangarline.llm.common import shards_for, text_parts, written
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
-POINTS_PER_SHARD = 1 << 14
+POINTS_PER_SHARD = 1 << 12
 SAMPLE_POINTS = 1 << 13
 LEAF_POINTS = 512
 PART_BYTES = 8 << 20
@@ -203,6 +203,7 @@ def shard_links(points: DataFrame, max_bits: int = MAX_BITS, points_per_shard: i
             yield pa.RecordBatch.from_pydict({"shard": shard, "point": values[number]})
 
     routed = points.select("point").mapInArrow(route, "shard long, point long")
+    routed = routed.repartition(router.shards, "shard")  # a task each: few bytes, but much work
     return routed.groupBy("shard").applyInPandas(_link_shard(max_bits), "a long, b long")
 
 
