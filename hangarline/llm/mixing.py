@@ -29,10 +29,9 @@ from hangarline.llm.common import written
 TARGET_WEIGHTS = {"clean": 0.96, "toxic": 0.03, "low_quality": 0.01}
 MAX_ROWS = 20_000
 BUCKETS = 1 << 15
-SMOOTHING = 0.5
+#: A bucket says something of a domain if its texts there differ from the expected number by so many deviations.
+SIGNIFICANCE = 3.0
 GRID = 256
-#: Evidence counts fully up to about so many words, and as a square root beyond: words of a text are not independent.
-INDEPENDENT_WORDS = 200
 STEPS = 24
 #: The pull of each rate to 1, so that among all fits the one that changes least is found.
 PULL = 1e-3
@@ -59,21 +58,31 @@ def _sum(columns: list[Column]) -> Column:
 
 
 def learned_weights(docs: DataFrame, domains: DataFrame, max_rows: int = MAX_ROWS) -> tuple[list[str], list[float], DataFrame]:
-    """The domains, the logarithms of their shares, and for each bucket (w0, w1, ...) the log-likelihoods of a word."""
+    """The domains; the log-odds of a text in which no telling word occurs; for each bucket what a word adds (w0, w1, ...)."""
     agreed = domains.groupBy("doc_id").agg(F.min("domain").alias("domain"), F.max("domain").alias("high"))
     sample = agreed.where("domain = high").select("doc_id", "domain").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     labelled = docs.select("doc_id", "text").join(F.broadcast(sample.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id"))
-    counts = written(_words(labelled, "domain").where("bucket IS NOT NULL").groupBy("bucket", "domain").count())
-    totals = {row["domain"]: row["n"] for row in counts.groupBy("domain").agg(F.sum("count").alias("n")).collect()}
-    names = sorted(totals)
-    everything = sum(totals.values())
-    per_domain = [F.sum(F.when(F.col("domain") == name, F.col("count"))) for name in names]
-    weights = [
-        (F.coalesce(c, F.lit(0)) + SMOOTHING) / (totals[name] + SMOOTHING * BUCKETS)
-        for c, name in zip(per_domain, names, strict=True)
-    ]
-    table = counts.groupBy("bucket").agg(*[F.log(w).alias(f"w{i}") for i, w in enumerate(weights)]) if names else counts
-    return names, [math.log(totals[name] / everything) for name in names], table
+    present = _words(labelled, "domain").where("bucket IS NOT NULL").distinct()  # a text counts a bucket once
+    counts = written(present.groupBy("bucket", "domain").count())
+    sizes = labelled.groupBy("domain").agg(F.count_distinct("doc_id").alias("n")).collect()
+    totals = {row["domain"]: row["n"] for row in sizes}
+    names, everything = sorted(totals), sum(totals.values())
+    weights, absences = [], []
+    for i, name in enumerate(names):
+        count = F.coalesce(F.sum(F.when(F.col("domain") == name, F.col("count"))), F.lit(0))
+        share = F.sum("count") / (everything + 1)
+        own = (count + share) / (totals[name] + 1)
+        expected = share * totals[name]
+        differs = F.abs(count - expected) >= SIGNIFICANCE * F.sqrt(expected + 1)
+        odds = F.log(own / (1 - own)) - F.log(share / (1 - share))
+        weights.append(F.when(differs, odds).otherwise(0.0).alias(f"w{i}"))
+        absences.append(F.when(differs, F.log((1 - own) / (1 - share))).otherwise(0.0).alias(f"a{i}"))
+    if not names:
+        return [], [], counts
+    table = counts.groupBy("bucket").agg(*weights, *absences)
+    absent = table.agg(*[F.sum(f"a{i}").alias(f"a{i}") for i in range(len(names))]).first()
+    biases = [math.log(totals[name] / everything) + float(absent[i] or 0) for i, name in enumerate(names)]
+    return names, biases, table.drop(*[f"a{i}" for i in range(len(names))])
 
 
 def posteriors(docs: DataFrame, domains: DataFrame, max_rows: int = MAX_ROWS) -> tuple[list[str], DataFrame]:
@@ -85,8 +94,7 @@ def posteriors(docs: DataFrame, domains: DataFrame, max_rows: int = MAX_ROWS) ->
     k = range(len(names))
     joined = words.join(F.broadcast(weights), "bucket", "left")
     sums = joined.groupBy("doc_id").agg(F.count("bucket").alias("tokens"), *[F.sum(f"w{i}").alias(f"s{i}") for i in k])
-    damping = 1 / F.sqrt(1 + F.col("tokens") / INDEPENDENT_WORDS)
-    logits = [F.lit(priors[i]) + F.coalesce(F.col(f"s{i}"), F.lit(0.0)) * damping for i in k]
+    logits = [F.lit(priors[i]) + F.coalesce(F.col(f"s{i}"), F.lit(0.0)) for i in k]
     rows = sums.select("doc_id", "tokens", *[logit.alias(f"l{i}") for i, logit in enumerate(logits)])
     rows = rows.withColumn("high", F.greatest(*[F.col(f"l{i}") for i in k]) if len(names) > 1 else F.col("l0"))
     mass = _sum([F.exp(F.col(f"l{i}") - F.col("high")) for i in k])
