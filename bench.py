@@ -46,8 +46,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cpus)
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = f"{shared}/bench-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="bench-warehouse-")
+    shared = os.environ.get("BENCH_ROOT") or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise SystemExit("set BENCH_ROOT to a folder that driver and executors share")
+    root = f"{shared or tempfile.gettempdir()}/bench-{uuid.uuid4().hex}"
     registered = queries()
 
     def build() -> Warehouse:

@@ -52,7 +52,7 @@ s_workorders AS (
 ),
 s_events AS (
   SELECT concat('AC-', user_id % ((SELECT n FROM fleet) + 5)) AS aircraftregistration
-  FROM events WHERE event_type = 'error'
+  FROM events
 ),
 s_reports AS (
   SELECT user_id AS reporteurid, concat('AC-', event_id % (SELECT n FROM fleet)) AS aircraftregistration,

@@ -27,8 +27,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--settings", help="file with dbname, user, password, ip and port")
     parser.add_argument("--env-prefix", default="FLEET_DB_", help="prefix of environment variables that win over it")
     parser.add_argument("--landing", help="new folder the JDBC tables are copied to, so that they are read once")
-    parser.add_argument("--lower", type=datetime.fromisoformat, default=datetime(2000, 1, 1), help="JDBC split bound")
-    parser.add_argument("--upper", type=datetime.fromisoformat, default=datetime(2030, 1, 1), help="JDBC split bound")
+    parser.add_argument("--lower", type=datetime.fromisoformat, help="start of the JDBC ranges; default: the smallest value")
+    parser.add_argument("--upper", type=datetime.fromisoformat, help="end of the JDBC ranges; default: the largest value")
     parser.add_argument("--partitions", type=int, default=64, help="parallel JDBC reads per table")
     return parser.parse_args(argv)
 
@@ -41,11 +41,21 @@ def sources(spark: SparkSession, args: argparse.Namespace) -> SourceTables:
     return landed(src, args.landing) if args.landing else src
 
 
+def print_rows(result: DataFrame) -> int:
+    """Print the whole result, fetched one partition at a time, and return the number of its rows."""
+    print("\t".join(result.columns))
+    rows = 0
+    for row in result.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+        rows += 1
+    return rows
+
+
 def show_timed(title: str, result: DataFrame) -> None:
+    """Print every row of a result, and how long this one run took."""
     start = time.perf_counter()
-    rows = result.count()
+    rows = print_rows(kpis.presented(result))
     print(f"{title}: {rows} rows in {time.perf_counter() - start:.2f} s")
-    kpis.presented(result).show(50, truncate=False)
 
 
 def compare(warehouse: Warehouse, src: SourceTables) -> None:
@@ -75,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     src = sources(spark, args)
     if args.command == "build":
         built = pipeline.run(spark, src, args.warehouse)
-        built.table("dq_summary").orderBy("item").show(50, truncate=False)
+        print_rows(built.table("dq_summary").orderBy("item"))
     else:
         compare(Warehouse.open(spark, args.warehouse), src)
 

@@ -33,17 +33,6 @@ def manufacturer_aircraft(lookup: DataFrame) -> DataFrame:
     return aircraft_lookup(lookup).select("manufacturer", "aircraft_id")
 
 
-def manufacturer_registrations(lookup: DataFrame, max_aircraft: int = 100_000) -> dict[str, list[str]]:
-    """The same as a dictionary on the driver; refuses a lookup too large to belong there."""
-    rows = manufacturer_aircraft(lookup).limit(max_aircraft + 1).collect()
-    if len(rows) > max_aircraft:
-        raise ValueError(f"more than {max_aircraft} aircraft: use manufacturer_aircraft() and a join instead")
-    grouped: dict[str, list[str]] = {}
-    for row in rows:
-        grouped.setdefault(row.manufacturer, []).append(row.aircraft_id)
-    return grouped
-
-
 def _days(table: DataFrame, *columns: str) -> DataFrame:
     """All days in some columns of one table: one scan, reduced to distinct days per task."""
     return table.select(F.explode(F.array(*[F.to_date(c) for c in columns])).alias("date_id"))

@@ -180,22 +180,20 @@ def report_id_ranges(reports: DataFrame) -> DataFrame:
     )
 
 
-def expanded_reports(ranges: DataFrame, chunk: int = 100_000) -> DataFrame:
-    """One row per id. Ranges of more than `chunk` ids are spread over tasks first."""
-    few = ranges.where(F.col("copies") <= chunk)
-    many = (
-        ranges.where(F.col("copies") > chunk)
-        .withColumn("part", F.explode(F.expr(f"sequence(0L, (copies - 1) div {chunk})")))
-        .repartition("first_id", "part")
-        .withColumns(
-            {
-                "first_id": F.expr(f"first_id + part * {chunk}"),
-                "copies": F.expr(f"least(copies - part * {chunk}, {chunk}L)"),
-            }
-        )
-        .drop("part")
+#: Ids that one task row expands at most.
+RANGE_IDS = 100_000
+
+
+def expanded_reports(ranges: DataFrame, piece_ids: int = RANGE_IDS) -> DataFrame:
+    """One row per id. Every range is cut into pieces, and the pieces are dealt to tasks before they become rows."""
+    piece = F.explode(F.expr(f"sequence(0L, (copies - 1) div {piece_ids})"))
+    pieces = ranges.withColumn("piece", piece).withColumns(
+        {
+            "first_id": F.expr(f"first_id + piece * {piece_ids}"),
+            "copies": F.expr(f"least(copies - piece * {piece_ids}, {piece_ids}L)"),
+        }
     )
-    return few.unionByName(many).select(
+    return pieces.repartition("first_id").drop("piece").select(
         F.explode(F.expr("sequence(first_id, first_id + copies - 1)")).alias("report_id"),
         "aircraft_id",
         "date_id",

@@ -30,7 +30,7 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
         return read("supplier").agg(F.count("*")).scalar()
 
     def reports(from_postflight: bool) -> DataFrame:
-        postflight = F.col("event_type").isin(*POSTFLIGHT_EVENTS)
+        postflight = F.coalesce(F.col("event_type").isin(*POSTFLIGHT_EVENTS), F.lit(False))
         rows = read("events").where(postflight if from_postflight else ~postflight)
         return rows.select(
             F.col("user_id").alias("reporteurid"),
@@ -44,9 +44,7 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
         "flights": lambda: _flights(read("lineitem")),
         "maintenance": lambda: _maintenance(read("orders"), fleet()),
         "workorders": lambda: read("orders").select(_aircraft(F.col("o_custkey") % fleet(), prefix=" ac-")),
-        "maintenanceevents": lambda: read("events")
-        .where("event_type = 'error'")
-        .select(_aircraft(F.col("user_id") % (fleet() + 5))),
+        "maintenanceevents": lambda: read("events").select(_aircraft(F.col("user_id") % (fleet() + 5))),
         "postflightreports": lambda: reports(True),
         "technicallogbookorders": lambda: reports(False),
         "aircraft_lookup": lambda: _lookup(read("supplier")),

@@ -94,19 +94,22 @@ def jdbc_query(name: str) -> str:
     return f"(SELECT {', '.join(columns)} FROM {table}) AS {name}"
 
 
-def jdbc_options(
-    settings: ConnectionSettings,
-    name: str,
-    lower: datetime | None = None,
-    upper: datetime | None = None,
-    partitions: int = 1,
-    fetch_size: int = 10_000,
-) -> dict[str, str]:
-    """Options of a JDBC read; with bounds, Spark issues one range query per partition.
+def range_predicates(column: str, lower: datetime, upper: datetime, partitions: int) -> list[str]:
+    """Conditions that deal every row to one read: half-open ranges, open at both ends, and one for NULL.
 
-    Bounds only set the stride: rows outside them, or with a NULL split column, still arrive.
+    Plain comparisons work for any type that the column has, and the database can use its index for them.
     """
-    options = {
+    step = (upper - lower) / partitions
+    cuts = [f"TIMESTAMP '{(lower + i * step).isoformat(sep=' ', timespec='microseconds')}'" for i in range(1, partitions)]
+    if not cuts:
+        return [f"{column} IS NOT NULL", f"{column} IS NULL"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [f"{column} < {cuts[0]}", *inner, f"{column} >= {cuts[-1]}", f"{column} IS NULL"]
+
+
+def jdbc_options(settings: ConnectionSettings, name: str, fetch_size: int = 10_000) -> dict[str, str]:
+    """Options of a JDBC read of one source table."""
+    return {
         "url": settings.url,
         "user": settings.user,
         "password": settings.password,
@@ -115,15 +118,13 @@ def jdbc_options(
         "fetchsize": str(fetch_size),
         "preferTimestampNTZ": "true",
     }
-    split_column = JDBC_TABLES[name][1]
-    if split_column is not None and lower is not None and upper is not None and partitions > 1:
-        options |= {
-            "partitionColumn": split_column,
-            "lowerBound": lower.isoformat(sep=" "),
-            "upperBound": upper.isoformat(sep=" "),
-            "numPartitions": str(partitions),
-        }
-    return options
+
+
+def jdbc_bounds(spark: SparkSession, options: dict[str, str], column: str) -> tuple[datetime, datetime] | None:
+    """The smallest and largest value of the split column, one row that the database computes; None if it has none."""
+    query = f"(SELECT min({column}) AS low, max({column}) AS high FROM {options['dbtable']}) AS bounds"
+    row = spark.read.format("jdbc").options(**(options | {"dbtable": query})).load().first()
+    return (row.low, row.high) if row and row.low is not None else None
 
 
 def jdbc_tables(
@@ -136,7 +137,15 @@ def jdbc_tables(
     partitions: int = 1,
 ) -> SourceTables:
     def read(name: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**jdbc_options(settings, name, lower, upper, partitions)).load()
+        options, column = jdbc_options(settings, name), JDBC_TABLES[name][1]
+        if column is None or partitions < 2:
+            return spark.read.format("jdbc").options(**options).load()
+        bounds = (lower, upper) if lower is not None and upper is not None else jdbc_bounds(spark, options, column)
+        if bounds is None:
+            return spark.read.format("jdbc").options(**options).load()
+        others = {key: value for key, value in options.items() if key not in ("url", "dbtable")}
+        ranges = range_predicates(column, *bounds, partitions)
+        return spark.read.jdbc(options["url"], options["dbtable"], predicates=ranges, properties=others)
 
     return SourceTables({name: partial(read, name) for name in JDBC_TABLES} | _files(spark, lookup_csv, personnel_csv))
 

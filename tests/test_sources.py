@@ -31,19 +31,27 @@ def test_password_is_not_shown():
     assert "secret" not in repr(read_settings(env=ENV))
 
 
-def test_jdbc_reads_are_split_on_a_column():
-    settings = read_settings(env=ENV)
-    options = T.jdbc_options(settings, "flights", datetime(1995, 1, 1), datetime(2025, 1, 1), partitions=200)
+def test_jdbc_reads_name_their_columns():
+    options = T.jdbc_options(read_settings(env=ENV), "flights")
     assert options["dbtable"].endswith('scheduledarrival, actualdeparture, actualarrival, cancelled FROM "AIMS".flights) AS flights')
-    assert options["partitionColumn"] == "scheduleddeparture"
-    assert (options["lowerBound"], options["numPartitions"]) == ("1995-01-01 00:00:00", "200")
-    assert options["preferTimestampNTZ"] == "true"
-    assert "partitionColumn" not in T.jdbc_options(settings, "flights")
-    assert "reportingdate::date AS reportingdate" in T.jdbc_options(settings, "postflightreports")["dbtable"]
+    assert options["preferTimestampNTZ"] == "true" and "partitionColumn" not in options
+    options = T.jdbc_options(read_settings(env=ENV), "postflightreports")
+    assert "reportingdate::date AS reportingdate" in options["dbtable"]
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 7])
+def test_jdbc_ranges_hold_every_row_once(spark, partitions):
+    low, high = datetime(2020, 1, 1), datetime(2020, 3, 1)
+    moments = [None, datetime(1990, 1, 1), low, datetime(2020, 1, 9, 3, 4, 5, 678901), high, datetime(2050, 1, 1)]
+    moments += [low + i * (high - low) / partitions for i in range(partitions + 1)]
+    rows = spark.createDataFrame([(m,) for m in moments], "at timestamp_ntz")
+    ranges = T.range_predicates("at", low, high, partitions)
+    assert len(ranges) == partitions + 1
+    assert sum(rows.where(condition).count() for condition in ranges) == len(moments)
 
 
 def test_jdbc_registrations_are_reduced_in_the_database():
-    options = T.jdbc_options(read_settings(env=ENV), "workorders", datetime(1995, 1, 1), datetime(2025, 1, 1), 200)
+    options = T.jdbc_options(read_settings(env=ENV), "workorders")
     assert options["dbtable"].startswith("(SELECT DISTINCT aircraftregistration FROM")
     assert "partitionColumn" not in options
 
