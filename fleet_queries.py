@@ -34,8 +34,7 @@ _repaired = pipeline.repaired_flights
 
 
 def _removed(src: SourceTables) -> DataFrame:
-    flights = _repaired(src).drop("times_swapped")
-    return quality.removed_flights(flights, quality.surviving_flights(quality.ordered_departures(flights)))
+    return quality.removed_flights(quality.flight_outcomes(_repaired(src).drop("times_swapped")))
 
 
 def _flights_fact(src: SourceTables) -> DataFrame:
@@ -80,23 +79,11 @@ def _dq_audit(src: SourceTables) -> DataFrame:
     # BR-21 looks at one aircraft at a time, so unknown aircraft can be rolled up on their own.
     unknown = checks.orphans(_flights(src), schemas.FLIGHTS.references[0], aircraft)
     candidates = {"flights": facts.flights_fact(unknown), "unavailability": _all_unavailability(src)}
-    return audit.dq_audit(_repaired(src), _removed(src), pipeline.report_rows(src), candidates, {"aircraft": aircraft})
+    return audit.dq_audit(quality.flight_outcomes(_repaired(src)), pipeline.report_rows(src), candidates, {"aircraft": aircraft})
 
 
 def _dq_summary(src: SourceTables) -> DataFrame:
-    stages = {
-        "source flights": src.flights,
-        "source maintenance": src.maintenance,
-        "source technical logbook": src.technicallogbookorders,
-        "source post-flight reports": src.postflightreports,
-        "source personnel": src.personnel,
-        "source aircraft": extract.aircraft_universe(src),
-        "source dates": extract.calendar(src),
-        "aircraft": _aircraft(src),
-        "dates": _dates(src),
-        "complete slots": facts.complete_slots(extract.maintenance(src.maintenance)),
-        "known reports": quality.with_known_aircraft(pipeline.report_rows(src), _aircraft(src)),
-    }
+    stages = pipeline.stages(src, _aircraft(src), extract.calendar(src), _dates(src))
     return audit.dq_summary(_dq_audit(src), stages)
 
 

@@ -1,4 +1,4 @@
-"""Command line: `build` a warehouse, or `compare` its KPIs with the ones from the source tables.
+"""Command line: `build` a warehouse, `compare` its KPIs with the ones from the source tables, or `clean` older runs.
 
 An error ends the process with a non-zero exit code and leaves the published warehouse as it was.
 """
@@ -19,10 +19,10 @@ from hangarline.warehouse import Warehouse
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="hangarline", description=__doc__)
-    parser.add_argument("command", choices=("build", "compare"))
+    parser.add_argument("command", choices=("build", "compare", "clean"))
     parser.add_argument("--warehouse", required=True, help="root folder of the warehouse")
-    parser.add_argument("--lookup", required=True, help="CSV with registration, model and manufacturer")
-    parser.add_argument("--personnel", required=True, help="CSV with reporter and airport (may be missing)")
+    parser.add_argument("--lookup", help="CSV with registration, model and manufacturer")
+    parser.add_argument("--personnel", help="CSV with reporter and airport (may be missing)")
     parser.add_argument("--tables", help="folder with the source tables as parquet; default: read them by JDBC")
     parser.add_argument("--settings", help="file with dbname, user, password, ip and port")
     parser.add_argument("--env-prefix", default="FLEET_DB_", help="prefix of environment variables that win over it")
@@ -30,7 +30,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--lower", type=datetime.fromisoformat, help="start of the JDBC ranges; default: the smallest value")
     parser.add_argument("--upper", type=datetime.fromisoformat, help="end of the JDBC ranges; default: the largest value")
     parser.add_argument("--partitions", type=int, default=64, help="parallel JDBC reads per table")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.command != "clean" and not (args.lookup and args.personnel):
+        parser.error(f"{args.command} needs --lookup and --personnel")
+    return args
 
 
 def sources(spark: SparkSession, args: argparse.Namespace) -> SourceTables:
@@ -82,6 +85,9 @@ def compare(warehouse: Warehouse, src: SourceTables) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = prepare(SparkSession.builder.appName("hangarline").getOrCreate())
+    if args.command == "clean":
+        print("\n".join(Warehouse.open(spark, args.warehouse).remove_older_runs()))
+        return
     src = sources(spark, args)
     if args.command == "build":
         built = pipeline.run(spark, src, args.warehouse)

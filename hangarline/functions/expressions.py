@@ -3,9 +3,9 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS_PER_MINUTE = 60_000_000.0
-MICROS_PER_HOUR = 3_600_000_000.0
-MICROS_PER_DAY = 86_400_000_000.0
+MICROS_PER_MINUTE = 60_000_000
+MICROS_PER_HOUR = 3_600_000_000
+MICROS_PER_DAY = 86_400_000_000
 
 # Every character a Unicode-aware strip removes. Spark's one-argument trim only
 # removes blanks, and a regular expression per row is far dearer than btrim with a set.
@@ -33,11 +33,11 @@ def false_if_null(condition: Column) -> Column:
 def micros_between(start: Column, end: Column) -> Column:
     """Whole microseconds from start to end.
 
-    Returned as a double: sums of whole numbers are exact and independent of row order below
-    2**53, and do not overflow above it. Needs a UTC session, because timestamps without zone are
-    read in the session zone here; this is several times faster than `timestamp_diff`.
+    A bigint, so that sums are exact and independent of row order, up to 2.5 billion hours; beyond that they
+    raise. Needs a UTC session, because timestamps without zone are read in the session zone here; this is
+    several times faster than `timestamp_diff`.
     """
-    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))).cast("double")
+    return F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
 
 
 def month_key(day: Column) -> Column:

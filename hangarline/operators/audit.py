@@ -22,8 +22,8 @@ AUDIT_TYPES = {
 }
 
 
-def _entries(rows: DataFrame, rule: str, **columns: Column | str) -> DataFrame:
-    """Audit entries of one rule: equal entries are one row with their number."""
+def _entries(rows: DataFrame, rule: Column | str, **columns: Column | str) -> DataFrame:
+    """Audit entries of a rule: equal entries are one row with their number."""
     values = {"rule": F.lit(rule), "copies": F.lit(1)} | {
         name: F.col(c) if isinstance(c, str) else c for name, c in columns.items()
     }
@@ -34,26 +34,21 @@ def _entries(rows: DataFrame, rule: str, **columns: Column | str) -> DataFrame:
     return entries.groupBy(*keys).agg(F.sum("copies").alias("copies"))
 
 
-def swapped_times(flights: DataFrame) -> DataFrame:
-    """Repaired flights, with the times as they arrived."""
-    return _entries(
-        flights.where("times_swapped"),
-        "BR-23",
-        aircraft_id="aircraft_id",
-        departure="actualarrival",
-        arrival="actualdeparture",
+def corrected_flights(outcomes: DataFrame) -> DataFrame:
+    """Repaired flights, with the times as they arrived, and removed ones, from one pass over the outcomes."""
+    departure, arrival = F.col("actualdeparture"), F.col("actualarrival")
+    repair = F.struct(
+        F.lit("BR-23").alias("rule"),
+        arrival.alias("departure"),
+        departure.alias("arrival"),
+        F.when(F.col("times_swapped"), F.col("copies")).otherwise(0).alias("copies"),
     )
-
-
-def removed_overlaps(removed: DataFrame) -> DataFrame:
-    return _entries(
-        removed,
-        "BR-21",
-        aircraft_id="aircraft_id",
-        departure="actualdeparture",
-        arrival="actualarrival",
-        copies="copies",
+    removal = F.struct(
+        F.lit("BR-21").alias("rule"), departure.alias("departure"), arrival.alias("arrival"), F.col("removed").alias("copies")
     )
+    rows = outcomes.select("aircraft_id", F.explode(F.array(repair, removal)).alias("entry")).where("entry.copies > 0")
+    described = {c: f"entry.{c}" for c in ("departure", "arrival", "copies")}
+    return _entries(rows, F.col("entry.rule"), aircraft_id="aircraft_id", **described)
 
 
 def dropped_reports(reports: DataFrame, aircraft: DataFrame) -> DataFrame:
@@ -77,16 +72,14 @@ def dropped_facts(candidates: dict[str, DataFrame], dimensions: dict[str, DataFr
 
 
 def dq_audit(
-    repaired: DataFrame,
-    removed: DataFrame,
+    outcomes: DataFrame,
     reports: DataFrame,
     candidates: dict[str, DataFrame],
     dimensions: dict[str, DataFrame],
 ) -> DataFrame:
-    """All entries. `repaired` are the flights after BR-23, `removed` those BR-21 removes from them."""
+    """All entries. `outcomes`: what `quality.flight_outcomes` gives for the flights after BR-23."""
     return (
-        swapped_times(repaired)
-        .unionByName(removed_overlaps(removed))
+        corrected_flights(outcomes)
         .unionByName(dropped_reports(reports, dimensions["aircraft"]))
         .unionByName(dropped_facts(candidates, dimensions))
     )

@@ -79,3 +79,22 @@ def require_unique_key(df: DataFrame, spec: TableSpec) -> None:
         raise IntegrityError(
             f"{spec.name}: {result.repeated_keys} repeated keys, {result.incomplete_rows} incomplete rows"
         )
+
+
+def require_integrity(tables: Mapping[str, DataFrame]) -> None:
+    """Runs the key, required-value and reference checks of all tables and raises if one fails.
+
+    A row for each table and reference reaches the driver.
+    """
+    faults = [
+        f"{r.table_name}: {r.repeated_keys} repeated keys, {r.incomplete_rows} incomplete rows"
+        for r in check_primary_keys(tables).collect()
+        if r.repeated_keys or r.incomplete_rows
+    ]
+    faults += [
+        f"{r.table_name}.{r.column_name}: {r.orphan_rows} rows without a row in {r.reference_table}"
+        for r in check_references(tables).collect()
+        if r.orphan_rows
+    ]
+    if faults:
+        raise IntegrityError("; ".join(faults))

@@ -31,10 +31,10 @@ def _measures(flown: Column, late: Column) -> dict[str, Column]:
     cancelled = false_if_null(F.col("cancelled"))
     delayed = ~cancelled & false_if_null(late > DELAY_THRESHOLD_MINUTES * MICROS_PER_MINUTE)
     return {
-        "flight_micros": F.when(cancelled, 0.0).otherwise(F.coalesce(flown, F.lit(0.0))),
+        "flight_micros": F.when(cancelled, 0).otherwise(F.coalesce(flown, F.lit(0))),
         "takeoff": (~cancelled).cast("int"),
         "delays": delayed.cast("int"),
-        "delay_micros": F.when(delayed, late).otherwise(0.0),
+        "delay_micros": F.when(delayed, late).otherwise(0),
         "cancellations": cancelled.cast("int"),
     }
 

@@ -38,6 +38,39 @@ def contestable() -> Column:
     return airborne() & (F.col("actualarrival") > F.col("actualdeparture"))
 
 
+#: Makes every scheduled arrival positive, in microseconds; 0 stands for a missing one. Twice as much is never reached.
+SCHEDULED_OFFSET = 10**18
+
+
+def _decimal(value: int) -> Column:
+    return F.lit(str(value)).cast(f"decimal({len(str(value))},0)")
+
+
+def _rank() -> Column:
+    """Arrival, scheduled arrival and whether `cancelled` is known as one number, in that order of weight.
+
+    A maximum of numbers has a buffer of fixed width, so it is aggregated by hash; one of structs by sorting.
+    """
+    arrival = F.unix_micros(F.col("actualarrival").cast("timestamp")).cast("decimal(18,0)")
+    scheduled = F.unix_micros(F.col("scheduledarrival").cast("timestamp")) + SCHEDULED_OFFSET
+    known = F.col("cancelled").isNotNull().cast("bigint")
+    lower = F.coalesce(scheduled, F.lit(0)) * 2 + known
+    return (arrival * _decimal(4 * SCHEDULED_OFFSET) + lower.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def _unranked(rank: Column) -> dict[str, Column]:
+    """The columns that `_rank` holds."""
+    lower = F.pmod(rank, _decimal(4 * SCHEDULED_OFFSET))
+    arrival = F.call_function("div", rank - lower, _decimal(4 * SCHEDULED_OFFSET))
+    low = lower.cast("bigint")
+    scheduled = F.nullif(F.shiftright(low, 1), F.lit(0)) - SCHEDULED_OFFSET
+    return {
+        "actualarrival": F.timestamp_micros(arrival).cast("timestamp_ntz"),
+        "scheduledarrival": F.timestamp_micros(scheduled).cast("timestamp_ntz"),
+        "cancelled": F.when(low % 2 == 1, F.lit(False)),
+    }
+
+
 def ordered_departures(flights: DataFrame, totals: Mapping[str, Column] | None = None) -> DataFrame:
     """BR-21 decided for one candidate per aircraft, scheduled day and departure.
 
@@ -50,47 +83,48 @@ def ordered_departures(flights: DataFrame, totals: Mapping[str, Column] | None =
     flights with the same placeholder departure, shrinks to one row per day.
 
     Candidates are not ordered by aircraft alone either, as one aircraft may hold a large share of all
-    flights, but within (aircraft, month of departure). There the clock bounds them: a month has 44,640
-    minutes or 2.7 million seconds, however many flights there are. The last departure of a month is
-    followed by the first of the next month that has any, from a small table with one row per aircraft
-    and month. That table is merged on the keys the window already partitions and sorts by, so the
-    candidates are not shuffled again for it.
+    flights, but within (aircraft, span of departure). The last departure of a span is followed by the
+    first of the next span that has any. Both ends of every span meet in a second window per aircraft,
+    at most two rows per span, whatever the number of flights. Both parts start from the same exchange,
+    so the flights are read and shuffled once.
 
     Columns of the result: `aircraft_id`, `date_id`, `departure` (NULL for flights outside the rule),
     `last` (the candidate's other columns, NULL if there is none), `survives`, and the sums `totals`
     over all flights of the row.
     """
     require_columns(flights, FLIGHT_COLUMNS, "flights")
-    rest = [c for c in flights.columns if c not in ("aircraft_id", "date_id", "actualdeparture")]
-    rest.sort(key=lambda c: (c != "actualarrival", c != "scheduledarrival"))
-    rest.insert(2, "date_id")
-    month_keys = ["aircraft_id", "departure_month"]
+    more = [c for c in flights.columns if c not in FLIGHT_COLUMNS]
+    best = F.struct(_rank().alias("rank"), *more) if more else _rank()
     # Flights outside the rule are not filtered out: pushed down to the scan, the filter would evaluate
     # the repair expressions of BR-23 many times. They collapse into one row per aircraft and day.
-    # A maximum of structs is aggregated by sorting, which is fastest with the most selective key first.
     departures = (
         flights.withColumn("departure", F.when(airborne(), F.col("actualdeparture")))
         .groupBy("departure", "aircraft_id", "date_id")
         .agg(
-            F.max(F.when(contestable(), F.struct(*rest))).alias("last"),
+            F.max(F.when(contestable(), best)).alias("best"),
             *[F.sum(value).alias(name) for name, value in (totals or {}).items()],
         )
-        .withColumn("departure_month", F.trunc("departure", "month"))
-    )
-    in_month = Window.partitionBy(*month_keys).orderBy("departure", "last")
-    by_month = Window.partitionBy("aircraft_id").orderBy("departure_month")
-    month_starts = (
-        departures.groupBy(*month_keys)
-        .agg(F.min("departure").alias("first_departure"))
-        .select(*month_keys, F.lead("first_departure").over(by_month).alias("next_month_departure"))
+        .withColumn("span", F.to_date("departure"))
     )
-    followed_by = F.coalesce("next_departure", "next_month_departure")
-    survives = F.col("last").isNotNull() & F.coalesce(followed_by >= F.col("last.actualarrival"), F.lit(True))
-    return (
-        departures.withColumn("next_departure", F.lead("departure").over(in_month))
-        .join(month_starts.hint("merge"), month_keys, "left")
-        .select("aircraft_id", "date_id", "departure", "last", survives.alias("survives"), *(totals or {}))
+    rank = F.col("best.rank") if more else F.col("best")
+    order = (F.col("departure"), rank, F.col("date_id"))
+    in_span = Window.partitionBy("aircraft_id", "span").orderBy(*order)
+    followed = departures.withColumns(
+        {"next_departure": F.lead("departure").over(in_span), "place": F.row_number().over(in_span)}
     )
+    is_last = F.col("departure").isNotNull() & F.col("next_departure").isNull()
+    inner = followed.where(~is_last)
+    # Only ends of spans take part, and only the last ones need their successor.
+    ends = followed.where(is_last | ((F.col("place") == 1) & F.col("departure").isNotNull()))
+    of_aircraft = Window.partitionBy("aircraft_id").orderBy(*order)
+    ends = ends.withColumn("following", F.lead("departure").over(of_aircraft)).where("next_departure IS NULL")
+    rows = inner.unionByName(ends.withColumn("next_departure", F.col("following")).drop("following"))
+    values = _unranked(rank) | {"date_id": F.col("date_id")} | {c: F.col(f"best.{c}") for c in more}
+    names = [c for c in flights.columns if c not in ("aircraft_id", "actualdeparture")]
+    rows = rows.withColumn("last", F.when(F.col("best").isNotNull(), F.struct(*[values[c].alias(c) for c in names])))
+    in_time = F.coalesce(F.col("next_departure") >= F.col("last.actualarrival"), F.lit(True))
+    survives = F.col("last").isNotNull() & in_time
+    return rows.select("aircraft_id", "date_id", "departure", "last", survives.alias("survives"), *(totals or {}))
 
 
 def surviving_flights(departures: DataFrame) -> DataFrame:
@@ -104,17 +138,32 @@ def without_overlaps(flights: DataFrame) -> DataFrame:
     return flights.where(~contestable()).unionByName(survivors.select(flights.columns))
 
 
-def removed_flights(flights: DataFrame, survivors: DataFrame) -> DataFrame:
-    """The flights BR-21 removes: contestable ones minus survivors, equal rows counted as `copies`."""
-    candidates = flights.withColumn("copies", contestable().cast("long"))
+def flight_outcomes(flights: DataFrame, survivors: DataFrame | None = None) -> DataFrame:
+    """Distinct flights with their number, `copies`, and how many of these BR-21 removes, `removed`.
+
+    Equal flights are counted once, and the search for survivors starts from the counted rows, so that both
+    share one exchange. `survivors`: the flights that BR-21 keeps, where they are known already.
+    """
+    counted = flights.groupBy(*flights.columns).agg(F.count("*").alias("copies"))
+    if survivors is None:
+        survivors = surviving_flights(ordered_departures(counted))
+    else:
+        survivors = survivors.select(*flights.columns, F.lit(0).cast("long").alias("copies"))
+    both = counted.withColumn("kept", F.lit(0)).unionByName(survivors.withColumn("kept", F.lit(1)))
+    removed = F.when(contestable(), F.col("copies") - F.col("kept")).otherwise(0)
     return (
-        candidates.unionByName(survivors.select(*flights.columns, F.lit(-1).cast("long").alias("copies")))
-        .groupBy(*flights.columns)
-        .agg(F.sum("copies").alias("copies"))
-        .where("copies > 0")
+        both.groupBy(*flights.columns)
+        .agg(F.max("copies").alias("copies"), F.sum("kept").alias("kept"))
+        .select(*flights.columns, "copies", removed.alias("removed"))
     )
 
 
+def removed_flights(outcomes: DataFrame) -> DataFrame:
+    """The flights BR-21 removes, equal rows counted as `copies`."""
+    flights = [c for c in outcomes.columns if c not in ("copies", "removed")]
+    return outcomes.where("removed > 0").select(*flights, F.col("removed").alias("copies"))
+
+
 def with_known_aircraft(rows: DataFrame, aircraft: DataFrame) -> DataFrame:
     """Rows whose (normalised) aircraft is in the aircraft dimension."""
     return _normalised(rows).join(_registrations(aircraft), "aircraft_id", "left_semi")

@@ -54,8 +54,35 @@ def fact_tables(src: SourceTables, aircraft: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def run(spark: SparkSession, src: SourceTables, root: str) -> Warehouse:
-    """Full rebuild. Publishes only if everything was written; an error leaves the old run in place.
+def stages(src: SourceTables, aircraft: DataFrame, calendar: DataFrame, dates: DataFrame) -> dict[str, DataFrame]:
+    """What the summary counts, by label: what the sources hold, and what is left after each step that drops rows."""
+    return {
+        "source flights": src.flights,
+        "source maintenance": src.maintenance,
+        "source technical logbook": src.technicallogbookorders,
+        "source post-flight reports": src.postflightreports,
+        "source personnel": src.personnel,
+        "source aircraft": extract.aircraft_universe(src),
+        "source dates": calendar,
+        "aircraft": aircraft,
+        "dates": dates,
+        "complete slots": facts.complete_slots(extract.maintenance(src.maintenance)),
+        "known reports": quality.with_known_aircraft(report_rows(src), aircraft),
+    }
+
+
+#: Tables of a run that later steps of the same build read, and nobody else.
+INTERMEDIATES = ("calendar", "flights_repaired", "flight_departures", "report_ranges", "unavailability_monthly")
+
+
+def publish(warehouse: Warehouse) -> None:
+    """Publishes a run if keys, required values and references hold in all its tables, else raises."""
+    checks.require_integrity(warehouse.tables())
+    warehouse.publish()
+
+
+def run(spark: SparkSession, src: SourceTables, root: str, keep_intermediates: bool = False) -> Warehouse:
+    """Full rebuild. Publishes only if everything was written and is sound; an error leaves the old run in place.
 
     Dimensions are read back after they are written, so later joins know their true size. Repaired
     flights and the outcome of BR-21 feed the fact and the audit; they are stored instead of being
@@ -72,7 +99,8 @@ def run(spark: SparkSession, src: SourceTables, root: str) -> Warehouse:
     numbered = loadable_reports(src, aircraft)
 
     def write_calendar() -> None:
-        dates = warehouse.write("date", dimensions.dates(extract.calendar(src)))
+        days = warehouse.write("calendar", extract.calendar(src))
+        dates = warehouse.write("date", dimensions.dates(days))
         warehouse.write("month", dimensions.months(dates))
 
     def write_reports() -> None:
@@ -85,16 +113,20 @@ def run(spark: SparkSession, src: SourceTables, root: str) -> Warehouse:
         summing = pool.submit(lambda: warehouse.write("unavailability_monthly", facts.unavailability_fact(slots)))
         numbering = pool.submit(write_reports)
         repaired = repairing.result()
-        ordered = repaired.drop("times_swapped")
-        departures = warehouse.write("flight_departures", facts.measured_departures(ordered))
-        removed = quality.removed_flights(ordered, quality.surviving_flights(departures))
+        departures = warehouse.write("flight_departures", facts.measured_departures(repaired))
+        outcomes = quality.flight_outcomes(repaired, quality.surviving_flights(departures))
         candidates = {"flights": facts.daily_flights(departures), "unavailability": summing.result()}
-        entries = audit.dq_audit(repaired, removed, reports, candidates, {"aircraft": aircraft})
+        entries = audit.dq_audit(outcomes, reports, candidates, {"aircraft": aircraft})
         auditing = pool.submit(lambda: warehouse.write("dq_audit", entries))
         for name, candidate in candidates.items():
             warehouse.write(name, loadable(candidate, aircraft))
         for step in (calendar, numbering):
             step.result()
-        warehouse.write("dq_summary", audit.dq_summary(auditing.result(), warehouse.tables()))
-    warehouse.publish()
+        counted = stages(src, aircraft, warehouse.table("calendar"), warehouse.table("date"))
+        counted |= {f"published {name}": table for name, table in warehouse.tables().items()}
+        warehouse.write("dq_summary", audit.dq_summary(auditing.result(), counted))
+    publish(warehouse)
+    if not keep_intermediates:
+        for name in INTERMEDIATES:
+            warehouse.remove(name)
     return warehouse

@@ -32,7 +32,7 @@ SUMS = (
 
 
 def _zeros(*names: str) -> list[Column]:
-    return [F.lit(0 if name in ("flight_cycles", "cancellations", "delays") else 0.0).alias(name) for name in names]
+    return [F.lit(0).alias(name) for name in names]
 
 
 def _flight_rows(flights: DataFrame) -> DataFrame:
@@ -43,11 +43,11 @@ def _flight_rows(flights: DataFrame) -> DataFrame:
     return flights.select(
         F.col("aircraftregistration").alias("aircraft_id"),
         F.year("scheduleddeparture").alias("year"),
-        F.when(cancelled, 0.0).otherwise(flown).alias("flight_micros"),
+        F.when(cancelled, 0).otherwise(flown).alias("flight_micros"),
         (~cancelled).cast("int").alias("flight_cycles"),
         cancelled.cast("int").alias("cancellations"),
         delayed.cast("int").alias("delays"),
-        F.when(delayed, late).otherwise(0.0).alias("delay_micros"),
+        F.when(delayed, late).otherwise(0).alias("delay_micros"),
         *_zeros("scheduled_micros", "unscheduled_micros"),
     )
 
@@ -59,8 +59,8 @@ def _slot_rows(maintenance: DataFrame) -> DataFrame:
         F.col("aircraftregistration").alias("aircraft_id"),
         F.year("scheduleddeparture").alias("year"),
         *_zeros("flight_micros", "flight_cycles", "cancellations", "delays", "delay_micros"),
-        F.when(programmed, length).otherwise(0.0).alias("scheduled_micros"),
-        F.when(programmed, 0.0).otherwise(length).alias("unscheduled_micros"),
+        F.when(programmed, length).otherwise(0).alias("scheduled_micros"),
+        F.when(programmed, 0).otherwise(length).alias("unscheduled_micros"),
     )
 
 

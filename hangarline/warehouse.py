@@ -4,7 +4,7 @@
     <root>/publications/                one row per published run
 
 A run writes into its own folder and is appended to the log last, so readers see either the whole
-new run or the previous one. Earlier runs are left alone.
+new run or the previous one. Earlier runs are left alone by the build; `remove_older_runs` removes them.
 """
 
 import uuid
@@ -84,6 +84,23 @@ class Warehouse:
         published = self.spark.createDataFrame(row, PUBLICATION_SCHEMA).coalesce(1)
         published.write.mode("append").parquet(f"{self.root}/publications")
 
+    def remove(self, table: str) -> None:
+        """Removes one table of this run."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+    def remove_older_runs(self) -> list[str]:
+        """Removes the runs that started before this one, published or failed, and returns their ids.
+
+        Nobody may be reading or writing them. Run ids begin with the time of their start, so they sort by it.
+        """
+        runs = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/runs")
+        files = runs.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        older = sorted(s.getPath().getName() for s in files.listStatus(runs) if s.getPath().getName() < self.run_id)
+        for run_id in older:
+            files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(runs, run_id), True)
+        return older
+
     def utilization(self) -> DataFrame:
         return kpis.utilization(self.table("flights"), self.table("unavailability"), self.table("aircraft"))
 

@@ -26,3 +26,13 @@ def test_durations_keep_microseconds_and_sign(spark):
     row = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 01:59:59.5' AS a, TIMESTAMP_NTZ '2024-03-10 03:00:00.000001' AS b")
     found = row.select(micros_between(F.col("a"), F.col("b")), micros_between(F.col("b"), F.col("a"))).first()
     assert tuple(found) == (3_600_500_001.0, -3_600_500_001.0)
+
+
+def test_sums_of_durations_do_not_depend_on_partitions(spark):
+    start, end = "TIMESTAMP_NTZ '1970-01-01 00:00:00'", "TIMESTAMP_NTZ '2020-01-01 00:00:00'"
+    columns = [f"{start} AS a", f"{end} - make_dt_interval(0, 0, 0, id / 1000000) AS b"]
+    expected = 2000 * 1_577_836_800_000_000 - sum(range(2000))
+    assert expected > 2**53
+    for parts in (1, 5):
+        rows = spark.range(0, 2000, 1, parts).selectExpr(*columns)
+        assert rows.agg(F.sum(micros_between(F.col("a"), F.col("b")))).first()[0] == expected

@@ -14,7 +14,7 @@ def fact(spark, rows):
 
 
 def removed_flights(flights):
-    return quality.removed_flights(flights, quality.surviving_flights(quality.ordered_departures(flights)))
+    return quality.removed_flights(quality.flight_outcomes(flights))
 
 
 def kept_and_removed(spark, rows):

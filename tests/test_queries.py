@@ -6,9 +6,11 @@ import pytest
 from compare import SF_SMALL, connect, differences
 
 import __spark_entry__ as entry_point
+import duckdb_oracles
+import fleet_queries
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = fleet_queries.queries()
+ORACLES = duckdb_oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,8 +18,10 @@ def con():
     return connect(SF_SMALL)
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_has_an_oracle_and_is_registered():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert ORACLES.items() <= entry_point.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -40,11 +44,30 @@ def test_plan_stays_in_the_jvm_without_cross_joins(spark, name):
 
 
 @pytest.mark.parametrize("name", ["br21_flagged", "fact_flights", "kpi_utilization", "dq_audit"])
-def test_overlap_window_is_split_by_month(spark, name):
+def test_overlap_window_is_split_by_day(spark, name):
     windows = re.findall(r"Window \[lead\(departure#.*?windowspecdefinition\((.*?)\)", physical_plan(spark, name))
-    assert windows
-    for spec in windows:
-        assert re.match(r"aircraft_id#\d+, departure_month#\d+, departure#\d+ ", spec)
+    spans = [spec for spec in windows if re.match(r"aircraft_id#\d+, span#\d+, departure#\d+ ", spec)]
+    ends = [spec for spec in windows if re.match(r"aircraft_id#\d+, departure#\d+ ", spec)]
+    assert spans and ends and len(spans) + len(ends) == len(windows)
+
+
+def executed_plan(df):
+    """The plan as it ran, after reuse of exchanges."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize(("name", "scans"), [("fact_flights", 1), ("br21_flagged", 1), ("dq_audit", 2)])
+def test_flights_are_read_once_for_each_shape(spark, name, scans):
+    plan = executed_plan(QUERIES[name](spark, SF_SMALL))
+    assert len(re.findall(r"FileScan parquet \[[^\]]*l_shipdate", plan)) == scans
+    assert "ReusedExchange" in plan
+
+
+def test_flights_fact_is_aggregated_by_hash(spark):
+    plan = executed_plan(QUERIES["fact_flights"](spark, SF_SMALL))
+    assert "SortAggregate" not in plan
+    assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan)) <= 6
 
 
 def test_scans_read_only_what_they_need(spark):

@@ -2,6 +2,7 @@
 
 import pytest
 from compare import SF_SMALL, connect, differences
+from pyspark.sql import functions as F
 
 import duckdb_oracles
 from hangarline import schemas
@@ -18,7 +19,7 @@ def root(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def built(spark, root):
-    return pipeline.run(spark, sample_tables(spark, SF_SMALL), root)
+    return pipeline.run(spark, sample_tables(spark, SF_SMALL), root, keep_intermediates=True)
 
 
 @pytest.mark.parametrize(
@@ -77,6 +78,48 @@ def test_open_without_a_warehouse(spark, tmp_path):
         Warehouse.open(spark, str(tmp_path))
 
 
+def test_summary_counts_every_stage(built):
+    summary = built.table("dq_summary")
+    stages = summary.where("item NOT LIKE 'published %'")
+    assert differences(stages, connect(SF_SMALL), duckdb_oracles.oracle_sql()["dq_summary"]) is None
+    assert summary.where("item LIKE 'published %'").count() == len(schemas.TABLES)
+
+
+@pytest.mark.parametrize(
+    ("table", "change", "named"),
+    [
+        ("reports", {"report_id": "0L"}, "reports: 1 repeated keys"),
+        ("reports", {"reporter_class": "CAST(NULL AS STRING)"}, "incomplete rows"),
+        ("unavailability", {"month_id": "999912"}, "unavailability.month_id"),
+    ],
+)
+def test_unsound_tables_are_not_published(spark, built, tmp_path, table, change, named):
+    for broken in (False, True):
+        warehouse = Warehouse.new_run(spark, str(tmp_path))
+        for name, df in built.tables().items():
+            if broken and name == table:
+                df = df.withColumns({column: F.expr(value) for column, value in change.items()})
+            warehouse.write(name, df)
+        if broken:
+            with pytest.raises(checks.IntegrityError, match=named):
+                pipeline.publish(warehouse)
+        else:
+            pipeline.publish(warehouse)
+            sound = warehouse.run_id
+    assert Warehouse.open(spark, str(tmp_path)).run_id == sound
+
+
+def test_what_remains_of_runs(spark, tmp_path):
+    src = sample_tables(spark, SF_SMALL)
+    failed = Warehouse(spark, str(tmp_path), "20000101T000000-failed")
+    failed.write("month", spark.createDataFrame([(202401, 1, 2024)], schemas.MONTH.schema))
+    run = pipeline.run(spark, src, str(tmp_path))
+    remaining = {path.name for path in (tmp_path / "runs" / run.run_id).iterdir()}
+    assert remaining == {*schemas.TABLES, "dq_audit", "dq_summary"}
+    assert run.remove_older_runs() == [failed.run_id]
+    assert [path.name for path in (tmp_path / "runs").iterdir()] == [run.run_id]
+
+
 def test_conflicting_aircraft_stop_the_build(spark, tmp_path):
     src = sample_tables(spark, SF_SMALL)
     lookup = src.aircraft_lookup
