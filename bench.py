@@ -26,6 +26,12 @@ HEADLINE = (
     "fact_reports",
     "br21_flagged",
     "dq_audit",
+    "dq_summary",
+    "chk_primary_keys",
+    "chk_foreign_keys",
+    "reconcile_utilization",
+    "reconcile_reporting",
+    "reconcile_reporting_role",
     "kpi_utilization",
     "kpi_reporting",
     "kpi_reporting_role",

@@ -133,10 +133,16 @@ def reporter_airports(personnel: DataFrame) -> DataFrame:
 
 
 def attributed_reports(known: DataFrame, personnel: DataFrame) -> DataFrame:
-    """Airport of the reporter (pilots have none) and upper-case labels."""
+    """Airport of the reporter (pilots have none) and upper-case labels.
+
+    Reports without a reporter match nobody; a key of their own spreads them over the tasks of the join.
+    """
+    own = F.concat(F.lit("none "), F.xxhash64("aircraft_id", "date_id", "reporter_class", "source").cast("string"))
+    airports = reporter_airports(personnel).select(F.col("reporter_id").cast("string").alias("reporter_key"), "airport")
     return (
         known.drop("airport")
-        .join(reporter_airports(personnel), "reporter_id", "left")
+        .withColumn("reporter_key", F.coalesce(F.col("reporter_id").cast("string"), own))
+        .join(airports, "reporter_key", "left")
         .select(
             "aircraft_id",
             "date_id",

@@ -53,6 +53,7 @@ def _schema(*fields: tuple) -> T.StructType:
 _S, _I, _L, _D, _DATE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType()
 _AIRCRAFT, _DAY, _MONTH = (Reference("aircraft_id", "aircraft"), Reference("date_id", "date"), Reference("month_id", "month"))
 
+# Names, types, keys and measures of the warehouse tables.
 DATE = TableSpec(
     "date",
     _schema(("date_id", _DATE, False), ("day", _I, True), ("month", _I, True), ("year", _I, True)),

@@ -42,7 +42,9 @@ def sequential_rule(rows):
 
 
 def test_swapped_times_give_positive_hours(spark):
-    assert fact(spark, [flight("XY-AAA", "12:00", "10:00")])["XY-AAA"].flight_hours == 2.0
+    rows = [flight("T1", "2024-03-01 00:40", "2024-02-29 22:25"), flight("T1", "2024-02-29 06:00", "2024-02-29 06:45")]
+    days = facts.flights_fact(flights_frame(spark, rows)).collect()
+    assert {r.date_id.isoformat(): r.flight_hours for r in days} == {"2024-03-01": 2.25, "2024-02-29": 0.75}
 
 
 def test_swap_is_strict_and_ignores_missing_times_but_not_cancellations(spark):
@@ -59,21 +61,25 @@ def test_swap_is_strict_and_ignores_missing_times_but_not_cancellations(spark):
 
 
 def test_earlier_of_two_overlapping_flights_is_dropped(spark):
-    out = fact(
-        spark,
-        [
-            flight("XY-AAA", "08:00", "11:00"),
-            flight("XY-AAA", "10:00", "12:00"),
-            flight("XY-BBB", "10:00", "12:00"),
-        ],
-    )
-    assert (out["XY-AAA"].takeoff, out["XY-AAA"].flight_hours) == (1, 2.0)
-    assert out["XY-BBB"].takeoff == 1
+    # One minute of overlap across midnight is enough; the same times on another aircraft do not matter.
+    rows = [
+        flight("T1", "2024-05-04 22:10", "2024-05-05 01:31"),
+        flight("T1", "2024-05-05 01:30", "2024-05-05 02:15"),
+        flight("T2", "2024-05-04 22:10", "2024-05-05 01:31"),
+    ]
+    out = {(r.aircraft_id, r.date_id.day): (r.takeoff, r.flight_hours) for r in facts.flights_fact(flights_frame(spark, rows)).collect()}
+    assert out == {("T1", 5): (1, 0.75), ("T2", 4): (1, 3.35)}
 
 
 def test_cancelled_flights_do_not_overlap(spark):
-    out = fact(spark, [flight("XY-AAA", "08:00", "11:00"), flight("XY-AAA", "10:00", "12:00", cancelled=True)])
-    assert (out["XY-AAA"].takeoff, out["XY-AAA"].cancellations) == (1, 1)
+    rows = [
+        flight("T1", "05:15", "06:00"),
+        flight("T1", "05:30", "05:40", cancelled=True),
+        flight("T1", "05:59", "07:29", cancelled=True),
+        flight("T1", "06:00", "07:30"),
+    ]
+    out = fact(spark, rows)["T1"]
+    assert (out.takeoff, out.cancellations, out.flight_hours) == (2, 2, 2.25)
 
 
 def test_chain_drops_all_but_the_last(spark):
@@ -173,15 +179,14 @@ def test_many_flights_with_one_placeholder_departure_leave_the_last(spark):
 
 
 def test_delay_counts_from_more_than_fifteen_minutes_in_full(spark):
-    out = fact(
-        spark,
-        [
-            flight("XY-AAA", "08:00", "10:30", scheduled="10:00"),
-            flight("XY-AAA", "12:00", "14:10", scheduled="14:00"),
-            flight("XY-AAA", "15:00", "16:15", scheduled="16:00"),
-        ],
-    )["XY-AAA"]
-    assert (out.delays, out.delay_minutes) == (1, 30.0)
+    rows = [
+        flight("T1", "2024-01-01 04:00", "2024-01-01 05:15:00", scheduled="2024-01-01 05:00"),
+        flight("T1", "2024-01-01 06:00", "2024-01-01 07:15:01", scheduled="2024-01-01 07:00"),
+        flight("T1", "2024-01-01 09:00", "2024-01-01 09:50:00", scheduled="2024-01-01 10:00"),
+        flight("T1", "2024-01-01 22:00", "2024-01-02 00:44:59", scheduled="2024-01-01 23:00"),
+    ]
+    out = fact(spark, rows)["T1"]
+    assert (out.delays, out.delay_minutes) == (2, 120.0)
 
 
 def test_measures_of_incomplete_and_cancelled_flights(spark):

@@ -23,20 +23,22 @@ def reports(spark, *rows, source="postflightreport"):
 
 
 def test_unknown_aircraft_dropped_and_airports_for_both_feeds(spark):
-    postflight = reports(spark, (1, "XY-AAA", DAY, "MAREP"), (2, "XY-ZZZ", DAY, "PIREP"))
-    logbook = reports(spark, (1, "XY-AAA", DAY, "MAREP"), source="technicallogbook")
-    out = facts.reports_fact(postflight, logbook, aircraft(spark, "XY-AAA"), personnel(spark, (1, "BCN"))).collect()
-    assert [r.aircraft_id for r in out] == ["XY-AAA"] * 2
-    assert [r.airport for r in out] == ["BCN"] * 2
-    assert sorted(r.report_id for r in out) == [0, 1]
-    assert {r.report_id: r.source for r in out} == {0: "POSTFLIGHTREPORT", 1: "TECHNICALLOGBOOK"}
+    postflight = reports(spark, (4, "Q7", DAY, "PIREP"), (4, "gone", DAY, "PIREP"), (5, "Q8", DAY, "MAREP"))
+    logbook = reports(spark, (5, "q7 ", DAY, "MAREP"), (5, "gone", DAY, "MAREP"), source="technicallogbook")
+    people = personnel(spark, (5, "OSL"), (6, "LIN"))
+    out = facts.reports_fact(postflight, logbook, aircraft(spark, "Q7", "Q8"), people).collect()
+    assert {r.report_id: (r.aircraft_id, r.airport, r.source) for r in out} == {
+        0: ("Q7", None, "POSTFLIGHTREPORT"),
+        1: ("Q8", "OSL", "POSTFLIGHTREPORT"),
+        2: ("Q7", "OSL", "TECHNICALLOGBOOK"),
+    }
 
 
 def test_aircraft_are_compared_normalised_and_missing_ones_are_unknown(spark):
-    rows = reports(spark, (1, " xy-aaa\t", DAY, "marep"), (2, None, DAY, "pirep"), (3, "NONE", DAY, "pirep"))
-    known = quality.with_known_aircraft(rows, aircraft(spark, "XY-AAA")).collect()
-    unknown = quality.with_unknown_aircraft(rows, aircraft(spark, "XY-AAA")).collect()
-    assert [r.aircraft_id for r in known] == ["XY-AAA"]
+    rows = reports(spark, (1, "\tq7 ", DAY, "marep"), (2, None, DAY, "pirep"), (3, "NONE", DAY, "pirep"))
+    known = quality.with_known_aircraft(rows, aircraft(spark, "Q7")).collect()
+    unknown = quality.with_unknown_aircraft(rows, aircraft(spark, "Q7")).collect()
+    assert [r.aircraft_id for r in known] == ["Q7"]
     assert sorted(r.reporter_id for r in unknown) == [2, 3]
 
 
