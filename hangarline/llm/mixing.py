@@ -1,12 +1,16 @@
 """Mixing to target weights by soft membership.
 
-A naive Bayes classifier, learned from the labelled table, gives each document a probability for each domain. Document rates
-between 0 and `max_rate` are fitted so that the expected tokens of each domain match their targets: least squares over
-the domains, each scaled by its own mass, solved by projected gradient steps. All steps are DataFrame expressions and aggregates.
+A naive Bayes classifier, learned from the labelled table, gives each document a probability for each domain. Rates are
+fitted so that the expected tokens of each domain have exactly the stated share: of all rates that do so, those that
+change least, sum of tokens * (rate - 1)^2. They have the form 1 + sum of c_i * (p_i - weight_i), cut to [0, cap]; the c are
+found by Newton steps until no share misses its weight by more than TOLERANCE. The cap is 1 if so the mix keeps
+NO_REPEATS of the tokens that the domain of the largest weight allows, else `max_rate`: scarce domains are repeated. If
+no such mix keeps LEAST of them, the weights cannot be met: there is a warning, and the rates are the least squares fit
+to them, without repeats. `achieved_shares` gives wanted, present and achieved shares. All steps are DataFrame expressions and aggregates.
 
 Scale: words meet a broadcast table of fixed size (a row for each hash bucket) inside one pass over the texts; a document's
-sums are complete before they are shuffled. Posteriors lie on a grid, and documents with equal posteriors share
-their rate, so the steps run over one row for each posterior; the driver sees a few numbers a step. The classifier learns from a
+sums are complete before they are shuffled. Log-odds lie on a grid, so that rare domains keep their small
+probabilities, and the steps run over one row for each posterior; the driver sees a few numbers a step. The classifier learns from a
 bounded sample of labelled rows (`max_rows`, the smallest hashes of doc_id), whose ids are broadcast.
 
 Null text counts as empty: no tokens, the prior as posterior. Rows that repeat a doc_id are one document whose words
@@ -17,9 +21,11 @@ posteriors are null and all rates 1. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +37,15 @@ MAX_ROWS = 20_000
 BUCKETS = 1 << 15
 #: A bucket says something of a domain if its texts there differ from the expected number by so many deviations.
 SIGNIFICANCE = 3.0
-GRID = 256
-STEPS = 24
-#: The pull of each rate to 1, so that among all fits the one that changes least is found.
+#: Log-odds to the likeliest domain are rounded to one part in GRID and end at FLOOR.
+GRID = 16
+FLOOR = -14.0
+STEPS = 60
+#: A fit is met if no domain's share of tokens misses its weight by more.
+TOLERANCE = 1e-5
+MAX_RATE = 16.0
+NO_REPEATS, LEAST = 0.9, 0.1
+#: The pull of each rate to 1 in the least squares fit.
 PULL = 1e-3
 
 
@@ -97,39 +109,91 @@ def posteriors(docs: DataFrame, domains: DataFrame, max_rows: int = MAX_ROWS) ->
     logits = [F.lit(priors[i]) + F.coalesce(F.col(f"s{i}"), F.lit(0.0)) for i in k]
     rows = sums.select("doc_id", "tokens", *[logit.alias(f"l{i}") for i, logit in enumerate(logits)])
     rows = rows.withColumn("high", F.greatest(*[F.col(f"l{i}") for i in k]) if len(names) > 1 else F.col("l0"))
-    mass = _sum([F.exp(F.col(f"l{i}") - F.col("high")) for i in k])
-    grid = [F.round(F.exp(F.col(f"l{i}") - F.col("high")) / mass * GRID) / GRID for i in k]
-    return names, rows.select("doc_id", "tokens", *[p.alias(f"p{i}") for i, p in enumerate(grid)])
+    odds = [F.greatest(F.lit(FLOOR), F.round((F.col(f"l{i}") - F.col("high")) * GRID) / GRID) for i in k]
+    mass = _sum([F.exp(o) for o in odds])
+    return names, rows.select("doc_id", "tokens", *[(F.exp(o) / mass).alias(f"p{i}") for i, o in enumerate(odds)])
 
 
 def targets_of(available: list[float], weights: list[float]) -> list[float]:
-    """Token targets with the given weights, as large as the domain of the largest weight allows; no more than there is."""
+    """Token targets at the given weights, as large as the domain of the largest weight allows without repeats."""
     largest = max(range(len(weights)), key=lambda i: weights[i])
     whole = available[largest] / weights[largest] if weights[largest] else 0.0
-    return [min(a, w * whole) for a, w in zip(available, weights, strict=True)]
+    return [w * whole for w in weights]
 
 
-def fitted_rate(cells: DataFrame, weights: list[float], max_rate: float, steps: int = STEPS) -> Column:
-    """The rate of a posterior as an expression over p0, p1, ...; cells: p0, p1, ..., tokens.
+def _cut_rate(features: list[Column], factors: np.ndarray, cap: float) -> Column:
+    plain = F.lit(1.0) + _sum([f * float(c) for f, c in zip(features, factors, strict=True)])
+    return F.greatest(F.lit(0.0), F.least(F.lit(float(cap)), plain))
 
-    Minimizes the squared misses of the domains' expected tokens, each over the domain's own mass, plus the pull to 1.
-    The step is one over the largest possible curvature, the number of domains.
+
+def _solved(
+    cells: DataFrame, features: list[Column], goals: np.ndarray, ridge: np.ndarray, cap: float, whole: float, least: float
+) -> np.ndarray:
+    """Factors c of rates cut(1 + c * features) with sums tokens * rate * features / whole + ridge * c = goals.
+
+    They minimize a convex function: the sum of tokens / whole * (integral of the cut rate) - goals * c + ridge * c^2 / 2.
+    Newton steps, halved while the function does not fall, until no sum misses by `least`, or `STEPS` sums were taken.
     """
+    k = range(len(features))
+    t = F.col("tokens") / F.lit(whole)
+    factors, step, best, value = np.zeros(len(features)), np.zeros(len(features)), np.zeros(len(features)), math.inf
+    for _ in range(STEPS):
+        plain = F.lit(1.0) + _sum([features[i] * float(factors[i]) for i in k])
+        rate = _cut_rate(features, factors, cap)
+        inside = F.when((plain > 0) & (plain < cap), t).otherwise(0.0)
+        row = cells.select(t.alias("t"), rate.alias("r"), plain.alias("x"), inside.alias("w"), *[f.alias(f"f{i}") for i, f in enumerate(features)])
+        area = F.col("t") * F.col("r") * (F.col("x") - F.col("r") / 2)
+        sums = [F.sum(F.col("t") * F.col("r") * F.col(f"f{i}")) for i in k]
+        bends = [F.sum(F.col("w") * F.col(f"f{i}") * F.col(f"f{j}")) for i in k for j in k]
+        found = np.array([float(x or 0) for x in row.agg(F.sum(area), *sums, *bends).first()])
+        now = found[0] - goals @ factors + ridge @ factors**2 / 2
+        if now <= value + 1e-15 * abs(value):
+            slope = found[1 : 1 + len(features)] - goals + ridge * factors
+            best, value = factors, now
+            if np.abs(slope).max() <= least:
+                break
+            bend = found[1 + len(features) :].reshape(len(features), -1) + np.diag(ridge)
+            bend += np.eye(len(features)) * (1e-9 + 1e-6 * np.abs(slope).max())
+            step = -np.linalg.solve(bend, slope)
+        elif np.abs(step).max() <= 1e-12 * (1 + np.abs(best).max()):
+            break
+        else:
+            step = step / 4
+        factors = best + step
+    return best
+
+
+def fitted_rate(cells: DataFrame, weights: list[float], max_rate: float) -> Column:
+    """The rate of a posterior as an expression over p0, p1, ...; cells: p0, p1, ..., tokens. See the module's text."""
     k = range(len(weights))
     p = [F.col(f"p{i}") for i in k]
     tokens = F.col("tokens").cast("double")
     first = cells.agg(*[F.sum(tokens * p[i]) for i in k], *[F.sum(tokens * p[i] * p[i]) for i in k]).first()
     available, masses = [float(x or 0) for x in first[: len(weights)]], [float(x or 0) for x in first[len(weights) :]]
-    if not sum(available):
+    whole = sum(available)
+    weights = [w if a else 0.0 for w, a in zip(weights, available, strict=True)]
+    if not sum(weights):
         return F.lit(1.0)
+    weights = [w / sum(weights) for w in weights]
     targets = targets_of(available, weights)
-    rate, step = F.lit(1.0), 1 / (len(weights) + PULL)
-    for _ in range(steps):
-        totals = cells.agg(*[F.sum(tokens * rate * p[i]) for i in k]).first()
-        misses = [(totals[i] - targets[i]) / masses[i] if masses[i] else 0.0 for i in k]
-        slope = _sum([p[i] * misses[i] for i in k])
-        moved = rate * (1 - step * PULL) + step * PULL - step * slope
-        rate = F.greatest(F.lit(0.0), F.least(F.lit(max_rate), moved))
+    wanted = [F.col(f"p{i}") - weights[i] for i in k]
+    none = np.zeros(len(weights))
+    for cap in [1.0, max_rate] if max_rate > 1 else [max_rate]:
+        least = LEAST if cap == max_rate else NO_REPEATS
+        factors = _solved(cells, wanted, none, none, cap, whole, TOLERANCE * LEAST / 4)
+        rate = _cut_rate(wanted, factors, cap)
+        totals = [float(x or 0) for x in cells.agg(*[F.sum(tokens * rate * x) for x in p]).first()]
+        kept = sum(totals)
+        met = kept and max(abs(x / kept - w) for x, w in zip(totals, weights, strict=True)) <= TOLERANCE
+        if met and kept >= least * min(whole, sum(targets)):
+            return rate
+    cap = min(1.0, max_rate)
+    ridge = PULL * np.array(masses) / whole
+    factors = _solved(cells, p, np.array(targets) / whole, ridge, cap, whole, 1e-6)
+    rate = _cut_rate(p, factors, cap)
+    totals = [float(x or 0) for x in cells.agg(*[F.sum(tokens * rate * x) for x in p]).first()]
+    got = [round(x / (sum(totals) or 1), 5) for x in totals]
+    warnings.warn(f"mixing: shares {[round(w, 5) for w in weights]} cannot be met, achieved {got}", stacklevel=2)
     return rate
 
 
@@ -137,7 +201,7 @@ def mixed(
     docs: DataFrame,
     domains: DataFrame,
     weights: Mapping[str, float] = TARGET_WEIGHTS,
-    max_rate: float = 1.0,
+    max_rate: float = MAX_RATE,
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """doc_id, tokens, domain, posteriors, rate, copies: the whole part of the rate, and one more by a hash of doc_id."""
@@ -152,7 +216,7 @@ def mixed(
     p = [F.col(f"p{i}") for i in range(len(names))]
     cells = written(scored.groupBy(*p).agg(F.sum("tokens").alias("tokens")))
     rate = fitted_rate(cells, [weights.get(name, 0.0) for name in names], max_rate)
-    rated = scored.join(cells.select(*p, rate.alias("rate")), [f"p{i}" for i in range(len(names))])
+    rated = scored.withColumn("rate", rate)
     best = F.greatest(*p) if len(p) > 1 else p[0]
     domain = F.coalesce(*[F.when(p[i] == best, F.lit(name)) for i, name in enumerate(names)])
     uniform = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 53)) / float(1 << 53)
@@ -163,6 +227,17 @@ def mixed(
     )
 
 
+def achieved_shares(rows: DataFrame, weights: Mapping[str, float] = TARGET_WEIGHTS) -> DataFrame:
+    """domain, wanted, present, achieved, copied: shares of tokens; before, after the rates, and after whole copies. rows: of `mixed`."""
+    parts = rows.select("tokens", "rate", "copies", F.explode("posteriors").alias("domain", "p"))
+    amounts = {"present": F.lit(1.0), "achieved": F.col("rate"), "copied": F.col("copies")}
+    sums = parts.groupBy("domain").agg(*[F.sum(F.col("tokens") * F.col("p") * x).alias(name) for name, x in amounts.items()])
+    whole = sums.agg(*[F.sum(name).alias(f"_{name}") for name in amounts])
+    stated = rows.sparkSession.createDataFrame(list(weights.items()), "domain string, wanted double")
+    shares = [F.coalesce(F.col(name) / F.nullif(F.col(f"_{name}"), F.lit(0.0)), F.lit(0.0)).alias(name) for name in amounts]
+    return stated.join(sums, "domain", "full").crossJoin(whole).select("domain", F.coalesce("wanted", F.lit(0.0)).alias("wanted"), *shares)
+
+
 def mixed_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents with their own columns, each as often as its copies say."""
     copies = mixed(docs, domain_labels(labels)).where("copies > 0").select(F.col("doc_id").alias("_mixed_id"), "copies")
