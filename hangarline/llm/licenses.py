@@ -10,8 +10,8 @@ shuffled nor sorted; only hits are, after their votes are counted. Texts go to t
 execution makes a broadcast where few documents have hits. Spans of one document are bounded by its length.
 
 Null text counts as empty. Documents without a place have null first_word and last_word and empty label strings. Rows
-that repeat a doc_id are each checked on their own text. A row without doc_id is never matched: it comes back with no
-places. An empty table gives an empty result.
+that repeat a doc_id are each checked on their own text. Rows without doc_id get their votes by
+a hash of their text. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -216,8 +216,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def license_scan(docs: DataFrame) -> DataFrame:
     """One row for each document: its words, places and labels, and the spans [first, after) of words with their labels."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    votes = voted_spans(texts)
+    # Equal texts without doc_id vote once, as their votes go to one key.
+    unnamed = texts.where("doc_id IS NULL").select(F.xxhash64("text").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    votes = voted_spans(texts).withColumn("by_text", F.lit(False))
+    votes = votes.unionByName(voted_spans(unnamed).withColumn("by_text", F.lit(True)))
     row = F.struct("template", "diagonals").alias("row")
-    by_document = votes.groupBy(F.col("doc_id").alias("voted_id")).agg(F.collect_list(row).alias("candidates"))
-    joined = texts.join(by_document, texts["doc_id"] == F.col("voted_id"), "left").drop("voted_id")
-    return joined.mapInArrow(_verify, SCHEMA)
+    by_document = votes.groupBy(F.col("doc_id").alias("voted_id"), "by_text").agg(F.collect_list(row).alias("candidates"))
+    key = F.coalesce(texts["doc_id"], F.xxhash64(texts["text"]))
+    joined = texts.join(by_document, (key == F.col("voted_id")) & (texts["doc_id"].isNull() == F.col("by_text")), "left")
+    return joined.select("doc_id", "text", "candidates").mapInArrow(_verify, SCHEMA)
