@@ -11,7 +11,8 @@ bounded size, and each (shard, block) is a task. A shard returns k rows for a qu
 and after the last shuffle.
 
 Vectors that are null, or hold null or non-finite components, and rows without vec_id take no part. Rows that repeat a vec_id
-are one vector, the smallest in component order. Vectors of different lengths are not compared. Ties go to the smaller
+are one vector, the smallest in component order. Vectors of different lengths are not compared; empty
+vectors are compared with each other, with score 0. Ties go to the smaller
 vec_id. An empty table gives an empty result.
 """
 
@@ -137,7 +138,7 @@ class MTree:
     def from_row(cls, row: pd.Series) -> MTree:
         tree = cls.__new__(cls)
         tree.ids = np.frombuffer(row["ids"], dtype=np.int64)
-        tree.vectors = np.frombuffer(row["vectors"], dtype=np.float64).reshape(len(tree.ids), -1)
+        tree.vectors = np.frombuffer(row["vectors"], dtype=np.float64).reshape(len(tree.ids), int(row["dimension"]))
         tree.norm, tree.root = float((tree.vectors**2).sum(axis=1).max()), int(row["root"])
         leaves = np.frombuffer(row["leaves"], dtype=bool)
         cuts = np.cumsum(np.frombuffer(row["sizes"], dtype=np.int64))[:-1]
@@ -157,7 +158,7 @@ INDEX_SCHEMA = (
 def _build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.assign(order=pdf["vector"].map(tuple)).sort_values(["vec_id", "order"]).drop_duplicates("vec_id")
     dimension = int(pdf["dimension"].iloc[0])
-    tree = MTree(pdf["vec_id"].to_numpy(np.int64), np.array(pdf["order"].tolist(), dtype=np.int64).reshape(-1, dimension))
+    tree = MTree(pdf["vec_id"].to_numpy(np.int64), np.array(pdf["order"].tolist(), dtype=np.int64).reshape(len(pdf), dimension))
     return pd.DataFrame([{"dimension": dimension, "shard": pdf["shard"].iloc[0]} | tree.to_row()])
 
 
