@@ -11,9 +11,12 @@ from hangarline.llm import (
     exact_dedup,
     html,
     language,
+    lexical,
     licenses,
+    merkle,
     mixing,
     packing,
+    pii,
     quality,
     simhash,
     topk,
@@ -47,6 +50,9 @@ _QUERIES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "op8_licenses": (_op8, ("documents",)),
     "op9_simhash": (simhash.near_duplicates, ("documents",)),
     "op10_language": (language.identify, ("documents",)),
+    "op11_lexical": (lexical.search, ("documents", "benchmark")),
+    "op12_pii": (pii.personal_data, ("documents",)),
+    "op13_manifest": (merkle.tampered_manifest, ("documents",)),
 }
 
 
@@ -63,4 +69,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE, "op4_topk": topk.ORACLE}
+    return {
+        "op1_exact_dedup": exact_dedup.ORACLE,
+        "op4_topk": topk.ORACLE,
+        "op11_lexical": lexical.ORACLE,
+        "op12_pii": pii.ORACLE,
+        "op13_manifest": merkle.ORACLE,
+    }
