@@ -183,7 +183,8 @@ fact_reports AS (
   FROM attributed
 ),
 flights_year AS (
-  SELECT aircraft_id, CAST(year(date_id) AS INTEGER) AS year, sum(flight_hours) AS flight_hours,
+  SELECT aircraft_id, CAST(year(date_id) AS INTEGER) AS year,
+         sum(CAST(round(flight_hours * 3600000000.0::DOUBLE) AS BIGINT)) / 3600000000.0::DOUBLE AS flight_hours,
          CAST(sum(takeoff) AS BIGINT) AS takeoff, CAST(sum(delays) AS BIGINT) AS delays,
          sum(delay_minutes) AS delay_minutes, CAST(sum(cancellations) AS BIGINT) AS cancellations
   FROM fact_flights GROUP BY ALL
@@ -216,7 +217,8 @@ kpi_utilization AS (
   FROM fleet_year
 ),
 flight_summary AS (
-  SELECT manufacturer, CAST(year(date_id) AS INTEGER) AS year, sum(flight_hours) AS flight_hours,
+  SELECT manufacturer, CAST(year(date_id) AS INTEGER) AS year,
+         sum(CAST(round(flight_hours * 3600000000.0::DOUBLE) AS BIGINT)) / 3600000000.0::DOUBLE AS flight_hours,
          CAST(sum(takeoff) AS BIGINT) AS flight_cycles
   FROM fact_flights JOIN dim_aircraft USING (aircraft_id) GROUP BY ALL
 ),
@@ -433,10 +435,10 @@ SELECTS = {
     ),
     "join_flights_aircraft": """SELECT f.*, a.model, a.manufacturer
         FROM all_fact_flights f JOIN dim_aircraft a ON f.aircraft_id = a.aircraft_id""",
-    "agg_flights_aircraft_year": "SELECT * REPLACE (round(flight_hours * 1e6) / 1e6 AS flight_hours) FROM flights_year",
+    "agg_flights_aircraft_year": "SELECT * FROM flights_year",
     "agg_unavailability_aircraft_year": "SELECT * FROM unavailability_year",
-    "agg_aircraft_year": "SELECT * REPLACE (round(flight_hours * 1e6) / 1e6 AS flight_hours) FROM aircraft_year",
-    "agg_flight_summary": "SELECT * REPLACE (round(flight_hours * 1e6) / 1e6 AS flight_hours) FROM flight_summary",
+    "agg_aircraft_year": "SELECT * FROM aircraft_year",
+    "agg_flight_summary": "SELECT * FROM flight_summary",
     "agg_report_summary": "SELECT * FROM report_summary",
     "agg_report_summary_role": "SELECT * FROM report_summary_role",
     "kpi_utilization": "SELECT * FROM kpi_utilization",

@@ -8,14 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from hangarline import schemas
-from hangarline.functions import round_places
 from hangarline.operators import audit, checks, dimensions, extract, facts, quality
 from hangarline.plans import kpis, pipeline, raw_kpis
 from hangarline.plans.reconcile import reconcile
-from hangarline.session import prepare
 from hangarline.sources.sample_tables import sample_tables
 from hangarline.sources.tables import SourceTables
 
@@ -75,15 +71,21 @@ def _candidate_tables(src: SourceTables) -> dict[str, DataFrame]:
 
 
 def _dq_audit(src: SourceTables) -> DataFrame:
-    aircraft = _aircraft(src)
-    # BR-21 looks at one aircraft at a time, so unknown aircraft can be rolled up on their own.
-    unknown = checks.orphans(_flights(src), schemas.FLIGHTS.references[0], aircraft)
-    candidates = {"flights": facts.flights_fact(unknown), "unavailability": _all_unavailability(src)}
-    return audit.dq_audit(quality.flight_outcomes(_repaired(src)), pipeline.report_rows(src), candidates, {"aircraft": aircraft})
+    counted, departures = pipeline.flight_decisions(_repaired(src))
+    return audit.dq_audit(counted, departures, pipeline.report_rows(src), _all_unavailability(src), _aircraft(src))
 
 
 def _dq_summary(src: SourceTables) -> DataFrame:
-    stages = pipeline.stages(src, _aircraft(src), extract.calendar(src), _dates(src))
+    stages = pipeline.stages(
+        flights=src.flights,
+        slots=extract.slots(src.maintenance),
+        reports=pipeline.report_rows(src),
+        personnel=src.personnel,
+        universe=extract.aircraft_universe(src),
+        calendar=extract.calendar(src),
+        dates=_dates(src),
+        aircraft=_aircraft(src),
+    )
     return audit.dq_summary(_dq_audit(src), stages)
 
 
@@ -104,11 +106,6 @@ def _raw_reporting(src: SourceTables, per_role: bool = False) -> DataFrame:
     return raw_kpis.reporting(src.flights, src.postflightreports, src.aircraft_lookup, per_role)
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """Rounds sums of doubles, whose last bits depend on the order of addition."""
-    return df.withColumns({n: round_places(F.col(n), 6) for n, kind in df.dtypes if kind == "double"})
-
-
 QUERIES: dict[str, Query] = {
     # Sources
     "src_aircraft_lookup": lambda s: extract.aircraft_lookup(s.aircraft_lookup),
@@ -142,10 +139,10 @@ QUERIES: dict[str, Query] = {
     "dq_summary": _dq_summary,
     # Warehouse KPIs and their parts
     "join_flights_aircraft": lambda s: kpis.flights_with_aircraft(facts.flights_fact(_flights(s)), _aircraft(s)),
-    "agg_flights_aircraft_year": lambda s: _settled(kpis.flights_per_aircraft_year(_flights_fact(s))),
+    "agg_flights_aircraft_year": lambda s: kpis.flights_per_aircraft_year(_flights_fact(s)),
     "agg_unavailability_aircraft_year": lambda s: kpis.unavailability_per_aircraft_year(_unavailability_fact(s)),
-    "agg_aircraft_year": lambda s: _settled(kpis.aircraft_year(_flights_fact(s), _unavailability_fact(s))),
-    "agg_flight_summary": lambda s: _settled(kpis.flight_summary(facts.flights_fact(_flights(s)), _aircraft(s))),
+    "agg_aircraft_year": lambda s: kpis.aircraft_year(_flights_fact(s), _unavailability_fact(s)),
+    "agg_flight_summary": lambda s: kpis.flight_summary(facts.flights_fact(_flights(s)), _aircraft(s)),
     "agg_report_summary": lambda s: kpis.report_summary(_reports(s), _aircraft(s)),
     "agg_report_summary_role": lambda s: kpis.report_summary(_reports(s), _aircraft(s), per_role=True),
     "kpi_utilization": _utilization,
@@ -169,6 +166,6 @@ QUERIES: dict[str, Query] = {
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(query: Query) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: query(sample_tables(prepare(spark), sf_dir))
+        return lambda spark, sf_dir: query(sample_tables(spark, sf_dir))
 
     return {name: bind(query) for name, query in QUERIES.items()}

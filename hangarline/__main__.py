@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hangarline.plans import kpis, pipeline, raw_kpis
 from hangarline.plans.reconcile import reconcile
-from hangarline.session import prepare
 from hangarline.sources.settings import read_settings
 from hangarline.sources.tables import SourceTables, jdbc_tables, landed, parquet_tables
 from hangarline.warehouse import Warehouse
@@ -27,8 +26,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--settings", help="file with dbname, user, password, ip and port")
     parser.add_argument("--env-prefix", default="FLEET_DB_", help="prefix of environment variables that win over it")
     parser.add_argument("--landing", help="new folder the JDBC tables are copied to, so that they are read once")
-    parser.add_argument("--lower", type=datetime.fromisoformat, help="start of the JDBC ranges; default: the smallest value")
-    parser.add_argument("--upper", type=datetime.fromisoformat, help="end of the JDBC ranges; default: the largest value")
+    parser.add_argument("--lower", type=datetime.fromisoformat, help="start of JDBC ranges of equal width; default: of equal row count")
+    parser.add_argument("--upper", type=datetime.fromisoformat, help="end of JDBC ranges of equal width")
     parser.add_argument("--partitions", type=int, default=64, help="parallel JDBC reads per table")
     args = parser.parse_args(argv)
     if args.command != "clean" and not (args.lookup and args.personnel):
@@ -77,14 +76,18 @@ def compare(warehouse: Warehouse, src: SourceTables) -> None:
         ),
     }
     for title, (stored, raw) in pairs.items():
+        # Rows per manufacturer and year: kept until the difference is shown, so that neither side is computed again.
+        stored, raw = stored.persist(), raw.persist()
         show_timed(f"{title}, warehouse", stored)
         show_timed(f"{title}, source tables", raw)
         show_timed(f"{title}, difference", reconcile(stored, raw))
+        stored.unpersist()
+        raw.unpersist()
 
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = prepare(SparkSession.builder.appName("hangarline").getOrCreate())
+    spark = SparkSession.builder.appName("hangarline").getOrCreate()
     if args.command == "clean":
         print("\n".join(Warehouse.open(spark, args.warehouse).remove_older_runs()))
         return

@@ -22,71 +22,95 @@ AUDIT_TYPES = {
 }
 
 
-def _entries(rows: DataFrame, rule: Column | str, **columns: Column | str) -> DataFrame:
-    """Audit entries of a rule: equal entries are one row with their number."""
-    values = {"rule": F.lit(rule), "copies": F.lit(1)} | {
-        name: F.col(c) if isinstance(c, str) else c for name, c in columns.items()
-    }
-    entries = rows.select(
-        [values.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in AUDIT_TYPES.items()]
-    )
+#: The rule of daily flights that cannot be loaded.
+UNKNOWN_FLIGHTS = "FK-FLIGHTS"
+
+
+def _entries(rows: DataFrame) -> DataFrame:
+    """Audit entries: equal ones are one row with their number. Columns that rows lack are NULL."""
+    values = {name: F.col(name) if name in rows.columns else F.lit(None) for name in AUDIT_TYPES}
+    entries = rows.select([values[name].cast(kind).alias(name) for name, kind in AUDIT_TYPES.items()])
     keys = [name for name in AUDIT_TYPES if name != "copies"]
     return entries.groupBy(*keys).agg(F.sum("copies").alias("copies"))
 
 
-def corrected_flights(outcomes: DataFrame) -> DataFrame:
-    """Repaired flights, with the times as they arrived, and removed ones, from one pass over the outcomes."""
-    departure, arrival = F.col("actualdeparture"), F.col("actualarrival")
-    repair = F.struct(
-        F.lit("BR-23").alias("rule"),
-        arrival.alias("departure"),
-        departure.alias("arrival"),
-        F.when(F.col("times_swapped"), F.col("copies")).otherwise(0).alias("copies"),
+def _told(rows: DataFrame, *entries: dict[str, Column]) -> DataFrame:
+    """One row for each entry that counts for something."""
+    structs = [F.struct(*[value.alias(name) for name, value in entry.items()]) for entry in entries]
+    return rows.select("aircraft_id", F.explode(F.array(*structs)).alias("entry")).select("aircraft_id", "entry.*").where("copies <> 0")
+
+
+def flight_entries(flights: DataFrame, departures: DataFrame, aircraft: DataFrame) -> DataFrame:
+    """Repaired flights, with the times as they arrived; removed ones; days of unknown aircraft that cannot be loaded.
+
+    flights: after BR-23, with `copies`. departures: what BR-21 decided for them, with the sum `uncontested`. A flight
+    that BR-21 can remove counts as removed, and a survivor takes one of the removed ones back, so kept and removed
+    flights need not be brought together row by row: short entries are summed once.
+    """
+    departure, arrival, day, none = F.col("actualdeparture"), F.col("actualarrival"), F.lit(None).cast("date"), F.lit(None).cast("timestamp_ntz")
+
+    def entry(rule: str, copies: Column, departure: Column = none, arrival: Column = none, date_id: Column = day) -> dict[str, Column]:
+        return {"rule": F.lit(rule), "departure": departure, "arrival": arrival, "date_id": date_id, "copies": copies.cast("long")}
+
+    def if_(condition: Column, value: Column) -> Column:
+        return F.when(condition, value).otherwise(0)
+
+    corrected = _told(
+        flights,
+        entry("BR-23", if_(F.col("times_swapped"), F.col("copies")), arrival, departure),
+        entry("BR-21", if_(quality.contestable(), F.col("copies")), departure, arrival),
     )
-    removal = F.struct(
-        F.lit("BR-21").alias("rule"), departure.alias("departure"), arrival.alias("arrival"), F.col("removed").alias("copies")
+    has_day = F.expr("(survives OR uncontested > 0) AND aircraft_id IS NOT NULL AND date_id IS NOT NULL")
+    decided = _told(
+        departures,
+        entry("BR-21", if_(F.col("survives"), F.lit(-1)), F.col("departure"), F.col("arrival")),
+        entry(UNKNOWN_FLIGHTS, if_(has_day, F.lit(1)), date_id=F.col("date_id")),
     )
-    rows = outcomes.select("aircraft_id", F.explode(F.array(repair, removal)).alias("entry")).where("entry.copies > 0")
-    described = {c: f"entry.{c}" for c in ("departure", "arrival", "copies")}
-    return _entries(rows, F.col("entry.rule"), aircraft_id="aircraft_id", **described)
+    known = aircraft.select("aircraft_id", F.lit(UNKNOWN_FLIGHTS).alias("rule"))
+    entries = _entries(corrected.unionByName(decided)).where("copies > 0").join(known, ["rule", "aircraft_id"], "left_anti")
+    copies = F.when(F.col("rule") == UNKNOWN_FLIGHTS, 1).otherwise(F.col("copies"))
+    return entries.withColumn("copies", copies.cast("long")).select(*AUDIT_TYPES)
 
 
-def dropped_reports(reports: DataFrame, aircraft: DataFrame) -> DataFrame:
-    """Reports on unknown aircraft, and reports on known ones that lack a required value."""
-    described = {c: c for c in ("aircraft_id", "date_id", "reporter_class", "source")}
-    unknown = quality.with_unknown_aircraft(reports, aircraft)
+def report_entries(reports: DataFrame, aircraft: DataFrame) -> DataFrame:
+    """Reports on unknown aircraft, and reports on known ones that lack a required value, from one pass.
+
+    Equal reports are counted before they meet the aircraft. reports: with `copies`, or one row for each.
+    """
+    described = ["aircraft_id", "date_id", "reporter_class", "source"]
+    number = F.col("copies") if "copies" in reports.columns else F.lit(1)
+    counted = quality.normalised(reports).groupBy(*described).agg(F.sum(number).alias("copies"))
+    known = aircraft.select("aircraft_id", F.lit(True).alias("is_known"))
     missing = reduce(or_, [F.col(c).isNull() for c in facts.REPORT_REQUIRED])
-    incomplete = quality.with_known_aircraft(reports.where(missing), aircraft)
-    return _entries(unknown, "BR-UA", **described).unionByName(_entries(incomplete, "NOT-NULL", **described))
+    rule = F.when(F.col("is_known").isNull(), "BR-UA").when(missing, "NOT-NULL")
+    judged = counted.join(known, "aircraft_id", "left").withColumn("rule", rule)
+    return _entries(judged.where("rule IS NOT NULL"))
 
 
-def dropped_facts(candidates: dict[str, DataFrame], dimensions: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows on aircraft outside the dimension: they cannot be loaded."""
-    entries = []
-    for spec in (schemas.FLIGHTS, schemas.UNAVAILABILITY):
-        reference = spec.references[0]
-        rows = checks.orphans(candidates[spec.name], reference, dimensions[reference.table])
-        described = {c: c for c in ("aircraft_id", "date_id", "month_id") if c in rows.columns}
-        entries.append(_entries(rows, f"FK-{spec.name.upper()}", **described))
-    return reduce(DataFrame.unionByName, entries)
+def slot_entries(unavailability: DataFrame, aircraft: DataFrame) -> DataFrame:
+    """Downtime of aircraft outside the dimension: it cannot be loaded."""
+    rows = checks.orphans(unavailability, schemas.UNAVAILABILITY.references[0], aircraft)
+    return _entries(rows.select("aircraft_id", "month_id", F.lit("FK-UNAVAILABILITY").alias("rule"), F.lit(1).alias("copies")))
 
 
 def dq_audit(
-    outcomes: DataFrame,
-    reports: DataFrame,
-    candidates: dict[str, DataFrame],
-    dimensions: dict[str, DataFrame],
+    flights: DataFrame, departures: DataFrame, reports: DataFrame, unavailability: DataFrame, aircraft: DataFrame
 ) -> DataFrame:
-    """All entries. `outcomes`: what `quality.flight_outcomes` gives for the flights after BR-23."""
+    """All entries. See `flight_entries` for the flights and departures."""
     return (
-        corrected_flights(outcomes)
-        .unionByName(dropped_reports(reports, dimensions["aircraft"]))
-        .unionByName(dropped_facts(candidates, dimensions))
+        flight_entries(flights, departures, aircraft)
+        .unionByName(report_entries(reports, aircraft))
+        .unionByName(slot_entries(unavailability, aircraft))
     )
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("item"), "*") for n, df in tables.items()]
+    """Rows of each table; where equal rows are stored once with their number, the sum of the numbers."""
+
+    def rows(df: DataFrame) -> Column:
+        return F.coalesce(F.sum("copies"), F.lit(0)) if "copies" in df.columns else F.count("*")
+
+    counts = [df.agg(rows(df).alias("row_count")).select(F.lit(n).alias("item"), "*") for n, df in tables.items()]
     return reduce(DataFrame.unionByName, counts)
 
 

@@ -1,6 +1,6 @@
 """Primary keys, NOT NULL columns and references, checked as queries."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -41,31 +41,66 @@ def orphans(fact: DataFrame, reference: Reference, dimension: DataFrame) -> Data
     return fact.join(keys, reference.column, "left_anti")
 
 
-def reference_check(fact: DataFrame, spec: TableSpec, reference: Reference, dimension: DataFrame) -> DataFrame:
-    """One row: the number of orphan rows and of distinct orphan values of one reference.
+CHECKED = ("table_name", "column_name", "reference_table")
+
+
+def _referred(fact: DataFrame, spec: TableSpec, references: Sequence[Reference]) -> DataFrame:
+    """References of a fact from one pass: a row for each referring value and its number of rows.
+
+    Values of different types meet as text; days, months and registrations have one spelling each.
+    """
+    values = [
+        F.struct(F.lit(r.column).alias("column_name"), F.lit(r.table).alias("reference_table"), F.col(r.column).cast("string").alias("value"))
+        for r in references
+    ]
+    rows = fact.select(F.explode(F.array(*values)).alias("referred")).select(F.lit(spec.name).alias("table_name"), "referred.*")
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+
+
+def _checked(
+    tables: Mapping[str, DataFrame], dimensions: Mapping[str, DataFrame], references: Sequence[tuple[TableSpec, Reference]]
+) -> DataFrame:
+    """A row for each reference: the number of orphan rows and of distinct orphan values, missing ones included.
 
-    Fact rows are counted per value first; only these counts are compared with the dimension.
+    Every fact is read once and reduced to its distinct referring values; all of them meet all dimensions' keys in one
+    join. References without any row are listed with zeros.
     """
-    per_value = fact.groupBy(reference.column).agg(F.count("*").alias("copies"))
+    specs = {spec.name: spec for spec, _ in references}
+    referred = [_referred(tables[name], spec, [r for s, r in references if s is spec]) for name, spec in specs.items()]
+    keys = [
+        dimensions[name].select(F.lit(name).alias("reference_table"), F.col(TABLES[name].key[0]).cast("string").alias("value"), F.lit(True).alias("is_there"))
+        for name in sorted({r.table for _, r in references})
+    ]
+    found = reduce(DataFrame.unionByName, referred).join(reduce(DataFrame.unionByName, keys), ["reference_table", "value"], "left")
+    is_orphan = F.col("is_there").isNull() & (F.col("copies") > 0)
+    listed = [
+        F.struct(
+            *[F.lit(value).alias(name) for name, value in zip(CHECKED, (spec.name, r.column, r.table), strict=True)],
+            F.lit(True).alias("is_there"),
+            F.lit(0).alias("copies"),
+        )
+        for spec, r in references
+    ]
+    empty = found.sparkSession.range(1).select(F.inline(F.array(*listed)))
     return (
-        orphans(per_value, reference, dimension)
-        .agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("orphan_rows"), F.count("*").alias("orphan_values"))
-        .select(
-            F.lit(spec.name).alias("table_name"),
-            F.lit(reference.column).alias("column_name"),
-            F.lit(reference.table).alias("reference_table"),
-            "*",
+        found.select(*CHECKED, "is_there", "copies")
+        .unionByName(empty)
+        .groupBy(*CHECKED)
+        .agg(
+            F.sum(F.when(is_orphan, F.col("copies")).otherwise(0)).alias("orphan_rows"),
+            F.count_if(is_orphan).alias("orphan_values"),
         )
     )
 
 
+def reference_check(fact: DataFrame, spec: TableSpec, reference: Reference, dimension: DataFrame) -> DataFrame:
+    """The check of one reference."""
+    return _checked({spec.name: fact}, {reference.table: dimension}, [(spec, reference)])
+
+
 def check_references(tables: Mapping[str, DataFrame]) -> DataFrame:
-    checks = [
-        reference_check(tables[spec.name], spec, reference, tables[reference.table])
-        for spec in FACTS
-        for reference in spec.references
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    """The checks of all references of all facts."""
+    return _checked(tables, tables, [(spec, reference) for spec in FACTS for reference in spec.references])
 
 
 class IntegrityError(ValueError):

@@ -1,5 +1,7 @@
 """Source rows to the columns the warehouse needs."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,15 +18,21 @@ def aircraft_lookup(lookup: DataFrame) -> DataFrame:
 
 
 def aircraft_universe(src: SourceTables) -> DataFrame:
-    """Every registration seen in the lookup or in five operational tables, with lookup data if any.
+    """Every registration seen in the lookup or in five operational tables, with lookup data if any."""
+    tables = (src.flights, src.maintenance, src.workorders, src.postflightreports, src.maintenanceevents)
+    return aircraft_seen(src.aircraft_lookup, [table.select("aircraftregistration") for table in tables])
+
+
+def aircraft_seen(lookup_rows: DataFrame, registrations: list[DataFrame]) -> DataFrame:
+    """Distinct registrations of the lookup and of frames of one column, with lookup data if any.
 
     The partial aggregation of `distinct` runs before the only shuffle, so each task sends each
     registration once.
     """
-    lookup = aircraft_lookup(src.aircraft_lookup)
+    lookup = aircraft_lookup(lookup_rows)
     seen = lookup.select("aircraft_id")
-    for table in (src.flights, src.maintenance, src.workorders, src.postflightreports, src.maintenanceevents):
-        seen = seen.unionByName(table.select(clean_code(F.col("aircraftregistration")).alias("aircraft_id")))
+    for rows in registrations:
+        seen = seen.unionByName(rows.select(clean_code(F.col(rows.columns[0])).alias("aircraft_id")))
     return seen.distinct().join(lookup, "aircraft_id", "left")
 
 
@@ -40,14 +48,26 @@ def _days(table: DataFrame, *columns: str) -> DataFrame:
 
 def calendar(src: SourceTables) -> DataFrame:
     """Every day mentioned by flights, slots or reports, with its parts (unordered)."""
-    days = (
-        _days(src.flights, "actualdeparture", "actualarrival", "scheduleddeparture", "scheduledarrival")
-        .union(_days(src.maintenance, "scheduleddeparture", "scheduledarrival"))
-        .union(_days(src.postflightreports, "reportingdate"))
-        .union(_days(src.technicallogbookorders, "reportingdate"))
-        .distinct()
+    return calendar_of(
+        _days(src.flights, "actualdeparture", "actualarrival", "scheduleddeparture", "scheduledarrival"),
+        _days(src.maintenance, "scheduleddeparture", "scheduledarrival"),
+        _days(src.postflightreports, "reportingdate"),
+        _days(src.technicallogbookorders, "reportingdate"),
+    )
+
+
+def extracted_calendar(flights: DataFrame, slots: DataFrame, reports: DataFrame) -> DataFrame:
+    """The same days from extracted rows. Exchanging two times of a flight changes none of its days."""
+    return calendar_of(
+        _days(flights, "actualdeparture", "actualarrival", "date_id", "scheduledarrival"),
+        _days(slots, "start_date", "end_date"),
+        _days(reports, "date_id"),
     )
-    return days.select("date_id", *day_parts(F.col("date_id")))
+
+
+def calendar_of(*days: DataFrame) -> DataFrame:
+    every = reduce(DataFrame.union, days).distinct()
+    return every.select("date_id", *day_parts(F.col("date_id")))
 
 
 def day_parts(day: Column) -> list[Column]:
@@ -68,6 +88,11 @@ def flights(table: DataFrame) -> DataFrame:
 
 def maintenance(table: DataFrame) -> DataFrame:
     """Slots with their length in whole days, booked to the month they start in."""
+    return slots(table).drop("end_date")
+
+
+def slots(table: DataFrame) -> DataFrame:
+    """Slots as `maintenance` gives them, with the day they end on."""
     start, end = F.col("scheduleddeparture").try_cast("date"), F.col("scheduledarrival").try_cast("date")
     return table.select(
         F.col("aircraftregistration").alias("aircraft_id"),
@@ -75,6 +100,7 @@ def maintenance(table: DataFrame) -> DataFrame:
         month_key(start).alias("month_id"),
         F.when(F.col("programmed"), "SCHEDULED").otherwise("UNSCHEDULED").alias("type"),
         F.date_diff(end, start).cast("double").alias("days"),
+        end.alias("end_date"),
     )
 
 

@@ -73,14 +73,18 @@ def daily_flights(departures: DataFrame) -> DataFrame:
     A day on which no flight is kept has no row, and neither have flights without aircraft or day.
     """
     kept = departures.where("survives OR uncontested > 0").where("aircraft_id IS NOT NULL AND date_id IS NOT NULL")
-    columns = ("actualarrival", "scheduledarrival", "cancelled")
-    timed = kept.select("*", F.col("departure").alias("actualdeparture"), *[f"last.{c}" for c in columns]).withColumns(
-        {"flown": _flown(), "late": _late()}
-    )
-    measures = _measures(F.col("flown"), F.col("late"))
-    survivor = {name: F.when(F.col("survives"), value).otherwise(0) for name, value in measures.items()}
+    # A survivor is not cancelled: it takes off, has hours, and its lateness is known if a time was scheduled.
+    late = false_if_null(F.col("late") > DELAY_THRESHOLD_MINUTES * MICROS_PER_MINUTE)
+    survivor = {
+        "flight_micros": micros_between(F.col("departure"), F.col("arrival")),
+        "takeoff": F.lit(1),
+        "delays": late.cast("int"),
+        "delay_micros": F.when(late, F.col("late")).otherwise(0),
+        "cancellations": F.lit(0),
+    }
+    survivor = {name: F.when(F.col("survives"), value).otherwise(0) for name, value in survivor.items()}
     total = {name: F.sum(value + F.col(name) if name in kept.columns else value) for name, value in survivor.items()}
-    return timed.groupBy("aircraft_id", "date_id").agg(
+    return kept.groupBy("aircraft_id", "date_id").agg(
         (total["flight_micros"] / MICROS_PER_HOUR).alias("flight_hours"),
         total["takeoff"].alias("takeoff"),
         total["delays"].alias("delays"),
@@ -133,7 +137,7 @@ def reporter_airports(personnel: DataFrame) -> DataFrame:
 
 
 def attributed_reports(known: DataFrame, personnel: DataFrame) -> DataFrame:
-    """Airport of the reporter (pilots have none) and upper-case labels.
+    """Airport of the reporter (pilots have none) and upper-case labels. `copies`, if there, stay with their row.
 
     Reports without a reporter match nobody; a key of their own spreads them over the tasks of the join.
     """
@@ -149,10 +153,16 @@ def attributed_reports(known: DataFrame, personnel: DataFrame) -> DataFrame:
             F.upper("reporter_class").alias("reporter_class"),
             "airport",
             F.upper("source").alias("source"),
+            *(["copies"] if "copies" in known.columns else []),
         )
     )
 
 
+def counted_reports(reports: DataFrame) -> DataFrame:
+    """Distinct reports with their number, `copies`."""
+    return reports.groupBy(*reports.columns).agg(F.count("*").alias("copies"))
+
+
 def report_id_ranges(reports: DataFrame) -> DataFrame:
     """Equal reports as one row with `first_id` and their number, `copies`.
 
@@ -169,7 +179,7 @@ def report_id_ranges(reports: DataFrame) -> DataFrame:
     day_keys = ["feed", "date_id"]
     groups = (
         reports.groupBy("date_id", *labels)
-        .agg(F.count("*").alias("copies"))
+        .agg((F.sum("copies") if "copies" in reports.columns else F.count("*")).alias("copies"))
         .withColumn("feed", F.when(F.col("source") == POSTFLIGHT, 0).otherwise(1))
     )
     earlier_days = Window.orderBy(*day_keys).rowsBetween(Window.unboundedPreceding, -1)

@@ -1,13 +1,13 @@
 """Data-quality rules. Each keeps the rows it repairs or removes, so that they can be audited."""
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hangarline.functions import clean_code, false_if_null
+from hangarline.functions import clean_code, false_if_null, micros_between
 from hangarline.schemas import require_columns
 
 FLIGHT_COLUMNS = ["aircraft_id", "date_id", "actualdeparture", "actualarrival", "scheduledarrival", "cancelled"]
@@ -38,49 +38,20 @@ def contestable() -> Column:
     return airborne() & (F.col("actualarrival") > F.col("actualdeparture"))
 
 
-#: Makes every scheduled arrival positive, in microseconds; 0 stands for a missing one. Twice as much is never reached.
-SCHEDULED_OFFSET = 10**18
-
-
-def _decimal(value: int) -> Column:
-    return F.lit(str(value)).cast(f"decimal({len(str(value))},0)")
-
-
-def _rank() -> Column:
-    """Arrival, scheduled arrival and whether `cancelled` is known as one number, in that order of weight.
-
-    A maximum of numbers has a buffer of fixed width, so it is aggregated by hash; one of structs by sorting.
-    """
-    arrival = F.unix_micros(F.col("actualarrival").cast("timestamp")).cast("decimal(18,0)")
-    scheduled = F.unix_micros(F.col("scheduledarrival").cast("timestamp")) + SCHEDULED_OFFSET
-    known = F.col("cancelled").isNotNull().cast("bigint")
-    lower = F.coalesce(scheduled, F.lit(0)) * 2 + known
-    return (arrival * _decimal(4 * SCHEDULED_OFFSET) + lower.cast("decimal(19,0)")).cast("decimal(38,0)")
-
-
-def _unranked(rank: Column) -> dict[str, Column]:
-    """The columns that `_rank` holds."""
-    lower = F.pmod(rank, _decimal(4 * SCHEDULED_OFFSET))
-    arrival = F.call_function("div", rank - lower, _decimal(4 * SCHEDULED_OFFSET))
-    low = lower.cast("bigint")
-    scheduled = F.nullif(F.shiftright(low, 1), F.lit(0)) - SCHEDULED_OFFSET
-    return {
-        "actualarrival": F.timestamp_micros(arrival).cast("timestamp_ntz"),
-        "scheduledarrival": F.timestamp_micros(scheduled).cast("timestamp_ntz"),
-        "cancelled": F.when(low % 2 == 1, F.lit(False)),
-    }
-
-
-def ordered_departures(flights: DataFrame, totals: Mapping[str, Column] | None = None) -> DataFrame:
-    """BR-21 decided for one candidate per aircraft, scheduled day and departure.
+def ordered_departures(
+    flights: DataFrame, totals: Mapping[str, Column] | None = None, apart: Collection[str] = ()
+) -> DataFrame:
+    """BR-21 decided for the candidates of each aircraft, scheduled day and departure.
 
     Flights are ordered per aircraft by departure, arrival and then the remaining columns; one that is
     still in the air when its immediate successor departs is removed.
 
     Of flights that leave at the same moment only the last in that order can survive, since each of the
-    others is followed by a departure before its arrival. So it is enough to compare one candidate, a
-    maximum that is combined before the shuffle, with the next departure. Any number of copies, or of
-    flights with the same placeholder departure, shrinks to one row per day.
+    others is followed by a departure before its arrival. Among flights that are equally late the last is
+    simply the latest arrival, a maximum of one plain column that is aggregated by hash and combined before
+    the shuffle. So it is enough to compare one candidate for each lateness with the next departure: any
+    number of copies, or of flights with the same placeholder departure, shrinks to the few latenesses
+    that flights of a day have.
 
     Candidates are not ordered by aircraft alone either, as one aircraft may hold a large share of all
     flights, but within (aircraft, span of departure). The last departure of a span is followed by the
@@ -88,26 +59,36 @@ def ordered_departures(flights: DataFrame, totals: Mapping[str, Column] | None =
     at most two rows per span, whatever the number of flights. Both parts start from the same exchange,
     so the flights are read and shuffled once.
 
-    Columns of the result: `aircraft_id`, `date_id`, `departure` (NULL for flights outside the rule),
-    `last` (the candidate's other columns, NULL if there is none), `survives`, and the sums `totals`
-    over all flights of the row.
+    Columns of the result: `aircraft_id`, `date_id`, `departure` (NULL for flights outside the rule), the
+    candidate's `arrival` (NULL if there is none), `late` (microseconds behind the scheduled arrival, if
+    known), whether `cancelled` is `known`, the remaining columns as `more` if there are any, `survives`,
+    and the sums `totals` over all flights of the row. Columns named in `apart` serve the totals only.
     """
     require_columns(flights, FLIGHT_COLUMNS, "flights")
-    more = [c for c in flights.columns if c not in FLIGHT_COLUMNS]
-    best = F.struct(_rank().alias("rank"), *more) if more else _rank()
+    more = [c for c in flights.columns if c not in FLIGHT_COLUMNS and c not in apart]
+    latest = F.struct("actualarrival", *more) if more else F.col("actualarrival")
+    late = micros_between(F.col("scheduledarrival"), F.col("actualarrival"))
     # Flights outside the rule are not filtered out: pushed down to the scan, the filter would evaluate
     # the repair expressions of BR-23 many times. They collapse into one row per aircraft and day.
     departures = (
-        flights.withColumn("departure", F.when(airborne(), F.col("actualdeparture")))
-        .groupBy("departure", "aircraft_id", "date_id")
+        flights.withColumns({"in_rule": airborne(), "contested": contestable()})
+        .withColumns(
+            {
+                "departure": F.when(F.col("in_rule"), F.col("actualdeparture")),
+                "late": F.when(F.col("contested"), late),
+                "known": F.when(F.col("contested"), F.col("cancelled").isNotNull()),
+            }
+        )
+        .groupBy("departure", "aircraft_id", "date_id", "late", "known")
         .agg(
-            F.max(F.when(contestable(), best)).alias("best"),
+            F.max(F.when(F.col("contested"), latest)).alias("best"),
             *[F.sum(value).alias(name) for name, value in (totals or {}).items()],
         )
         .withColumn("span", F.to_date("departure"))
     )
-    rank = F.col("best.rank") if more else F.col("best")
-    order = (F.col("departure"), rank, F.col("date_id"))
+    arrival = F.col("best.actualarrival") if more else F.col("best")
+    # Of equal arrivals the later scheduled one is last: the one that is less late, a missing one first.
+    order = (F.col("departure"), arrival, F.col("late").desc_nulls_first(), F.col("known"), F.col("date_id"))
     in_span = Window.partitionBy("aircraft_id", "span").orderBy(*order)
     followed = departures.withColumns(
         {"next_departure": F.lead("departure").over(in_span), "place": F.row_number().over(in_span)}
@@ -119,17 +100,24 @@ def ordered_departures(flights: DataFrame, totals: Mapping[str, Column] | None =
     of_aircraft = Window.partitionBy("aircraft_id").orderBy(*order)
     ends = ends.withColumn("following", F.lead("departure").over(of_aircraft)).where("next_departure IS NULL")
     rows = inner.unionByName(ends.withColumn("next_departure", F.col("following")).drop("following"))
-    values = _unranked(rank) | {"date_id": F.col("date_id")} | {c: F.col(f"best.{c}") for c in more}
-    names = [c for c in flights.columns if c not in ("aircraft_id", "actualdeparture")]
-    rows = rows.withColumn("last", F.when(F.col("best").isNotNull(), F.struct(*[values[c].alias(c) for c in names])))
-    in_time = F.coalesce(F.col("next_departure") >= F.col("last.actualarrival"), F.lit(True))
-    survives = F.col("last").isNotNull() & in_time
-    return rows.select("aircraft_id", "date_id", "departure", "last", survives.alias("survives"), *(totals or {}))
+    in_time = F.coalesce(F.col("next_departure") >= arrival, F.lit(True))
+    survives = F.col("best").isNotNull() & in_time
+    columns = ["aircraft_id", "date_id", "departure", arrival.alias("arrival"), "late", "known"]
+    columns += [F.struct(*[f"best.{c}" for c in more]).alias("more")] if more else []
+    return rows.select(*columns, survives.alias("survives"), *(totals or {}))
 
 
 def surviving_flights(departures: DataFrame) -> DataFrame:
     """The contestable flights BR-21 keeps."""
-    return departures.where("survives").select("aircraft_id", F.col("departure").alias("actualdeparture"), "last.*")
+    return departures.where("survives").select(
+        "aircraft_id",
+        "date_id",
+        F.col("departure").alias("actualdeparture"),
+        F.col("arrival").alias("actualarrival"),
+        F.expr("timestampadd(MICROSECOND, -late, arrival)").alias("scheduledarrival"),
+        F.when(F.col("known"), F.lit(False)).alias("cancelled"),
+        *(["more.*"] if "more" in departures.columns else []),
+    )
 
 
 def without_overlaps(flights: DataFrame) -> DataFrame:
@@ -138,17 +126,21 @@ def without_overlaps(flights: DataFrame) -> DataFrame:
     return flights.where(~contestable()).unionByName(survivors.select(flights.columns))
 
 
-def flight_outcomes(flights: DataFrame, survivors: DataFrame | None = None) -> DataFrame:
+def counted_flights(flights: DataFrame) -> DataFrame:
+    """Distinct flights with their number, `copies`."""
+    return flights.groupBy(*flights.columns).agg(F.count("*").alias("copies"))
+
+
+def flight_outcomes(flights: DataFrame) -> DataFrame:
     """Distinct flights with their number, `copies`, and how many of these BR-21 removes, `removed`.
 
     Equal flights are counted once, and the search for survivors starts from the counted rows, so that both
-    share one exchange. `survivors`: the flights that BR-21 keeps, where they are known already.
+    share one exchange.
     """
-    counted = flights.groupBy(*flights.columns).agg(F.count("*").alias("copies"))
-    if survivors is None:
-        survivors = surviving_flights(ordered_departures(counted))
-    else:
-        survivors = survivors.select(*flights.columns, F.lit(0).cast("long").alias("copies"))
+    counted = counted_flights(flights)
+    # The total keeps the counts in this branch: without them it would be another aggregate and another scan.
+    departures = ordered_departures(counted, {"flights": F.col("copies")}, apart=("copies",)).where("flights > 0")
+    survivors = surviving_flights(departures).select(*flights.columns, F.lit(0).cast("long").alias("copies"))
     both = counted.withColumn("kept", F.lit(0)).unionByName(survivors.withColumn("kept", F.lit(1)))
     removed = F.when(contestable(), F.col("copies") - F.col("kept")).otherwise(0)
     return (
@@ -166,17 +158,18 @@ def removed_flights(outcomes: DataFrame) -> DataFrame:
 
 def with_known_aircraft(rows: DataFrame, aircraft: DataFrame) -> DataFrame:
     """Rows whose (normalised) aircraft is in the aircraft dimension."""
-    return _normalised(rows).join(_registrations(aircraft), "aircraft_id", "left_semi")
+    return normalised(rows).join(_registrations(aircraft), "aircraft_id", "left_semi")
 
 
 def with_unknown_aircraft(rows: DataFrame, aircraft: DataFrame) -> DataFrame:
     """The complement, including rows without an aircraft."""
-    return _normalised(rows).join(_registrations(aircraft), "aircraft_id", "left_anti")
+    return normalised(rows).join(_registrations(aircraft), "aircraft_id", "left_anti")
 
 
-def _normalised(rows: DataFrame) -> DataFrame:
+def normalised(rows: DataFrame) -> DataFrame:
+    """Rows with their registration as the aircraft dimension spells it."""
     return rows.withColumn("aircraft_id", clean_code(F.col("aircraft_id")))
 
 
 def _registrations(aircraft: DataFrame) -> DataFrame:
-    return _normalised(aircraft.select("aircraft_id"))
+    return normalised(aircraft.select("aircraft_id"))

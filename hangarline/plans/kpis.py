@@ -9,17 +9,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hangarline.functions import ratio, round_places
+from hangarline.functions.expressions import MICROS_PER_HOUR, MICROS_PER_MINUTE
 from hangarline.operators.facts import POSTFLIGHT
-from hangarline.schemas import year_of
+from hangarline.schemas import FLIGHTS, year_of
 
 DAYS_PER_YEAR = 365
 
 
+#: Stored measures that are fractions of whole microseconds, and how many of these they stand for.
+MICROS = {"flight_hours": MICROS_PER_HOUR, "delay_minutes": MICROS_PER_MINUTE}
+
+
+def _exact(measure: str) -> Column:
+    """A measure to be summed without loss: fractions as the whole microseconds they were made from.
+
+    Sums of doubles depend on the order of the rows, sums of whole numbers do not. The stored double gives back the
+    microseconds exactly up to 600,000 hours a row.
+    """
+    return F.rint(F.col(measure) * MICROS[measure]).cast("bigint") if measure in MICROS else F.col(measure)
+
+
+def _in_units(measure: str, total: Column) -> Column:
+    return total / MICROS[measure] if measure in MICROS else total
+
+
+def _year_totals(flights: DataFrame, measures: tuple[str, ...]) -> DataFrame:
+    """Exact sums per aircraft and year."""
+    return flights.groupBy("aircraft_id", year_of(flights).alias("year")).agg(*[F.sum(_exact(m)).alias(m) for m in measures])
+
+
 def flights_per_aircraft_year(flights: DataFrame) -> DataFrame:
-    measures = ("flight_hours", "takeoff", "delays", "delay_minutes", "cancellations")
-    return flights.groupBy("aircraft_id", year_of(flights).alias("year")).agg(
-        *[F.sum(m).alias(m) for m in measures]
-    )
+    totals = _year_totals(flights, FLIGHTS.measures)
+    return totals.select("aircraft_id", "year", *[_in_units(m, F.col(m)).alias(m) for m in FLIGHTS.measures])
 
 
 def unavailability_per_aircraft_year(unavailability: DataFrame) -> DataFrame:
@@ -35,10 +56,12 @@ def unavailability_per_aircraft_year(unavailability: DataFrame) -> DataFrame:
 
 def aircraft_year(flights: DataFrame, unavailability: DataFrame) -> DataFrame:
     """Aircraft with flights in a year, with their days out of service (none: 0)."""
+    return _with_downtime(flights_per_aircraft_year(flights), unavailability)
+
+
+def _with_downtime(per_year: DataFrame, unavailability: DataFrame) -> DataFrame:
     days = ("scheduled_days", "unscheduled_days", "total_days")
-    joined = flights_per_aircraft_year(flights).join(
-        unavailability_per_aircraft_year(unavailability), ["aircraft_id", "year"], "left"
-    )
+    joined = per_year.join(unavailability_per_aircraft_year(unavailability), ["aircraft_id", "year"], "left")
     return joined.withColumns({d: F.coalesce(F.col(d), F.lit(0.0)) for d in days})
 
 
@@ -52,16 +75,17 @@ def flights_with_aircraft(flights: DataFrame, aircraft: DataFrame) -> DataFrame:
 
 
 def utilization(flights: DataFrame, unavailability: DataFrame, aircraft: DataFrame) -> DataFrame:
+    per_year = _with_downtime(_year_totals(flights, FLIGHTS.measures), unavailability)
     totals = (
-        with_manufacturer(aircraft_year(flights, unavailability), aircraft)
+        with_manufacturer(per_year, aircraft)
         .groupBy("manufacturer", "year")
         .agg(
-            F.avg("flight_hours").alias("hours"),
+            (_in_units("flight_hours", F.sum("flight_hours")) / F.count("*")).alias("hours"),
             F.avg("takeoff").alias("cycles"),
             F.avg("scheduled_days").alias("scheduled"),
             F.avg("unscheduled_days").alias("unscheduled"),
             F.avg("total_days").alias("out_days"),
-            *[F.sum(m).alias(m) for m in ("takeoff", "delays", "delay_minutes", "cancellations")],
+            *[_in_units(m, F.sum(m)).alias(m) for m in ("takeoff", "delays", "delay_minutes", "cancellations")],
         )
     )
     in_service = F.lit(DAYS_PER_YEAR) - F.col("out_days")
@@ -86,13 +110,10 @@ def utilization(flights: DataFrame, unavailability: DataFrame, aircraft: DataFra
 
 def flight_summary(flights: DataFrame, aircraft: DataFrame) -> DataFrame:
     """Hours and cycles per manufacturer and year."""
-    per_aircraft = flights.groupBy("aircraft_id", year_of(flights).alias("year")).agg(
-        F.sum("flight_hours").alias("flight_hours"), F.sum("takeoff").alias("flight_cycles")
-    )
     return (
-        with_manufacturer(per_aircraft, aircraft)
+        with_manufacturer(_year_totals(flights, ("flight_hours", "takeoff")), aircraft)
         .groupBy("manufacturer", "year")
-        .agg(F.sum("flight_hours").alias("flight_hours"), F.sum("flight_cycles").alias("flight_cycles"))
+        .agg(_in_units("flight_hours", F.sum("flight_hours")).alias("flight_hours"), F.sum("takeoff").alias("flight_cycles"))
     )
 
 

@@ -3,10 +3,10 @@
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hangarline import schemas
 from hangarline.operators import audit, checks, dimensions, extract, facts, quality
-from hangarline.session import prepare
 from hangarline.sources.tables import SourceTables
 from hangarline.warehouse import Warehouse
 
@@ -54,25 +54,55 @@ def fact_tables(src: SourceTables, aircraft: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def stages(src: SourceTables, aircraft: DataFrame, calendar: DataFrame, dates: DataFrame) -> dict[str, DataFrame]:
+def flight_decisions(flights: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Flights after BR-23, counted, and what BR-21 decides for them: what the audit of flights needs, from one scan."""
+    counted = quality.counted_flights(flights)
+    totals = {"uncontested": F.when(quality.contestable(), 0).otherwise(F.col("copies"))}
+    return counted, quality.ordered_departures(counted, totals, apart=("copies", "times_swapped"))
+
+
+def stages(
+    flights: DataFrame,
+    slots: DataFrame,
+    reports: DataFrame,
+    personnel: DataFrame,
+    universe: DataFrame,
+    calendar: DataFrame,
+    dates: DataFrame,
+    aircraft: DataFrame,
+) -> dict[str, DataFrame]:
     """What the summary counts, by label: what the sources hold, and what is left after each step that drops rows."""
+
+    def of(source: str) -> DataFrame:
+        return reports.where(F.col("source") == source)
+
     return {
-        "source flights": src.flights,
-        "source maintenance": src.maintenance,
-        "source technical logbook": src.technicallogbookorders,
-        "source post-flight reports": src.postflightreports,
-        "source personnel": src.personnel,
-        "source aircraft": extract.aircraft_universe(src),
+        "source flights": flights,
+        "source maintenance": slots,
+        "source technical logbook": of("technicallogbook"),
+        "source post-flight reports": of("postflightreport"),
+        "source personnel": personnel,
+        "source aircraft": universe,
         "source dates": calendar,
         "aircraft": aircraft,
         "dates": dates,
-        "complete slots": facts.complete_slots(extract.maintenance(src.maintenance)),
-        "known reports": quality.with_known_aircraft(report_rows(src), aircraft),
+        "complete slots": facts.complete_slots(slots.drop("end_date")),
+        "known reports": quality.with_known_aircraft(reports, aircraft),
     }
 
 
 #: Tables of a run that later steps of the same build read, and nobody else.
-INTERMEDIATES = ("calendar", "flights_repaired", "flight_departures", "report_ranges", "unavailability_monthly")
+INTERMEDIATES = (
+    "calendar",
+    "flights_repaired",
+    "flight_departures",
+    "slots",
+    "report_groups",
+    "personnel",
+    "aircraft_universe",
+    "report_ranges",
+    "unavailability_monthly",
+)
 
 
 def publish(warehouse: Warehouse) -> None:
@@ -84,45 +114,59 @@ def publish(warehouse: Warehouse) -> None:
 def run(spark: SparkSession, src: SourceTables, root: str, keep_intermediates: bool = False) -> Warehouse:
     """Full rebuild. Publishes only if everything was written and is sound; an error leaves the old run in place.
 
-    Dimensions are read back after they are written, so later joins know their true size. Repaired
-    flights and the outcome of BR-21 feed the fact and the audit; they are stored instead of being
-    computed twice, which also means that a lost executor never repeats the overlap search for a later
-    step. Steps that do not depend on each other are submitted together, so that the end of one does
-    not leave the cluster idle.
+    Each source table is read once: what is extracted from it is written, and everything else, counts of source rows
+    included, comes from what was written. A task that is repeated writes its part once, so counts hold whatever
+    fails on the way. Dimensions are read back after they are written, so later joins know their true size. The outcome
+    of BR-21 feeds the fact and the audit; it is stored instead of being computed twice, which also means that a lost
+    executor never repeats the overlap search for a later step. Steps that do not depend on each other are submitted
+    together, so that the end of one does not leave the cluster idle.
     """
-    prepare(spark)
     warehouse = Warehouse.new_run(spark, root)
     # Sources that cannot be opened and conflicting aircraft are found before the long steps start.
-    flights, slots, reports = repaired_flights(src), extract.maintenance(src.maintenance), report_rows(src)
+    extracted = {
+        "flights_repaired": repaired_flights(src),
+        "slots": extract.slots(src.maintenance),
+        "report_groups": facts.counted_reports(report_rows(src)),
+        "personnel": extract.personnel(src.personnel),
+    }
     aircraft = warehouse.write("aircraft", dimensions.aircraft_from_lookup(src.aircraft_lookup))
     checks.require_unique_key(aircraft, schemas.AIRCRAFT)
-    numbered = loadable_reports(src, aircraft)
-
-    def write_calendar() -> None:
-        days = warehouse.write("calendar", extract.calendar(src))
-        dates = warehouse.write("date", dimensions.dates(days))
-        warehouse.write("month", dimensions.months(dates))
-
-    def write_reports() -> None:
-        ranges = warehouse.write("report_ranges", facts.report_id_ranges(numbered))
-        warehouse.write("reports", facts.expanded_reports(ranges))
 
     with ThreadPoolExecutor(max_workers=4) as pool:
+        writing = {name: pool.submit(warehouse.write, name, rows) for name, rows in extracted.items()}
+        flights, slots, reports, personnel = (writing[name].result() for name in extracted)
+
+        def write_calendar() -> tuple[DataFrame, DataFrame]:
+            days = warehouse.write("calendar", extract.extracted_calendar(flights, slots, reports))
+            dates = warehouse.write("date", dimensions.dates(days))
+            warehouse.write("month", dimensions.months(dates))
+            return days, dates
+
+        def write_reports() -> None:
+            loadable = facts.attributed_reports(
+                quality.with_known_aircraft(reports, aircraft).dropna(subset=facts.REPORT_REQUIRED), personnel
+            )
+            ranges = warehouse.write("report_ranges", facts.report_id_ranges(loadable))
+            warehouse.write("reports", facts.expanded_reports(ranges))
+
+        def write_universe() -> DataFrame:
+            postflight = reports.where("source = 'postflightreport'")
+            seen = [rows.select("aircraft_id") for rows in (flights, slots, postflight)]
+            seen += [table.select("aircraftregistration") for table in (src.workorders, src.maintenanceevents)]
+            return warehouse.write("aircraft_universe", extract.aircraft_seen(src.aircraft_lookup, seen))
+
         calendar = pool.submit(write_calendar)
-        repairing = pool.submit(lambda: warehouse.write("flights_repaired", flights))
-        summing = pool.submit(lambda: warehouse.write("unavailability_monthly", facts.unavailability_fact(slots)))
         numbering = pool.submit(write_reports)
-        repaired = repairing.result()
-        departures = warehouse.write("flight_departures", facts.measured_departures(repaired))
-        outcomes = quality.flight_outcomes(repaired, quality.surviving_flights(departures))
-        candidates = {"flights": facts.daily_flights(departures), "unavailability": summing.result()}
-        entries = audit.dq_audit(outcomes, reports, candidates, {"aircraft": aircraft})
-        auditing = pool.submit(lambda: warehouse.write("dq_audit", entries))
-        for name, candidate in candidates.items():
-            warehouse.write(name, loadable(candidate, aircraft))
-        for step in (calendar, numbering):
-            step.result()
-        counted = stages(src, aircraft, warehouse.table("calendar"), warehouse.table("date"))
+        seeing = pool.submit(write_universe)
+        measured = facts.measured_departures(flights.drop("times_swapped"))
+        departures = warehouse.write("flight_departures", measured)
+        downtime = warehouse.write("unavailability_monthly", facts.unavailability_fact(slots.drop("end_date")))
+        entries = audit.dq_audit(flights.withColumn("copies", F.lit(1)), departures, reports, downtime, aircraft)
+        auditing = pool.submit(warehouse.write, "dq_audit", entries)
+        warehouse.write("flights", loadable(facts.daily_flights(departures), aircraft))
+        warehouse.write("unavailability", loadable(downtime, aircraft))
+        numbering.result()
+        counted = stages(flights, slots, reports, personnel, seeing.result(), *calendar.result(), aircraft)
         counted |= {f"published {name}": table for name, table in warehouse.tables().items()}
         warehouse.write("dq_summary", audit.dq_summary(auditing.result(), counted))
     publish(warehouse)

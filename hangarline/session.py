@@ -1,25 +1,7 @@
-"""Session settings the plans rely on."""
+"""A local session. The plans rely on no setting of the session."""
 
 from pyspark.sql import SparkSession
 
-# Durations are computed on timestamps without zone, so the session zone must not have
-# daylight-saving jumps. AQE splits skewed join partitions and coalesces small ones.
-REQUIRED_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-}
-
-
-def prepare(spark: SparkSession) -> SparkSession:
-    """Applies the required settings to a session somebody else created."""
-    for key, value in REQUIRED_SETTINGS.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
-    return spark
-
-
 def local_session(cpus: int | str = 8, memory: str = "8g", partitions: int | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster use spark-submit settings."""
     builder = (
@@ -30,8 +12,6 @@ def local_session(cpus: int | str = 8, memory: str = "8g", partitions: int | Non
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions or cpus))
     )
-    for key, value in REQUIRED_SETTINGS.items():
-        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -3,8 +3,8 @@
 Every reader returns lazy DataFrames in the source's own column names; nothing is fetched here.
 """
 
-from collections.abc import Callable, Mapping
-from datetime import datetime
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from datetime import date, datetime
 from functools import partial
 
 from pyspark.errors import AnalysisException
@@ -94,17 +94,47 @@ def jdbc_query(name: str) -> str:
     return f"(SELECT {', '.join(columns)} FROM {table}) AS {name}"
 
 
-def range_predicates(column: str, lower: datetime, upper: datetime, partitions: int) -> list[str]:
-    """Conditions that deal every row to one read: half-open ranges, open at both ends, and one for NULL.
+def _literal(value: date) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ', timespec='microseconds')}'"
+    return f"DATE '{value.isoformat()}'"
+
+
+def cut_predicates(column: str, cuts: Sequence[date]) -> list[str]:
+    """Conditions that deal every row to one read: ranges up to each cut, one beyond the last, and one for NULL.
 
     Plain comparisons work for any type that the column has, and the database can use its index for them.
     """
-    step = (upper - lower) / partitions
-    cuts = [f"TIMESTAMP '{(lower + i * step).isoformat(sep=' ', timespec='microseconds')}'" for i in range(1, partitions)]
-    if not cuts:
+    points = [_literal(cut) for cut in cuts]
+    if not points:
         return [f"{column} IS NOT NULL", f"{column} IS NULL"]
-    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)]
-    return [f"{column} < {cuts[0]}", *inner, f"{column} >= {cuts[-1]}", f"{column} IS NULL"]
+    inner = [f"{column} > {a} AND {column} <= {b}" for a, b in zip(points, points[1:], strict=False)]
+    return [f"{column} <= {points[0]}", *inner, f"{column} > {points[-1]}", f"{column} IS NULL"]
+
+
+def even_cuts(lower: datetime, upper: datetime, partitions: int) -> list[datetime]:
+    """Cuts of equal distance, for bounds that the caller states."""
+    step = (upper - lower) / partitions
+    return [lower + i * step for i in range(1, partitions)]
+
+
+def range_predicates(column: str, lower: datetime, upper: datetime, partitions: int) -> list[str]:
+    """Conditions for ranges of equal width, open at both ends."""
+    return cut_predicates(column, even_cuts(lower, upper, partitions))
+
+
+def quantile_query(table: str, column: str, partitions: int) -> str:
+    """The last value of each of so many groups of equally many rows, in order. The database sorts or walks an index.
+
+    Rows that share a value may fall into two groups here; the ranges made from it keep them together.
+    """
+    ranked = f"SELECT {column}, ntile({partitions}) OVER (ORDER BY {column}) AS part FROM {table} WHERE {column} IS NOT NULL"
+    return f"(SELECT max({column}) AS cut FROM ({ranked}) AS ranked GROUP BY part) AS cuts"
+
+
+def distinct_cuts(values: Iterable[date]) -> list[date]:
+    """Cuts from the groups' last values: each once, without the largest, beyond which nothing lies."""
+    return sorted(set(values))[:-1]
 
 
 def jdbc_options(settings: ConnectionSettings, name: str, fetch_size: int = 10_000) -> dict[str, str]:
@@ -120,11 +150,11 @@ def jdbc_options(settings: ConnectionSettings, name: str, fetch_size: int = 10_0
     }
 
 
-def jdbc_bounds(spark: SparkSession, options: dict[str, str], column: str) -> tuple[datetime, datetime] | None:
-    """The smallest and largest value of the split column, one row that the database computes; None if it has none."""
-    query = f"(SELECT min({column}) AS low, max({column}) AS high FROM {options['dbtable']}) AS bounds"
-    row = spark.read.format("jdbc").options(**(options | {"dbtable": query})).load().first()
-    return (row.low, row.high) if row and row.low is not None else None
+def jdbc_cuts(spark: SparkSession, options: dict[str, str], column: str, partitions: int) -> list[date]:
+    """Cuts that give ranges of equally many rows, computed by the database: one row for each range."""
+    query = quantile_query(options["dbtable"], column, partitions)
+    rows = spark.read.format("jdbc").options(**(options | {"dbtable": query})).load().collect()
+    return distinct_cuts(row.cut for row in rows)
 
 
 def jdbc_tables(
@@ -140,11 +170,11 @@ def jdbc_tables(
         options, column = jdbc_options(settings, name), JDBC_TABLES[name][1]
         if column is None or partitions < 2:
             return spark.read.format("jdbc").options(**options).load()
-        bounds = (lower, upper) if lower is not None and upper is not None else jdbc_bounds(spark, options, column)
-        if bounds is None:
-            return spark.read.format("jdbc").options(**options).load()
+        if lower is not None and upper is not None:
+            ranges = range_predicates(column, lower, upper, partitions)
+        else:
+            ranges = cut_predicates(column, jdbc_cuts(spark, options, column, partitions))
         others = {key: value for key, value in options.items() if key not in ("url", "dbtable")}
-        ranges = range_predicates(column, *bounds, partitions)
         return spark.read.jdbc(options["url"], options["dbtable"], predicates=ranges, properties=others)
 
     return SourceTables({name: partial(read, name) for name in JDBC_TABLES} | _files(spark, lookup_csv, personnel_csv))
@@ -167,9 +197,9 @@ def _files(spark: SparkSession, lookup_csv: str, personnel_csv: str) -> dict[str
 
 
 def landed(src: SourceTables, folder: str) -> SourceTables:
-    """Copies the four tables a build reads to parquet, so that a database is read once only.
+    """Copies the four large tables a build reads to parquet, so that several builds or comparisons read a database once.
 
-    The build reads flights several times (calendar, overlaps). Pointless for parquet sources.
+    A build reads each of them once in any case.
     """
     needed = ("flights", "maintenance", "postflightreports", "technicallogbookorders")
     for name in needed:

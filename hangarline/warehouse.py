@@ -1,26 +1,44 @@
-"""The published warehouse: parquet tables of one run, found through an append-only publication log.
+"""The published warehouse: parquet tables of one run, found through numbered publications.
 
     <root>/runs/<run_id>/<table>/       tables of a run; facts are partitioned by year
-    <root>/publications/                one row per published run
+    <root>/publications/<number>        the id of a published run; the largest number is the current one
 
-A run writes into its own folder and is appended to the log last, so readers see either the whole
-new run or the previous one. Earlier runs are left alone by the build; `remove_older_runs` removes them.
+A run writes into its own folder and is published last, so readers see either the whole new run or the previous one.
+Its id holds the number of the publication it started after, and it can only become the next one: of two builds at once
+one is published and the other one told so. That also says which runs can be removed: those whose turn is over, never
+one that may still be published. Earlier runs are left alone by the build; `remove_older_runs` removes them.
 """
 
+import re
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hangarline import schemas
+from hangarline.files import Files
 from hangarline.plans import kpis
 
-PUBLICATION_SCHEMA = "run_id string, published_at string"
+
+class PublicationConflict(RuntimeError):
+    """Another build was published since this one started."""
+
+
+def _publications(spark: SparkSession, root: str) -> Files:
+    return Files(spark, f"{root.rstrip('/')}/publications")
+
+
+def _numbers(publications: Files) -> list[int]:
+    return [int(name) for name in publications.names() if name.isdigit()]
+
+
+def _started_after(run_id: str) -> int | None:
+    """The number of the publication a run started after; None for folders that no build made."""
+    found = re.fullmatch(r"[^-]+-after(\d+)-[0-9a-f]+", run_id)
+    return int(found[1]) if found else None
 
 
 class Warehouse:
@@ -32,21 +50,17 @@ class Warehouse:
     @classmethod
     def new_run(cls, spark: SparkSession, root: str) -> "Warehouse":
         started = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
-        return cls(spark, root, f"{started}-{uuid.uuid4().hex[:8]}")
+        last = max(_numbers(_publications(spark, root)), default=0)
+        return cls(spark, root, f"{started}-after{last}-{uuid.uuid4().hex[:8]}")
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> "Warehouse":
-        """The latest published run."""
-        try:
-            log = spark.read.schema(PUBLICATION_SCHEMA).parquet(f"{root.rstrip('/')}/publications")
-            run_id = log.agg(F.max_by("run_id", "published_at")).first()[0]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            run_id = None
-        if run_id is None:
-            raise FileNotFoundError(f"no published warehouse in {root}")
-        return cls(spark, root, run_id)
+        """The latest published run. A publication that was begun and not written counts as none."""
+        publications = _publications(spark, root)
+        for number in sorted(_numbers(publications), reverse=True):
+            if run_id := publications.text(f"{number:010d}").strip():
+                return cls(spark, root, run_id)
+        raise FileNotFoundError(f"no published warehouse in {root}")
 
     def path(self, table: str) -> str:
         return f"{self.root}/runs/{self.run_id}/{table}"
@@ -80,25 +94,29 @@ class Warehouse:
         return self.table(name)
 
     def publish(self) -> None:
-        row = [(self.run_id, datetime.now(timezone.utc).isoformat())]
-        published = self.spark.createDataFrame(row, PUBLICATION_SCHEMA).coalesce(1)
-        published.write.mode("append").parquet(f"{self.root}/publications")
+        """Makes this run the current one, or raises if another run took that place since this one started."""
+        number = (_started_after(self.run_id) or 0) + 1
+        if not _publications(self.spark, self.root).create(f"{number:010d}", self.run_id):
+            raise PublicationConflict(f"{self.run_id}: publication {number} is taken; build again on top of it")
 
     def remove(self, table: str) -> None:
         """Removes one table of this run."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        Files(self.spark, f"{self.root}/runs/{self.run_id}").remove(table)
 
     def remove_older_runs(self) -> list[str]:
-        """Removes the runs that started before this one, published or failed, and returns their ids.
+        """Removes the runs that started before this one and are not, and cannot become, the current one; returns their ids.
 
-        Nobody may be reading or writing them. Run ids begin with the time of their start, so they sort by it.
+        A run that failed looks like one that is still being built, and stays until the next publication ends its turn.
+        Nobody may be reading the removed runs.
         """
-        runs = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/runs")
-        files = runs.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        older = sorted(s.getPath().getName() for s in files.listStatus(runs) if s.getPath().getName() < self.run_id)
-        for run_id in older:
-            files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(runs, run_id), True)
+        last = max(_numbers(_publications(self.spark, self.root)), default=0)
+        runs = Files(self.spark, f"{self.root}/runs")
+        older = []
+        for run_id in runs.names():
+            after = _started_after(run_id)
+            if run_id < self.run_id and (after is None or after < last):
+                runs.remove(run_id)
+                older.append(run_id)
         return older
 
     def utilization(self) -> DataFrame:

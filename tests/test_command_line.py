@@ -40,3 +40,11 @@ def test_jdbc_needs_settings(monkeypatch, options):
         monkeypatch.delenv(f"FLEET_DB_{key}", raising=False)
     with pytest.raises(FileNotFoundError, match="missing database settings"):
         cli.main(["build", *options[2:]])
+
+
+def test_default_start_goes_as_far_as_the_database(monkeypatch, options):
+    """Without --tables the build opens the database; no driver is installed here, so that is where it ends."""
+    for key, value in {"NAME": "ops", "USER": "me", "PASSWORD": "x", "HOST": "localhost", "PORT": "1"}.items():
+        monkeypatch.setenv(f"FLEET_DB_{key}", value)
+    with pytest.raises(Exception, match="org.postgresql.Driver"):
+        cli.main(["build", *options[2:]])

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 
@@ -50,6 +50,34 @@ def test_jdbc_ranges_hold_every_row_once(spark, partitions):
     assert sum(rows.where(condition).count() for condition in ranges) == len(moments)
 
 
+def cuts_of(spark, moments, partitions):
+    spark.createDataFrame([(m,) for m in moments], "at timestamp_ntz").createOrReplaceTempView("moments")
+    rows = spark.sql(f"SELECT cut FROM {T.quantile_query('moments', 'at', partitions)}").collect()
+    return T.distinct_cuts(row.cut for row in rows)
+
+
+def test_ranges_of_equal_row_count_are_not_bent_by_outliers(spark):
+    start = datetime(2021, 3, 4)
+    moments = [start + timedelta(minutes=i) for i in range(4000)]
+    moments += [datetime(1900, 1, 1), datetime(9999, 1, 1), None, None]
+    ranges = T.cut_predicates("at", cuts_of(spark, moments, 16))
+    rows = spark.table("moments")
+    sizes = [rows.where(condition).count() for condition in ranges]
+    assert sum(sizes) == len(moments) and sizes[-1] == 2
+    assert len(sizes) == 17 and max(sizes[:-1]) <= 2 * 4002 / 16
+    narrow = [rows.where(c).count() for c in T.range_predicates("at", datetime(1900, 1, 1), datetime(9999, 1, 1), 16)]
+    assert max(narrow) > 3900  # what equal widths do
+
+
+def test_ranges_of_repeated_dates_and_of_an_empty_table(spark):
+    moments = [datetime(2021, 1, 1)] * 50 + [datetime(2021, 1, 2 + i % 3) for i in range(10)]
+    ranges = T.cut_predicates("at", cuts_of(spark, moments, 8))
+    sizes = [spark.table("moments").where(condition).count() for condition in ranges]
+    assert sum(sizes) == 60 and max(sizes) == 50
+    assert T.cut_predicates("at", cuts_of(spark, [None], 8)) == ["at IS NOT NULL", "at IS NULL"]
+    assert T.cut_predicates("day", [date(2021, 1, 1)])[0] == "day <= DATE '2021-01-01'"
+
+
 def test_jdbc_registrations_are_reduced_in_the_database():
     options = T.jdbc_options(read_settings(env=ENV), "workorders")
     assert options["dbtable"].startswith("(SELECT DISTINCT aircraftregistration FROM")

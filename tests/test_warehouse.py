@@ -9,7 +9,7 @@ from hangarline import schemas
 from hangarline.operators import checks, facts, quality
 from hangarline.plans import pipeline
 from hangarline.sources.sample_tables import sample_tables
-from hangarline.warehouse import Warehouse, temp_views
+from hangarline.warehouse import PublicationConflict, Warehouse, temp_views
 
 
 @pytest.fixture(scope="module")
@@ -120,6 +120,62 @@ def test_what_remains_of_runs(spark, tmp_path):
     assert [path.name for path in (tmp_path / "runs").iterdir()] == [run.run_id]
 
 
+def test_of_two_builds_at_once_one_is_published(spark, built, tmp_path):
+    first, second = Warehouse.new_run(spark, str(tmp_path)), Warehouse.new_run(spark, str(tmp_path))
+    for run in (second, first):
+        run.write("month", built.table("month"))
+    second.publish()
+    with pytest.raises(PublicationConflict):
+        first.publish()
+    assert Warehouse.open(spark, str(tmp_path)).run_id == second.run_id
+    third = Warehouse.new_run(spark, str(tmp_path))
+    third.publish()
+    assert Warehouse.open(spark, str(tmp_path)).run_id == third.run_id
+
+
+def test_cleaning_spares_a_run_that_may_still_be_published(spark, tmp_path):
+    def run(started, after, name):
+        warehouse = Warehouse(spark, str(tmp_path), f"{started}-after{after}-{name}")
+        warehouse.write("month", spark.createDataFrame([(202401, 1, 2024)], schemas.MONTH.schema))
+        return warehouse
+
+    failed, old = run("20240101T000000", 0, "aa"), run("20240102T000000", 0, "bb")
+    old.publish()
+    slow, current = run("20240103T000000", 1, "cc"), run("20240104T000000", 1, "dd")
+    assert old.remove_older_runs() == [failed.run_id]
+    assert Warehouse.open(spark, str(tmp_path)).remove_older_runs() == []
+    current.publish()
+    assert current.remove_older_runs() == [old.run_id, slow.run_id]  # the turn of the slow one is over
+    with pytest.raises(PublicationConflict):
+        slow.publish()
+
+
+def test_a_publication_without_content_is_none(spark, tmp_path):
+    run = Warehouse.new_run(spark, str(tmp_path))
+    run.publish()
+    (tmp_path / "publications" / "0000000002").write_text("")
+    assert Warehouse.open(spark, str(tmp_path)).run_id == run.run_id
+    following = Warehouse.new_run(spark, str(tmp_path))
+    following.publish()
+    assert Warehouse.open(spark, str(tmp_path)).run_id == following.run_id
+
+
+def test_a_build_reads_each_source_table_once(spark, tmp_path):
+    """Counts for the summary included: every later step starts from what was written."""
+    src, opened = sample_tables(spark, SF_SMALL), []
+
+    class Counting(type(src)):
+        def __getattr__(self, name):
+            opened.append(name)
+            return super().__getattr__(name)
+
+    src.__class__ = Counting
+    run = pipeline.run(spark, src, str(tmp_path))
+    reads = {name: opened.count(name) for name in src.NAMES}
+    assert all(reads[name] == 1 for name in ("flights", "maintenance", "postflightreports", "technicallogbookorders", "personnel"))
+    assert run.table("dq_summary").where("item = 'source flights'").first().row_count == src.flights.count()
+
+
 def test_conflicting_aircraft_stop_the_build(spark, tmp_path):
     src = sample_tables(spark, SF_SMALL)
     lookup = src.aircraft_lookup
