@@ -23,7 +23,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,11 +34,13 @@ CONTEXTS = (2048, 1024, 512, 256)
 STEP_TOKENS = 8 * 2048
 GROUP_BYTES = 32 << 20
 CLOSING_ID = 1
-MAX_CACHED_WORDS = 1 << 20
-#: The pieces that the tokenizer file cuts lower-cased words into, and the words whose lower case and
-#: normal form are plain, for which the file's normalizer can be skipped.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-PLAIN_WORD = regex.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+MAX_CACHED_PIECES = 1 << 20
+#: Fixed value: how the vocabulary marks the last token of a piece.
+PIECE_END = "</w>"
+#: Words whose normal form is plain, for which the tokenizer file's normalizer can be skipped but for lower
+#: case, and the pieces that the file cuts lower-cased words of these characters into.
+PLAIN_WORD = r"^[\x21-\x7eÀ-ÖØ-öø-ÿ]*$"
+PIECES = r"('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+)"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -49,47 +50,105 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _gathered(ids: np.ndarray, starts: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of slots one after the other, and how many each has. Slot i holds ids[starts[i] : starts[i + 1]]."""
+    counts = np.diff(starts)[slots]
+    before = np.concatenate([[0], np.cumsum(counts)])
+    within = np.arange(int(before[-1])) - np.repeat(before[:-1], counts)
+    return ids[np.repeat(starts[slots], counts) + within], counts
+
+
+class _Growing:
+    """An array that grows by doubling."""
+
+    def __init__(self, kind: type, first: list[int]):
+        self.room, self.size = np.array(first + [0], dtype=kind), len(first)
+
+    def extend(self, more: np.ndarray) -> None:
+        if self.size + len(more) > len(self.room):
+            room = np.empty(max(2 * len(self.room), self.size + len(more)), dtype=self.room.dtype)
+            room[: self.size] = self.room[: self.size]
+            self.room = room
+        self.room[self.size : self.size + len(more)] = more
+        self.size += len(more)
+
+    def values(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
 class WordIds:
-    """Ids of white-space separated words, encoded once for each word that a worker meets."""
+    """Ids of texts: each distinct word of a batch is cut into pieces once, each piece encoded once for a worker.
+
+    Pieces recur where words do not, with other punctuation or capitals around them. The number of remembered pieces is
+    bounded: when there are too many, those that came back in the current batch stay.
+    """
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
         self.bare = Tokenizer(self.whole.model)
         self.letters = _byte_letters()
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids = np.empty(0, dtype=np.uint32)
-        self.starts = np.zeros(1, dtype=np.int64)
-
-    def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words, and how many each word has."""
-        pieces, owners = [], []
-        for number, word in enumerate(words):
-            found = PIECES.findall(word.lower())
-            pieces += found if word.isascii() else [x.encode().decode("latin-1").translate(self.letters) for x in found]
-            owners += [number] * len(found)
-        ids, of = [np.empty(0, dtype=np.uint32)], [np.empty(0, dtype=np.int64)]
+        vocabulary = self.whole.get_vocab()
+        self.ends_piece = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_piece[[number for token, number in vocabulary.items() if token.endswith(PIECE_END)]] = True
+        self._forget([])
+
+    def _forget(self, kept: list[str]) -> None:
+        """Forgets all pieces but these."""
+        if kept:
+            slots = np.array([self.index[piece] for piece in kept], dtype=np.int64)
+            ids, counts = _gathered(self.ids.values(), self.starts.values(), slots)
+        else:
+            kept, ids, counts = [""], np.empty(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+        self.index = {piece: slot for slot, piece in enumerate(kept)}
+        self.ids, self.starts = _Growing(np.uint32, []), _Growing(np.int64, [0])
+        self.ids.extend(ids)
+        self.starts.extend(np.cumsum(counts))
+
+    def _learn(self, pieces: list[str]) -> None:
+        lettered = [x if x.isascii() else x.encode().decode("latin-1").translate(self.letters) for x in pieces]
         for low in range(0, len(pieces), 4096):
-            encoding = self.bare.encode(pieces[low : low + 4096], is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(encoding.ids, dtype=np.uint32))
-            of.append(np.array(encoding.word_ids, dtype=np.int64) + low)
-        owner = np.array(owners, dtype=np.int64)[np.concatenate(of)]
-        return np.concatenate(ids), np.bincount(owner, minlength=len(words))
-
-    def _add(self, words: list[str]) -> None:
-        plain, others = [], []
-        for word in words:
-            is_plain = word.isprintable() if word.isascii() else PLAIN_WORD.fullmatch(word)
-            (plain if is_plain and "<|" not in word else others).append(word)
-        ids, counts = self._encode_plain(plain)
-        whole = [e.ids for e in self.whole.encode_batch(others, add_special_tokens=False)]
-        self.index.update(zip(plain + others, range(len(self.index), len(self.index) + len(words)), strict=True))
-        more = np.array([x for e in whole for x in e], dtype=np.uint32)
-        lengths = np.concatenate([counts, np.array([len(e) for e in whole], dtype=np.int64)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, ids, more])
+            part = lettered[low : low + 4096]
+            (encoding,) = self.bare.encode_batch_fast([part], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(encoding.ids, dtype=np.uint32)
+            ends = np.flatnonzero(self.ends_piece[ids]) + 1
+            if len(ends) != len(part):  # a piece that ends otherwise: the slower call tells pieces apart
+                slow = self.bare.encode(part, is_pretokenized=True, add_special_tokens=False)
+                ends = np.cumsum(np.bincount(np.array(slow.word_ids, dtype=np.int64), minlength=len(part)))
+            self.starts.extend(self.ids.size + ends)
+            self.ids.extend(ids)
+        self.index.update(zip(pieces, range(len(self.index), len(self.index) + len(pieces)), strict=True))
+
+    def _plain_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words one after the other, and how many each has."""
+        cut = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(words), PIECES, r"\1 "))
+        coded = pc.dictionary_encode(cut.flatten())
+        pieces = coded.dictionary.to_pylist()
+        if len(self.index) + len(pieces) > MAX_CACHED_PIECES:
+            self._forget(sorted({piece for piece in pieces if piece in self.index} | {""}))
+        self._learn([piece for piece in pieces if piece not in self.index])
+        slots = np.fromiter((self.index[piece] for piece in pieces), dtype=np.int64, count=len(pieces))
+        slots = slots[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else slots
+        ids, counts = _gathered(self.ids.values(), self.starts.values(), slots)
+        ends = np.cumsum(cut.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        before = np.concatenate([[0], np.cumsum(counts)])
+        return ids, np.diff(np.concatenate([[0], before[ends]]))
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one after the other, and where each word's begin, with the end."""
+        plain = pc.match_substring_regex(words, PLAIN_WORD)
+        plain = pc.and_(plain, pc.invert(pc.match_substring(words, "<|")))
+        ids, counts = self._plain_words(words.filter(plain))
+        is_plain = plain.to_numpy(zero_copy_only=False).astype(bool)
+        if is_plain.all():
+            return ids, np.concatenate([[0], np.cumsum(counts)])
+        others = words.filter(pc.invert(plain)).to_pylist()
+        whole = [e.ids for e in self.whole.encode_batch_fast(others, add_special_tokens=False)]
+        starts = np.concatenate([[0], np.cumsum(counts), ids.size + np.cumsum([len(e) for e in whole])]).astype(np.int64)
+        ids = np.concatenate([ids, np.array([x for e in whole for x in e], dtype=np.uint32)])
+        order = np.empty(len(words), dtype=np.int64)  # where a word was put: plain ones first
+        order[is_plain], order[~is_plain] = np.arange(len(counts)), len(counts) + np.arange(len(others))
+        ids, counts = _gathered(ids, starts, order)
+        return ids, np.concatenate([[0], np.cumsum(counts)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with the closing id after each text; and where each text's ids begin, with the end."""
@@ -97,24 +156,15 @@ class WordIds:
         if not pc.any(pc.match_substring(texts, "<|")).as_py():
             texts = pc.ascii_lower(texts)  # the tokenizer does so itself, but for its special tokens
         split = pc.ascii_split_whitespace(texts)
-        words = split.flatten()
-        coded = pc.dictionary_encode(words)
-        distinct = coded.dictionary.to_pylist()
-        if len(self.index) + len(distinct) > MAX_CACHED_WORDS:
-            self.clear()
-        if new := [word for word in distinct if word not in self.index]:
-            self._add(new)
-        slots = np.fromiter((self.index[word] for word in distinct), dtype=np.int64, count=len(distinct))
-        of_word = slots[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else slots
-        counts = np.diff(self.starts)[of_word]
+        coded = pc.dictionary_encode(split.flatten())
+        ids, starts = self._words(coded.dictionary)
+        of_word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        found, counts = _gathered(ids, starts, of_word)
         bounds = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-        before = np.concatenate([[0], np.cumsum(counts)])
-        starts = before[bounds] + np.arange(len(bounds))
-        first = before[:-1] + np.repeat(np.arange(len(texts)), np.diff(bounds))
-        out = np.full(int(starts[-1]), CLOSING_ID, dtype=np.uint32)
-        within = np.arange(int(before[-1])) - np.repeat(before[:-1], counts)
-        out[np.repeat(first, counts) + within] = self.ids[np.repeat(self.starts[of_word], counts) + within]
-        return out, starts
+        before = np.concatenate([[0], np.cumsum(counts)])[bounds]
+        out = np.full(len(found) + len(texts), CLOSING_ID, dtype=np.uint32)
+        out[np.arange(len(found)) + np.repeat(np.arange(len(texts)), np.diff(before))] = found
+        return out, before + np.arange(len(bounds))
 
 
 class _Pool:
