@@ -36,6 +36,14 @@ def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(df: DataFrame, wish: str) -> str:
+    """A column name that the table does not have, whatever its columns are called."""
+    taken = {name.lower() for name in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def shards_for(rows: int, rows_per_shard: int) -> int:
     """How many shards keep the expected rows of a shard at or under the given number."""
     return max(1, -(-rows // rows_per_shard))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hangarline.llm.common import shards_for, written
+from hangarline.llm.common import fresh_name, shards_for, written
 
 DIGESTS_PER_SHARD = 1 << 15
 #: Bits per key and level of the minimal perfect hash; more means fewer levels.
@@ -195,13 +195,18 @@ def exact_duplicates(docs: DataFrame, digests_per_shard: int = DIGESTS_PER_SHARD
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, one row each, with the columns of docs. A repeated row of a kept doc_id is dropped.
+    """The documents that stay, with the columns of docs: of equal texts the row with the smallest doc_id, once.
 
-    Rows without doc_id stay, as no decision can name them.
+    Rows are told apart by doc_id and text, so that of two texts under one doc_id neither is lost. Rows without
+    doc_id stay, as no decision can name them.
     """
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return rows.unionByName(docs.where("doc_id IS NULL"))
+    own, kept_id, kept_digest = (fresh_name(docs, name) for name in ("own_digest", "kept_id", "kept_digest"))
+    kept = exact_duplicates(docs.select("doc_id", "text")).where("kept AND doc_id IS NOT NULL")
+    kept = kept.select(F.col("doc_id").alias(kept_id), F.unhex("text_sha256").alias(kept_digest)).distinct()
+    rows = docs.where("doc_id IS NOT NULL").withColumn(own, F.unhex(F.sha2(normalized(F.col("text")), 256)))
+    same = (F.col("doc_id") == F.col(kept_id)) & (F.col(own) == F.col(kept_digest))
+    stay = rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
+    return stay.unionByName(docs.where("doc_id IS NULL"))
 
 
 ORACLE = r"""

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hangarline.llm.common import shards_for, shared_folder, text_parts, written
+from hangarline.llm.common import fresh_name, shards_for, shared_folder, text_parts, written
 
 ORDER = 4
 CHUNK_BYTES = 16 << 20
@@ -264,7 +264,14 @@ def quality_scores(
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier keeps, with their own columns. Rows without a doc_id stay: no score names them."""
-    rejected = quality_scores(docs, labels).where("NOT kept AND doc_id IS NOT NULL")
-    rejected = rejected.select(F.col("doc_id").alias("_rejected_id")).distinct()
-    return docs.join(rejected, F.col("doc_id") == F.col("_rejected_id"), "left_anti")
+    """The documents that the classifier keeps, with their own columns. Rows without a doc_id stay: no score names them.
+
+    Scores name a doc_id and the length of its text; of texts that share both, all stay unless all are rejected.
+    """
+    rejected_id, rejected_bytes = fresh_name(docs, "rejected_id"), fresh_name(docs, "rejected_bytes")
+    scores = quality_scores(docs.select("doc_id", "lang", "text"), labels).where("doc_id IS NOT NULL")
+    judged = scores.groupBy(F.col("doc_id").alias(rejected_id), F.col("n_bytes").alias(rejected_bytes)).agg(F.max("kept").alias("any_kept"))
+    rejected = judged.where("NOT any_kept").drop("any_kept")
+    n_bytes = F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    same = (F.col("doc_id") == F.col(rejected_id)) & (n_bytes == F.col(rejected_bytes))
+    return docs.join(rejected, same, "left_anti")

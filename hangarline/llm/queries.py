@@ -35,6 +35,10 @@ def _op2(documents: DataFrame) -> DataFrame:
     return packing.pack(documents, TOKENIZER)
 
 
+def _op6(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    return mixing.mixed(documents, mixing.domain_labels(labels)).drop("own")
+
+
 def _op8(documents: DataFrame) -> DataFrame:
     return licenses.license_scan(documents).drop("spans")
 
@@ -45,7 +49,7 @@ _QUERIES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "op3_quality": (quality.quality_scores, ("documents", "labels")),
     "op4_topk": (topk.embedding_neighbours, ("embeddings",)),
     "op5_main_text": (html.main_texts, ("pages",)),
-    "op6_mixing": (lambda docs, labels: mixing.mixed(docs, mixing.domain_labels(labels)), ("documents", "labels")),
+    "op6_mixing": (_op6, ("documents", "labels")),
     "op7_toxicity": (toxicity.toxicity, ("documents", "labels")),
     "op8_licenses": (_op8, ("documents",)),
     "op9_simhash": (simhash.near_duplicates, ("documents",)),

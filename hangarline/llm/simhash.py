@@ -24,11 +24,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from hangarline.llm.common import shards_for, text_parts, written
+from hangarline.llm.common import fresh_name, shards_for, text_parts, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -79,23 +79,32 @@ def majority_bits(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _fingerprint_batches(words: int):
+    """The first columns of a batch with the fingerprint of its last column, the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pc.cast(pc.fill_null(batch.column(1), ""), pa.binary())
+            texts = pc.cast(pc.fill_null(batch.columns[-1], ""), pa.binary())
             for low, high in text_parts(texts, PART_BYTES):
                 part = texts.slice(low, high - low).to_pylist()
                 hashes = [np.array(shingle_hashes(text, words), dtype=np.uint64) for text in part]
                 sizes = np.array([len(x) for x in hashes], dtype=np.int64)
                 bits = pa.array(majority_bits(np.concatenate(hashes), sizes).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), bits], ["doc_id", "point"])
+                others = [column.slice(low, high - low) for column in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*others, bits], [*batch.schema.names[:-1], "point"])
 
     return run
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, point: the fingerprint as a signed 64-bit number."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(_fingerprint_batches(words), "doc_id long, point long")
+def content(text: Column) -> Column:
+    """A hash that tells apart texts under one doc_id."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, with_content: bool = False) -> DataFrame:
+    """doc_id, point: the fingerprint as a signed 64-bit number; on request `content`."""
+    more = [content(F.col("text")).alias("content")] if with_content else []
+    rows = docs.select(F.col("doc_id").cast("long"), *more, F.col("text").cast("string"))
+    return rows.mapInArrow(_fingerprint_batches(words), f"doc_id long, {'content long, ' if with_content else ''}point long")
 
 
 def _bits_apart(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
@@ -224,25 +233,36 @@ def connected(edges: DataFrame) -> DataFrame:
         edges = written(small.toDF("node", "root").distinct())
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits), component_id (smallest doc_id reachable), component_size."""
-    rows = written(fingerprints(docs, words))
+def _components(rows: DataFrame, max_bits: int) -> DataFrame:
+    """point, root (the smallest point it is connected to), component_id, component_size. rows: doc_id, point."""
     points = written(rows.groupBy("point").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")))
     links = connected(shard_links(points, max_bits))
     rooted = points.join(links.withColumnRenamed("node", "point"), "point", "left")
     rooted = written(rooted.withColumn("root", F.coalesce("root", "point")))
     components = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("copies").alias("component_size"))
-    placed = rooted.select("point", "root").join(components, "root").drop("root")
+    return rooted.select("point", "root").join(components, "root")
+
+
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits), component_id (smallest doc_id reachable), component_size."""
+    rows = written(fingerprints(docs, words))
+    placed = _components(rows, max_bits).drop("root")
     fingerprint = F.lower(F.lpad(F.hex("point"), 16, "0")).alias("fingerprint")
     return rows.join(placed, "point").select("doc_id", fingerprint, "component_id", "component_size")
 
 
 def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document with the smallest doc_id of each component, one row each, with the columns of docs.
+    """One document of each component, the one with the smallest doc_id, with the columns of docs.
 
-    Rows without doc_id stay, as no decision can name them.
+    Rows are told apart by doc_id and text, so that of two texts under one doc_id, in different components, neither is
+    lost. Rows without doc_id stay, as no decision can name them.
     """
-    kept = near_duplicates(docs, words, max_bits).where("doc_id = component_id")
-    kept = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return rows.unionByName(docs.where("doc_id IS NULL"))
+    rows = written(fingerprints(docs.select("doc_id", "text"), words, with_content=True))
+    joined = rows.where("doc_id IS NOT NULL").join(_components(rows, max_bits).select("point", "root"), "point")
+    least = joined.groupBy("root").agg(F.min(F.struct("doc_id", "content")).alias("least"))
+    own, kept_id, kept_content = (fresh_name(docs, name) for name in ("own_content", "kept_id", "kept_content"))
+    kept = least.select(F.col("least.doc_id").alias(kept_id), F.col("least.content").alias(kept_content))
+    named = docs.where("doc_id IS NOT NULL").withColumn(own, content(F.col("text")))
+    same = (F.col("doc_id") == F.col(kept_id)) & (F.col(own) == F.col(kept_content))
+    stay = named.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
+    return stay.unionByName(docs.where("doc_id IS NULL"))
