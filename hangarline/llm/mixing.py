@@ -48,6 +48,8 @@ REPLAY = 10
 TOLERANCE = 1e-5
 #: A least squares fit ends where no rates can lower its value by more than this part of it.
 GAP = 1e-3
+#: The pull of each rate to 1 in that fit, which settles rates that the totals leave open.
+PULL = 1e-3
 MAX_RATE = 16.0
 LEAST = 0.1
 
@@ -132,24 +134,24 @@ def targets_of(available: list[float], weights: list[float]) -> list[float]:
 def _stepped(features: list[str], steps: list[list[float]], cap: float, start: str = "named_struct('r', 1.0D, 'y', 1.0D)") -> str:
     """SQL for the rate `r`, and for the point `y` that the next step starts from, after the given steps.
 
-    A step: for each feature what it takes off the rate, and the momentum.
+    A step: for each feature what it takes off the rate, the momentum, and how far the rate is pulled to 1.
     """
     if not steps:
         return start
     rows = ", ".join("array(" + ", ".join(f"{x!r}D" for x in step) + ")" for step in steps)
     taken = " + ".join(f"({feature}) * s[{i}]" for i, feature in enumerate(features))
-    rate = f"greatest(0.0D, least({float(cap)!r}D, a.y - ({taken})))"
     last = len(features)
+    rate = f"greatest(0.0D, least({float(cap)!r}D, a.y - ({taken}) - s[{last + 1}] * (a.y - 1.0D)))"
     moved = f"transform(array({rate}), r -> named_struct('r', r, 'y', r + s[{last}] * (r - a.r)))[0]"
     return f"aggregate(array({rows}), {start}, (a, s) -> {moved})"
 
 
 def _projected(
-    cells: DataFrame, features: list[str], goals: np.ndarray, metric: np.ndarray, cap: float, ended
+    cells: DataFrame, features: list[str], goals: np.ndarray, metric: np.ndarray, cap: float, pull: float, ended
 ) -> tuple[list[list[float]], np.ndarray]:
-    """Steps of projected gradient that lower misses * metric * misses, and the sums tokens * rate * feature reached.
+    """Steps of projected gradient, and the sums tokens * rate * feature they reach.
 
-    misses: these sums less the goals. ended(steps, sums, gap): whether to stop; gap() bounds how much lower the value
+    They lower misses * metric * misses + pull * (sum of tokens * (rate - 1)^2); misses: these sums less the goals. ended(steps, sums, gap): whether to stop; gap() bounds how much lower the value
     can get, by the best that any rates in [0, cap] promise along the slope.
     """
     k = range(len(features))
@@ -159,7 +161,7 @@ def _projected(
     products = [f"sum(t * f{i} * f{j})" for i in k for j in k]
     gram = np.array([float(x or 0) for x in state.agg(*map(F.expr, products)).first()]).reshape(len(features), -1)
     root = np.linalg.cholesky(metric + 1e-12 * np.trace(metric) * np.eye(len(features)))
-    rate = 1 / max(float(np.linalg.eigvalsh(root.T @ gram @ root).max()), 1e-300)
+    rate = 1 / max(float(np.linalg.eigvalsh(root.T @ gram @ root).max()) + pull, 1e-300)
     steps: list[list[float]] = []
     recent: list[list[float]] = []
     speed, sums = 1.0, np.zeros(len(features))
@@ -174,16 +176,17 @@ def _projected(
 
         def gap(now: DataFrame = now, sums: np.ndarray = sums) -> float:
             slope = " + ".join(f"f{i} * {x!r}D" for i, x in enumerate((metric @ (sums - goals)).tolist()))
+            slope += f" + {pull!r}D * (a.r - 1.0D)"
             bound = now.selectExpr("t", "a.r AS r", f"{slope} AS h").agg(F.expr(f"sum(t * (h * r - least(h * {float(cap)!r}D, 0.0D)))"))
             return 2 * float(bound.first()[0] or 0)
 
         if len(steps) >= STEPS or ended(len(steps), sums, gap):
             return steps, sums
-        pull = metric @ (ahead - goals)
-        if steps and pull @ (sums - previous) > 0:  # the momentum points uphill
+        uphill = metric @ (ahead - goals)
+        if steps and uphill @ (sums - previous) > 0:  # the momentum points uphill
             speed = 1.0
         faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
-        step = [*(rate * pull).tolist(), (speed - 1) / faster]
+        step = [*(rate * uphill).tolist(), (speed - 1) / faster, rate * pull]
         speed = faster
         steps.append(step)
         recent.append(step)
@@ -218,7 +221,7 @@ def fitted_rate(cells: DataFrame, weights: list[float], max_rate: float) -> Colu
         state["met"] = size >= LEAST * min(whole, targets.sum()) and float(np.abs(sums[:-1]).max()) <= TOLERANCE * size
         return state["met"] or size < LEAST * min(whole, targets.sum())
 
-    steps, _ = _projected(cells, sized, np.zeros(len(sized)), wide, max_rate, shares_met)
+    steps, _ = _projected(cells, sized, np.zeros(len(sized)), wide, max_rate, 0.0, shares_met)
     if state["met"]:
         return F.expr(f"{_stepped(sized, steps, max_rate)}.r")
 
@@ -232,7 +235,7 @@ def fitted_rate(cells: DataFrame, weights: list[float], max_rate: float) -> Colu
         return steps % REPLAY == 0 and gap() <= GAP * value
 
     cap = min(1.0, max_rate)  # what cannot have its shares is not repeated either
-    steps, sums = _projected(cells, plain, targets, metric, cap, lowest)
+    steps, sums = _projected(cells, plain, targets, metric, cap, PULL, lowest)
     got = [round(float(x) / (float(sums.sum()) or 1), 5) for x in sums]
     ends = "" if len(steps) < STEPS else f" after {STEPS} steps"
     warnings.warn(f"mixing: shares {[round(w, 5) for w in weights]} cannot be met, achieved {got}{ends}", stacklevel=2)
