@@ -3,6 +3,7 @@ from hangarline.functions.expressions import (
     clean_text,
     false_if_null,
     micros_between,
+    micros_sql,
     month_key,
     ratio,
     round_places,
@@ -13,6 +14,7 @@ __all__ = [
     "clean_text",
     "false_if_null",
     "micros_between",
+    "micros_sql",
     "month_key",
     "ratio",
     "round_places",

@@ -30,12 +30,19 @@ def false_if_null(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def micros_between(start: Column, end: Column) -> Column:
-    """Whole microseconds from start to end, both without zone: the session's zone plays no part.
+def micros_sql(start: str, end: str) -> str:
+    """Whole microseconds from start to end, both without zone, as SQL: the session's zone plays no part.
 
     A bigint, so that sums are exact and independent of row order, up to 2.5 billion hours; beyond that they
     raise. The difference is an interval of days to seconds; its fields are whole numbers but for the seconds.
     """
+    units = {"DAY": MICROS_PER_DAY, "HOUR": MICROS_PER_HOUR, "MINUTE": MICROS_PER_MINUTE}
+    whole = " + ".join(f"extract({unit} FROM {end} - {start}) * {micros}L" for unit, micros in units.items())
+    return f"({whole} + CAST(extract(SECOND FROM {end} - {start}) * 1000000 AS BIGINT))"
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    """`micros_sql` of two columns."""
     length = end - start
 
     def part(name: str) -> Column:

@@ -67,8 +67,13 @@ def _checked(
     """
     specs = {spec.name: spec for spec, _ in references}
     referred = [_referred(tables[name], spec, [r for s, r in references if s is spec]) for name, spec in specs.items()]
+    # Never NULL, so that the join adds no filter to one of two branches that could share the calendar's exchange.
     keys = [
-        dimensions[name].select(F.lit(name).alias("reference_table"), F.col(TABLES[name].key[0]).cast("string").alias("value"), F.lit(True).alias("is_there"))
+        dimensions[name].select(
+            F.lit(name).alias("reference_table"),
+            F.coalesce(F.col(TABLES[name].key[0]).cast("string"), F.lit("\0")).alias("value"),
+            F.lit(True).alias("is_there"),
+        )
         for name in sorted({r.table for _, r in references})
     ]
     found = reduce(DataFrame.unionByName, referred).join(reduce(DataFrame.unionByName, keys), ["reference_table", "value"], "left")

@@ -1,12 +1,11 @@
 """Measures and the three facts."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hangarline.functions import false_if_null, micros_between
+from hangarline.functions import micros_sql
 from hangarline.functions.expressions import MICROS_PER_HOUR, MICROS_PER_MINUTE
 from hangarline.operators.quality import (
-    contestable,
     ordered_departures,
     repair_swapped_times,
     with_known_aircraft,
@@ -14,45 +13,26 @@ from hangarline.operators.quality import (
 from hangarline.schemas import require_columns
 
 DELAY_THRESHOLD_MINUTES = 15
+DELAY_MICROS = DELAY_THRESHOLD_MINUTES * MICROS_PER_MINUTE
 POSTFLIGHT = "POSTFLIGHTREPORT"
 REPORT_REQUIRED = ["date_id", "reporter_class"]
 
 
-def _flown() -> Column:
-    return micros_between(F.col("actualdeparture"), F.col("actualarrival"))
-
-
-def _late() -> Column:
-    return micros_between(F.col("scheduledarrival"), F.col("actualarrival"))
-
-
-def _measures(flown: Column, late: Column) -> dict[str, Column]:
-    """Per-flight measures in whole microseconds, to be summed before they are converted."""
-    cancelled = false_if_null(F.col("cancelled"))
-    delayed = ~cancelled & false_if_null(late > DELAY_THRESHOLD_MINUTES * MICROS_PER_MINUTE)
-    return {
-        "flight_micros": F.when(cancelled, 0).otherwise(F.coalesce(flown, F.lit(0))),
-        "takeoff": (~cancelled).cast("int"),
-        "delays": delayed.cast("int"),
-        "delay_micros": F.when(delayed, late).otherwise(0),
-        "cancellations": cancelled.cast("int"),
-    }
-
-
 def flight_measures(flights: DataFrame) -> DataFrame:
     """Adds hours, take-off, delay and cancellation to every flight (after BR-23).
 
     A delay counts from more than 15 minutes behind the scheduled arrival, and then in full.
     """
-    measures = _measures(_flown(), _late())
-    return flights.withColumns(
-        {
-            "flight_hours": measures["flight_micros"] / MICROS_PER_HOUR,
-            "takeoff": measures["takeoff"],
-            "delays": measures["delays"],
-            "delay_minutes": measures["delay_micros"] / MICROS_PER_MINUTE,
-            "cancellations": measures["cancellations"],
-        }
+    late = micros_sql("scheduledarrival", "actualarrival")
+    delayed = f"NOT coalesce(cancelled, false) AND coalesce({late} > {DELAY_MICROS}, false)"
+    hours = f"IF(coalesce(cancelled, false), 0, coalesce({micros_sql('actualdeparture', 'actualarrival')}, 0)) / {MICROS_PER_HOUR}L"
+    return flights.selectExpr(
+        "*",
+        f"{hours} AS flight_hours",
+        "IF(coalesce(cancelled, false), 0, 1) AS takeoff",
+        f"IF({delayed}, 1, 0) AS delays",
+        f"IF({delayed}, {late}, 0) / {MICROS_PER_MINUTE}L AS delay_minutes",
+        "IF(coalesce(cancelled, false), 1, 0) AS cancellations",
     )
 
 
@@ -61,36 +41,36 @@ def measured_departures(flights: DataFrame) -> DataFrame:
 
     After BR-23 those have no hours: they are cancelled, lack a time or have no duration.
     """
-    measures = {name: value for name, value in _measures(_flown(), _late()).items() if name != "flight_micros"}
-    totals = {name: F.when(contestable(), 0).otherwise(value) for name, value in measures.items()}
-    totals["uncontested"] = (~contestable()).cast("int")
-    return ordered_departures(flights, totals)
+    flown = "NOT contested AND NOT coalesce(cancelled, false)"
+    late = f"{flown} AND coalesce(lateness > {DELAY_MICROS}, false)"
+    return ordered_departures(
+        flights,
+        {
+            "takeoff": f"IF({flown}, 1, 0)",
+            "delays": f"IF({late}, 1, 0)",
+            "delay_micros": f"IF({late}, lateness, 0)",
+            "cancellations": "IF(NOT contested AND coalesce(cancelled, false), 1, 0)",
+            "uncontested": "IF(contested, 0, 1)",
+        },
+    )
 
 
 def daily_flights(departures: DataFrame) -> DataFrame:
     """Kept flights to one row per aircraft and day, from the uncontested totals and the survivors.
 
     A day on which no flight is kept has no row, and neither have flights without aircraft or day.
+    A survivor is not cancelled: it takes off, has hours, and is late if a time was scheduled.
     """
-    kept = departures.where("survives OR uncontested > 0").where("aircraft_id IS NOT NULL AND date_id IS NOT NULL")
-    # A survivor is not cancelled: it takes off, has hours, and its lateness is known if a time was scheduled.
-    late = false_if_null(F.col("late") > DELAY_THRESHOLD_MINUTES * MICROS_PER_MINUTE)
-    survivor = {
-        "flight_micros": micros_between(F.col("departure"), F.col("arrival")),
-        "takeoff": F.lit(1),
-        "delays": late.cast("int"),
-        "delay_micros": F.when(late, F.col("late")).otherwise(0),
-        "cancellations": F.lit(0),
+    kept = departures.where("(survives OR uncontested > 0) AND aircraft_id IS NOT NULL AND date_id IS NOT NULL")
+    late = f"survives AND coalesce(late > {DELAY_MICROS}, false)"
+    totals = {
+        "flight_hours": f"sum(IF(survives, {micros_sql('departure', 'arrival')}, 0)) / {MICROS_PER_HOUR}L",
+        "takeoff": "sum(takeoff + IF(survives, 1, 0))",
+        "delays": f"sum(delays + IF({late}, 1, 0))",
+        "delay_minutes": f"sum(delay_micros + IF({late}, late, 0)) / {MICROS_PER_MINUTE}L",
+        "cancellations": "sum(cancellations)",
     }
-    survivor = {name: F.when(F.col("survives"), value).otherwise(0) for name, value in survivor.items()}
-    total = {name: F.sum(value + F.col(name) if name in kept.columns else value) for name, value in survivor.items()}
-    return kept.groupBy("aircraft_id", "date_id").agg(
-        (total["flight_micros"] / MICROS_PER_HOUR).alias("flight_hours"),
-        total["takeoff"].alias("takeoff"),
-        total["delays"].alias("delays"),
-        (total["delay_micros"] / MICROS_PER_MINUTE).alias("delay_minutes"),
-        total["cancellations"].alias("cancellations"),
-    )
+    return kept.groupBy("aircraft_id", "date_id").agg(*[F.expr(f"{value} AS {name}") for name, value in totals.items()])
 
 
 def flights_fact(flights: DataFrame) -> DataFrame:

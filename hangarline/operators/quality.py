@@ -1,13 +1,11 @@
 """Data-quality rules. Each keeps the rows it repairs or removes, so that they can be audited."""
 
 from collections.abc import Collection, Mapping
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hangarline.functions import clean_code, false_if_null, micros_between
+from hangarline.functions import clean_code, micros_sql
 from hangarline.schemas import require_columns
 
 FLIGHT_COLUMNS = ["aircraft_id", "date_id", "actualdeparture", "actualarrival", "scheduledarrival", "cancelled"]
@@ -16,30 +14,36 @@ FLIGHT_COLUMNS = ["aircraft_id", "date_id", "actualdeparture", "actualarrival",
 def repair_swapped_times(flights: DataFrame) -> DataFrame:
     """BR-23: a flight that arrives before it departs gets its two times exchanged."""
     require_columns(flights, ["actualdeparture", "actualarrival"], "flights")
-    departure, arrival = F.col("actualdeparture"), F.col("actualarrival")
-    swapped = false_if_null(arrival < departure)
+    swapped = "coalesce(actualarrival < actualdeparture, false)"
     return flights.withColumns(
         {
-            "times_swapped": swapped,
-            "actualdeparture": F.when(swapped, arrival).otherwise(departure),
-            "actualarrival": F.when(swapped, departure).otherwise(arrival),
+            "times_swapped": F.expr(swapped),
+            "actualdeparture": F.expr(f"IF({swapped}, actualarrival, actualdeparture)"),
+            "actualarrival": F.expr(f"IF({swapped}, actualdeparture, actualarrival)"),
         }
     )
 
 
+# Conditions on single flights, as SQL: a long expression is then one call into the session, not dozens.
+AIRBORNE = (
+    "(NOT coalesce(cancelled, false) AND aircraft_id IS NOT NULL AND actualdeparture IS NOT NULL"
+    " AND actualarrival IS NOT NULL)"
+)
+CONTESTABLE = f"({AIRBORNE} AND actualarrival > actualdeparture)"
+
+
 def airborne() -> Column:
     """Flights that take part in BR-21: not cancelled, with aircraft and both times known."""
-    known = [F.col(c).isNotNull() for c in ("aircraft_id", "actualdeparture", "actualarrival")]
-    return reduce(and_, known, ~false_if_null(F.col("cancelled")))
+    return F.expr(AIRBORNE)
 
 
 def contestable() -> Column:
     """Flights BR-21 can remove: one without a duration ends before any later departure."""
-    return airborne() & (F.col("actualarrival") > F.col("actualdeparture"))
+    return F.expr(CONTESTABLE)
 
 
 def ordered_departures(
-    flights: DataFrame, totals: Mapping[str, Column] | None = None, apart: Collection[str] = ()
+    flights: DataFrame, totals: Mapping[str, str] | None = None, apart: Collection[str] = ()
 ) -> DataFrame:
     """BR-21 decided for the candidates of each aircraft, scheduled day and departure.
 
@@ -62,27 +66,32 @@ def ordered_departures(
     Columns of the result: `aircraft_id`, `date_id`, `departure` (NULL for flights outside the rule), the
     candidate's `arrival` (NULL if there is none), `late` (microseconds behind the scheduled arrival, if
     known), whether `cancelled` is `known`, the remaining columns as `more` if there are any, `survives`,
-    and the sums `totals` over all flights of the row. Columns named in `apart` serve the totals only.
+    and the sums `totals` over all flights of the row: SQL over the flights' columns and over `in_rule`,
+    `contested` (whether BR-21 looks at a flight, and can remove it) and `lateness` (microseconds behind
+    schedule). Columns named in `apart` serve the totals only.
     """
     require_columns(flights, FLIGHT_COLUMNS, "flights")
     more = [c for c in flights.columns if c not in FLIGHT_COLUMNS and c not in apart]
-    latest = F.struct("actualarrival", *more) if more else F.col("actualarrival")
-    late = micros_between(F.col("scheduledarrival"), F.col("actualarrival"))
+    latest = f"struct(actualarrival, {', '.join(more)})" if more else "actualarrival"
     # Flights outside the rule are not filtered out: pushed down to the scan, the filter would evaluate
     # the repair expressions of BR-23 many times. They collapse into one row per aircraft and day.
     departures = (
-        flights.withColumns({"in_rule": airborne(), "contested": contestable()})
-        .withColumns(
-            {
-                "departure": F.when(F.col("in_rule"), F.col("actualdeparture")),
-                "late": F.when(F.col("contested"), late),
-                "known": F.when(F.col("contested"), F.col("cancelled").isNotNull()),
-            }
+        flights.selectExpr(
+            "*",
+            f"{AIRBORNE} AS in_rule",
+            f"{CONTESTABLE} AS contested",
+            f"{micros_sql('scheduledarrival', 'actualarrival')} AS lateness",
+        )
+        .selectExpr(
+            "*",
+            "IF(in_rule, actualdeparture, NULL) AS departure",
+            "IF(contested, lateness, NULL) AS late",
+            "IF(contested, cancelled IS NOT NULL, NULL) AS known",
         )
         .groupBy("departure", "aircraft_id", "date_id", "late", "known")
         .agg(
-            F.max(F.when(F.col("contested"), latest)).alias("best"),
-            *[F.sum(value).alias(name) for name, value in (totals or {}).items()],
+            F.expr(f"max(IF(contested, {latest}, NULL)) AS best"),
+            *[F.expr(f"sum({value}) AS {name}") for name, value in (totals or {}).items()],
         )
         .withColumn("span", F.to_date("departure"))
     )
@@ -93,10 +102,10 @@ def ordered_departures(
     followed = departures.withColumns(
         {"next_departure": F.lead("departure").over(in_span), "place": F.row_number().over(in_span)}
     )
-    is_last = F.col("departure").isNotNull() & F.col("next_departure").isNull()
-    inner = followed.where(~is_last)
+    is_last = "(departure IS NOT NULL AND next_departure IS NULL)"
+    inner = followed.where(f"NOT {is_last}")
     # Only ends of spans take part, and only the last ones need their successor.
-    ends = followed.where(is_last | ((F.col("place") == 1) & F.col("departure").isNotNull()))
+    ends = followed.where(f"{is_last} OR (place = 1 AND departure IS NOT NULL)")
     of_aircraft = Window.partitionBy("aircraft_id").orderBy(*order)
     ends = ends.withColumn("following", F.lead("departure").over(of_aircraft)).where("next_departure IS NULL")
     rows = inner.unionByName(ends.withColumn("next_departure", F.col("following")).drop("following"))
@@ -139,7 +148,7 @@ def flight_outcomes(flights: DataFrame) -> DataFrame:
     """
     counted = counted_flights(flights)
     # The total keeps the counts in this branch: without them it would be another aggregate and another scan.
-    departures = ordered_departures(counted, {"flights": F.col("copies")}, apart=("copies",)).where("flights > 0")
+    departures = ordered_departures(counted, {"flights": "copies"}, apart=("copies",)).where("flights > 0")
     survivors = surviving_flights(departures).select(*flights.columns, F.lit(0).cast("long").alias("copies"))
     both = counted.withColumn("kept", F.lit(0)).unionByName(survivors.withColumn("kept", F.lit(1)))
     removed = F.when(contestable(), F.col("copies") - F.col("kept")).otherwise(0)

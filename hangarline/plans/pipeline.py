@@ -57,7 +57,7 @@ def fact_tables(src: SourceTables, aircraft: DataFrame) -> dict[str, DataFrame]:
 def flight_decisions(flights: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Flights after BR-23, counted, and what BR-21 decides for them: what the audit of flights needs, from one scan."""
     counted = quality.counted_flights(flights)
-    totals = {"uncontested": F.when(quality.contestable(), 0).otherwise(F.col("copies"))}
+    totals = {"uncontested": "IF(contested, 0, copies)"}
     return counted, quality.ordered_departures(counted, totals, apart=("copies", "times_swapped"))
 
 
