@@ -11,7 +11,9 @@ bounded size, and each (shard, block) is a task. A shard returns k rows for a qu
 and after the last shuffle.
 
 Vectors that are null, or hold null or non-finite components, and rows without vec_id take no part. Rows that repeat a vec_id
-are one vector, the smallest in component order. Vectors of different lengths are not compared; empty
+are candidates each, for each other too: only one row equal to the query in id and vector is its own. Rows equal in both are one entry with
+a number of copies, so a row repeated without end is no hot shard. Queries equal in both are one query; queries that share an id
+alone are answered each, under that id. Products are computed in floating point where they stay exact, else in whole numbers; scores are 64-bit. Vectors of different lengths are not compared; empty
 vectors are compared with each other, with score 0. Ties go to the smaller
 vec_id. An empty table gives an empty result.
 """
@@ -36,6 +38,8 @@ VECTORS_PER_SHARD = 1 << 13
 QUERIES_PER_BLOCK = 1 << 12
 #: Slack of the bounds for rounding; products are exact, square roots are not.
 SLACK = 1e-6
+#: Whole numbers up to this are exact in floating point.
+EXACT = 2.0**53
 
 
 def quantized(embeddings: DataFrame) -> DataFrame:
@@ -50,8 +54,9 @@ def quantized(embeddings: DataFrame) -> DataFrame:
 class MTree:
     """Pages of a tree over the rows of an integer matrix; the product with a query is the measure of nearness."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors.astype(np.float64)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray | None = None):
+        self.ids, self.whole, self.vectors = ids, vectors.astype(np.int64), vectors.astype(np.float64)
+        self.copies = np.ones(len(ids), dtype=np.int64) if copies is None else copies
         norms = (self.vectors**2).sum(axis=1)
         self.norm = float(norms.max())
         self.extra = np.sqrt(self.norm - norms)
@@ -82,9 +87,20 @@ class MTree:
         children = np.array([self._build(group, to) for to, group in kept], dtype=np.int64)
         return self._page(False, np.array([to for to, _ in kept], dtype=np.int64), radii, children, parent)
 
-    def search(self, own_id: int, query: np.ndarray, k: int) -> tuple[list[tuple[int, int]], int]:
-        """The k best (score, id), ties to the smaller id, without rows of own_id; and how many products were computed."""
-        length, computed = float(query @ query), 0
+    def _others(self, rows: np.ndarray, own_id: int, query: np.ndarray, k: int) -> np.ndarray:
+        """How many copies of each row can be among the k best of the query, which itself is one copy of its row."""
+        copies = self.copies[rows]
+        own = np.flatnonzero(self.ids[rows] == own_id)
+        if len(own):
+            copies = copies.copy()
+            copies[own] -= (self.whole[rows[own]] == query).all(axis=1)
+        return np.minimum(copies, k)
+
+    def search(self, own_id: int, whole: np.ndarray, k: int) -> tuple[list[tuple[int, int]], int]:
+        """The k best (score, id), ties to the smaller id, without one row equal to the query; and how many products were computed."""
+        query, computed = whole.astype(np.float64), 0
+        length = float(query @ query)
+        exact = length * self.norm < EXACT**2  # no product, and no part of its sum, is larger than the product of the lengths
         best_scores, best_ids = np.empty(0), np.empty(0, dtype=np.int64)
         reach = np.inf
         queue = [(0.0, 0, self.root, np.nan)]  # lower bound, order, page, distance to the page's parent
@@ -102,18 +118,21 @@ class MTree:
             products = vectors @ query
             computed += len(rows)
             if leaf:
+                if not exact:
+                    products = self.whole[rows].astype(object) @ whole.astype(object)
                 if len(best_scores) == k:
                     better = products >= best_scores[-1]
                     if not better.any():
                         continue
                     products, rows = products[better], rows[better]
-                other = self.ids[rows] != own_id
-                scores = np.concatenate([best_scores, products[other]])
-                ids = np.concatenate([best_ids, self.ids[rows][other]])
-                order = np.lexsort((ids, -scores))[:k]
+                copies = self._others(rows, own_id, whole, k)
+                scores = np.concatenate([best_scores, np.repeat(products, copies)])
+                ids = np.concatenate([best_ids, np.repeat(self.ids[rows], copies)])
+                order = np.lexsort((ids, -scores))[:k] if exact else sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k]
                 best_scores, best_ids = scores[order], ids[order]
                 if len(best_scores) == k:
-                    reach = np.sqrt(max(0.0, length + self.norm - 2 * best_scores[-1])) * (1 + SLACK) + SLACK
+                    reach = np.sqrt(max(0.0, length + self.norm - 2 * float(best_scores[-1]))) * (1 + SLACK)
+                    reach += SLACK * (1 + np.sqrt(length + self.norm))
             else:
                 distances = np.sqrt(np.maximum(0.0, length + self.norm - 2 * products))
                 bounds = np.maximum(0.0, distances - radii)
@@ -121,14 +140,15 @@ class MTree:
                     if low <= reach:
                         heapq.heappush(queue, (low, pushed, child, distance))
                         pushed += 1
-        return list(zip(best_scores.astype(np.int64).tolist(), best_ids.tolist(), strict=True)), computed
+        return list(zip(map(int, best_scores.tolist()), best_ids.tolist(), strict=True)), computed
 
     def to_row(self) -> dict:
         """The pages end to end, as binary columns."""
         names = ("rows", "radii", "children", "to_parent")
         return {
             "ids": self.ids.astype(np.int64).tobytes(),
-            "vectors": self.vectors.tobytes(),
+            "copies": self.copies.astype(np.int64).tobytes(),
+            "vectors": self.whole.tobytes(),
             "root": self.root,
             "leaves": np.array([page[0] for page in self.pages]).tobytes(),
             "sizes": np.array([len(page[1]) for page in self.pages], dtype=np.int64).tobytes(),
@@ -138,7 +158,9 @@ class MTree:
     def from_row(cls, row: pd.Series) -> MTree:
         tree = cls.__new__(cls)
         tree.ids = np.frombuffer(row["ids"], dtype=np.int64)
-        tree.vectors = np.frombuffer(row["vectors"], dtype=np.float64).reshape(len(tree.ids), int(row["dimension"]))
+        tree.copies = np.frombuffer(row["copies"], dtype=np.int64)
+        tree.whole = np.frombuffer(row["vectors"], dtype=np.int64).reshape(len(tree.ids), int(row["dimension"]))
+        tree.vectors = tree.whole.astype(np.float64)
         tree.norm, tree.root = float((tree.vectors**2).sum(axis=1).max()), int(row["root"])
         leaves = np.frombuffer(row["leaves"], dtype=bool)
         cuts = np.cumsum(np.frombuffer(row["sizes"], dtype=np.int64))[:-1]
@@ -150,21 +172,23 @@ class MTree:
 
 
 INDEX_SCHEMA = (
-    "dimension int, shard long, ids binary, vectors binary, root long, leaves binary, sizes binary, rows binary, "
+    "dimension int, shard long, ids binary, copies binary, vectors binary, root long, leaves binary, sizes binary, rows binary, "
     "radii binary, children binary, to_parent binary"
 )
 
 
 def _build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.assign(order=pdf["vector"].map(tuple)).sort_values(["vec_id", "order"]).drop_duplicates("vec_id")
+    pdf = pdf.sort_values("vec_id", kind="stable")
     dimension = int(pdf["dimension"].iloc[0])
-    tree = MTree(pdf["vec_id"].to_numpy(np.int64), np.array(pdf["order"].tolist(), dtype=np.int64).reshape(len(pdf), dimension))
+    vectors = np.array(pdf["vector"].tolist(), dtype=np.int64).reshape(len(pdf), dimension)
+    tree = MTree(pdf["vec_id"].to_numpy(np.int64), vectors, pdf["copies"].to_numpy(np.int64))
     return pd.DataFrame([{"dimension": dimension, "shard": pdf["shard"].iloc[0]} | tree.to_row()])
 
 
 def build_index(vectors: DataFrame, shards: int) -> DataFrame:
-    """One tree for each shard and vector length; kept as a written table by `top_k`."""
-    placed = vectors.withColumn("dimension", F.size("vector")).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
+    """One tree for each shard and vector length, of vec_id, vector, copies; kept as a written table by `top_k`."""
+    shard = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards))
+    placed = vectors.withColumn("dimension", F.size("vector")).withColumn("shard", shard)
     return placed.groupBy("dimension", "shard").applyInPandas(_build_shard, INDEX_SCHEMA)
 
 
@@ -173,10 +197,10 @@ def _search_shard(k: int):
         found = []
         for _, row in index.iterrows():
             tree = MTree.from_row(row)
-            for query_id, vector in zip(queries["query_id"].tolist(), queries["vector"], strict=True):
-                best, computed = tree.search(query_id, np.asarray(vector, dtype=np.float64), k)
-                found += [(query_id, vec_id, score, computed) for score, vec_id in best]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score", "computed"])
+            for query, query_id, vector in zip(queries["query"].tolist(), queries["query_id"].tolist(), queries["vector"], strict=True):
+                best, computed = tree.search(query_id, np.asarray(vector, dtype=np.int64), k)
+                found += [(query, query_id, vec_id, score, computed) for score, vec_id in best]
+        return pd.DataFrame(found, columns=["query", "query_id", "vec_id", "score", "computed"])
 
     return run
 
@@ -185,19 +209,21 @@ def top_k(
     vectors: DataFrame, queries: DataFrame, k: int = K, vectors_per_shard: int = VECTORS_PER_SHARD
 ) -> DataFrame:
     """query_id, rank, vec_id, score: of integer vectors (vec_id, vector), for queries of the same form."""
-    shards = shards_for(vectors.count(), vectors_per_shard)
-    blocks = shards_for(queries.count(), QUERIES_PER_BLOCK)
-    index = written(build_index(vectors, shards))
-    asked = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    entries = written(vectors.groupBy("vec_id", "vector").agg(F.count("*").alias("copies")))
+    asked = queries.select(F.col("vec_id").alias("query_id"), "vector").distinct()
+    asked = written(asked.withColumn("query", F.monotonically_increasing_id()))
+    shards = shards_for(entries.count(), vectors_per_shard)
+    blocks = shards_for(asked.count(), QUERIES_PER_BLOCK)
+    index = written(build_index(entries, shards))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)))
     asked = asked.withColumn("dimension", F.size("vector")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     trees = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keys, tasks = ["dimension", "shard", "block"], shards * blocks  # a task each: few bytes, but much work
     asked = asked.withColumn("shard", F.col("shard").cast("long"))
     trees = trees.withColumn("block", F.col("block").cast("long")).repartition(tasks, *keys)
     answers = trees.groupBy(*keys).cogroup(asked.repartition(tasks, *keys).groupBy(*keys))
-    rows = answers.applyInPandas(_search_shard(k), "query_id long, vec_id long, score long, computed long")
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    rows = answers.applyInPandas(_search_shard(k), "query long, query_id long, vec_id long, score long, computed long")
+    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = rows.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -210,13 +236,13 @@ def embedding_neighbours(embeddings: DataFrame, k: int = K, every: int = QUERY_E
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, min([CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]) AS q FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  SELECT row_number() OVER () AS own, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
-  GROUP BY vec_id
+), a AS (SELECT vec_id, q, min(own) AS own FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id, q
 ), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[]) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0
-), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  SELECT a.own, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[]) AS BIGINT) AS score
+  FROM a JOIN v b ON a.own <> b.own AND len(a.q) = len(b.q)
+), r AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
