@@ -1,18 +1,20 @@
 """Main text of web pages by wrapper induction.
 
 Pages of one host are parsed to trees, in which siblings of one kind (element and marks, numbers in them left out) fold into
-one node. Simple tree matching aligns the folded trees of a host's most frequent layouts one after another with a
-template, which takes in what it lacks; nodes that fewer than half of these pages have are pruned. Then every page of the
-host is aligned with the template. Nodes match by element, so a page's own ids and classes are no obstacle; equal marks
+one node. Simple tree matching aligns the folded trees of all layouts of a host one after another with a template, which
+takes in what it lacks; nodes that fewer than half of the host's pages have are pruned. Then every page of the host is
+aligned with the template. Nodes match by element, so a page's own ids and classes are no obstacle; equal marks
 only break ties. Text that stands at the same template node on nearly all different pages of the host is constant and belongs to
 the template; nodes whose text varies are slots. Slots in regions marked as menus, headers, footers, sidebars, notices,
 adverts, forms or comments, by element, role or class, or that consist of links, are dropped: no alignment can tell them from content. The
 other slots, inside the article where there is one, are content.
 
 Scale: three passes over the scan, in which pages are worked one by one. The first reduces each page to its layout and two
-hashes. A host's template comes from at most LAYOUTS layouts: a node that 90 % of the pages have is missing from all of
-them with a chance of 0.1^LAYOUTS, so the choice decides no constant text; those are counted over all pages, by a hash of
-node and text, 24 bytes each. Template and constants are joined to the pages by host: Spark broadcasts the written table if
+hashes. A host's template comes from all its layouts. Where they are more than LAYOUTS, batches of about LAYOUTS layouts of
+similar frequency give a template each, in tasks of their own. A node that half of all pages have is had by half of the
+pages of some batch, so no such node is lost when these templates are united, again in batches, until a host has one. All
+layouts are then aligned with it and its nodes counted, and those that fewer than half of the host's pages have go.
+Constant texts are counted over all pages, by a hash of node and text, 24 bytes each. Template and constants are joined to the pages by host: Spark broadcasts the written table if
 it is small, else it shuffles pages, and splits a host that holds too many of them. Matching a page costs at most its nodes
 times the template's, once for each layout in a batch; an element has at most CHILD_KINDS folded children.
 Pages differ by title; in hosts with fewer than CONSTANT_TITLES titles, by their text.
@@ -26,10 +28,11 @@ from __future__ import annotations
 
 import json
 import re
-from collections import defaultdict
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from html import unescape
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 
 from hangarline.llm.common import written
 
-#: A host's template is induced from so many of its layouts, the most frequent ones.
+#: So many layouts, as expected, are aligned in one batch; a host with more has several batches.
 LAYOUTS = 32
 #: An element with more kinds of children folds them by element alone, and with more elements, all into one.
 CHILD_KINDS = 64
@@ -263,15 +266,19 @@ def take_in(place: Place, tree: Place, weight: int, known: dict | None = None) -
     place.children = merged + place.children[at:]
 
 
-def induced(layouts: list[tuple[list, int]]) -> Place:
-    """The template of pages with these layouts and weights: what at least half of them have."""
+def united(layouts: list[tuple[list, int]]) -> Place:
+    """The template of pages with these layouts and weights: what any of them has."""
     template = Place("#root ")
     for layout, weight in sorted(layouts, key=lambda x: (-x[1], json.dumps(x[0]))):
         take_in(template, _place(layout), weight)
-    whole = sum(weight for _, weight in layouts)
+    return template
+
+
+def pruned(template: Place) -> Place:
+    """The template without nodes of less than half the weight of its root."""
 
     def prune(place: Place) -> None:
-        place.children = [child for child in place.children if 2 * child.weight >= whole]
+        place.children = [child for child in place.children if 2 * child.weight >= template.weight]
         for child in place.children:
             prune(child)
 
@@ -279,6 +286,11 @@ def induced(layouts: list[tuple[list, int]]) -> Place:
     return template
 
 
+def induced(layouts: list[tuple[list, int]]) -> Place:
+    """The template of pages with these layouts and weights: what at least half of them have."""
+    return pruned(united(layouts))
+
+
 class Template:
     """A numbered template; `assign` gives each node of a page the number of its template node."""
 
@@ -300,6 +312,24 @@ class Template:
 
         return number(self.root, _place(layout))
 
+    def found(self, layout: list) -> list[int]:
+        """The numbers of the template nodes that a layout has."""
+        out, stack = [], [self._numbers(layout)]
+        while stack:
+            number, below = stack.pop()
+            out.append(number)
+            stack += [x for x in below if x is not None]
+        return out
+
+    def pruned(self, weights: dict[int, int]) -> Place:
+        """The tree without nodes of less than half the weight of its root; weights are given by number."""
+        stack = [self.root]
+        while stack:
+            place = stack.pop()
+            place.weight = weights.get(place.number, 0)
+            stack += place.children
+        return pruned(self.root)
+
     def assign(self, root: Node) -> None:
         layout, nodes = folded(root)
         key = json.dumps(layout)
@@ -402,6 +432,36 @@ def main_text(root: Node, constants: set[int]) -> str:
     return "\n".join(block for block in blocks if block)
 
 
+def host_template(layouts: dict[str, int]) -> Place:
+    """The template of a host with these layouts and weights; the same rules as `host_templates`."""
+
+    def fold(trees: dict[str, int], by_weight: bool, join: Callable) -> dict[str, int]:
+        batches: dict[tuple[int, int], list[tuple[str, int]]] = defaultdict(list)
+        sizes = Counter(n.bit_length() if by_weight else 0 for n in trees.values())
+        for tree, n in trees.items():
+            size = n.bit_length() if by_weight else 0
+            one = len(trees) <= LAYOUTS
+            batches[(0, 0) if one else (size, crc32(tree.encode()) % -(-sizes[size] // LAYOUTS))].append((tree, n))
+        out: dict[str, int] = defaultdict(int)
+        for batch in batches.values():
+            place = join([(json.loads(tree), n) for tree, n in batch])
+            out[json.dumps(place.layout())] += place.weight
+        return out
+
+    trees = fold(layouts, True, induced)
+    several = len(trees) > 1
+    while len(trees) > 1:
+        trees = fold(trees, False, united)
+    template = Template(_place(json.loads(next(iter(trees)))))
+    if several:
+        weights: dict[int, int] = defaultdict(int)
+        for layout, n in layouts.items():
+            for number in template.found(json.loads(layout)):
+                weights[number] += n
+        return template.pruned(weights)
+    return template.root
+
+
 def extract_group(pages: list[str]) -> list[str]:
     """Main texts of the pages of one host, all of them given; the same rules as `main_texts`."""
     roots = [parse(html) for html in pages]
@@ -412,8 +472,7 @@ def extract_group(pages: list[str]) -> list[str]:
         layouts: dict[str, set[str]] = defaultdict(set)
         for root, content in zip(roots, contents, strict=True):
             layouts[json.dumps(folded(root)[0])].add(content)
-        first = sorted(layouts.items(), key=lambda x: (-len(x[1]), x[0]))[:LAYOUTS]
-        template = Template(induced([(json.loads(layout), len(x)) for layout, x in first]))
+        template = Template(host_template({layout: len(x) for layout, x in layouts.items()}))
         on: dict[int, set[str]] = defaultdict(set)
         for root, page in zip(roots, by_page, strict=True):
             template.assign(root)
@@ -455,18 +514,77 @@ def _page_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(found, columns=["host", "title", "content", "layout"])
 
 
-def _induce(key: tuple, layouts: pd.DataFrame) -> pd.DataFrame:
-    weighed = [(json.loads(layout), int(n)) for layout, n in zip(layouts["layout"], layouts["n"], strict=True)]
-    return pd.DataFrame({"host": [key[0]], "template": [json.dumps(induced(weighed).layout())]})
+def _join_batch(join: Callable) -> Callable:
+    def run(key: tuple, trees: pd.DataFrame) -> pd.DataFrame:
+        place = join([(json.loads(tree), int(n)) for tree, n in zip(trees["layout"], trees["n"], strict=True)])
+        return pd.DataFrame({"host": [key[0]], "layout": [json.dumps(place.layout())], "n": [place.weight]})
+
+    return run
+
+
+def _joined(trees: DataFrame, by_weight: bool, join: Callable) -> DataFrame:
+    """host, layout, n: the trees of each host joined in batches of about LAYOUTS; by_weight: weights differ by less than twice."""
+    trees = trees.withColumn("bits", F.length(F.bin("n")) if by_weight else F.lit(0))
+    sizes = trees.groupBy("host", "bits").agg(F.count("*").alias("trees"))
+    sizes = sizes.withColumn("all_trees", F.sum("trees").over(Window.partitionBy("host")))
+    one, batches = F.col("all_trees") <= LAYOUTS, F.ceil(F.col("trees") / LAYOUTS)
+    dealt = trees.join(sizes, ["host", "bits"]).select(
+        "host", "layout", "n", F.when(one, 0).otherwise(F.col("bits")).alias("bits"),
+        F.when(one, 0).otherwise(F.crc32("layout") % batches).alias("batch"),
+    )
+    batched = dealt.groupBy("host", "bits", "batch").applyInPandas(_join_batch(join), "host string, layout string, n long")
+    return written(batched.groupBy("host", "layout").agg(F.sum("n").alias("n")))
+
+
+def _most_trees(trees: DataFrame) -> int:
+    """How many trees the host with the most has."""
+    return trees.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+
+
+def _count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """host, number, n: the weight of the layouts that have a template node."""
+    for pdf in batches:
+        templates: dict[str, Template] = {}
+        weights: dict[tuple[str, int], int] = defaultdict(int)
+        for host, layout, n, tree in zip(pdf["host"], pdf["layout"], pdf["n"], pdf["template"], strict=True):
+            if tree not in templates:
+                templates[tree] = Template(_place(json.loads(tree)))
+            for number in templates[tree].found(json.loads(layout)):
+                weights[host, number] += n
+        yield pd.DataFrame([(*key, n) for key, n in weights.items()], columns=["host", "number", "n"])
+
+
+def _prune_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        out = []
+        for tree, numbers, weights in zip(pdf["template"], pdf["numbers"], pdf["weights"], strict=True):
+            place = Template(_place(json.loads(tree))).pruned(dict(zip(map(int, numbers), map(int, weights), strict=True)))
+            out.append(json.dumps(place.layout()))
+        yield pd.DataFrame({"host": pdf["host"], "template": out})
 
 
 def host_templates(kinds: DataFrame, hosts: DataFrame) -> DataFrame:
     """host, template, of hosts with enough different pages."""
     enough = hosts.where(F.col("pages") >= CONSTANT_TITLES).select("host")
-    layouts = kinds.groupBy("host", "layout").agg(F.count_distinct("content").alias("n"))
-    frequent = Window.partitionBy("host").orderBy(F.desc("n"), "layout")
-    first = layouts.withColumn("rank", F.row_number().over(frequent)).where(F.col("rank") <= LAYOUTS)
-    return first.join(enough, "host").groupBy("host").applyInPandas(_induce, "host string, template string")
+    layouts = kinds.join(enough, "host").groupBy("host", "layout").agg(F.count_distinct("content").alias("n"))
+    layouts = written(layouts)
+    trees = _joined(layouts, True, induced)
+    most = _most_trees(trees)
+    if most <= 1:
+        return trees.select("host", F.col("layout").alias("template"))
+    several = written(trees.groupBy("host").count().where("count > 1").select("host"))
+    alone = trees.join(several, "host", "left_anti").select("host", F.col("layout").alias("template"))
+    trees = trees.join(several, "host")
+    while most > 1:
+        trees = _joined(trees, False, united)
+        most = _most_trees(trees)
+    whole = trees.select("host", F.col("layout").alias("template"))
+    counted = layouts.join(whole, "host").mapInPandas(_count_batches, "host string, number long, n long")
+    counted = counted.groupBy("host", "number").agg(F.sum("n").alias("n"))
+    # Structs, so that number and weight stay side by side.
+    listed = counted.groupBy("host").agg(F.collect_list(F.struct("number", "n")).alias("found"))
+    weighed = whole.join(listed, "host").select("host", "template", F.col("found.number").alias("numbers"), F.col("found.n").alias("weights"))
+    return alone.union(weighed.mapInPandas(_prune_batches, "host string, template string"))
 
 
 class _Templates:
