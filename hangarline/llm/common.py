@@ -54,7 +54,11 @@ def text_parts(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
 
     Batches are bounded in rows; with this a task's working memory is bounded in bytes too.
     """
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    yield from size_parts(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), limit)
+
+
+def size_parts(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """The same cuts by the sizes of the texts alone."""
     before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     low = 0
     while low < len(sizes):

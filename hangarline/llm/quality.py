@@ -9,6 +9,7 @@ the others, scored by it, give the threshold of their language: a quantile of th
 Scale: texts are written once, compressed, to a table bucketed by chunk, and never shuffled. What is shuffled is one row
 for each chunk and distinct gram, so counting is complete before anything moves, and a gram that occurs in every
 document is one row a chunk. Chunks hold a bounded number of bytes (one longer document is a chunk of its own).
+A task works on a bounded part of its chunk at a time, so its arrays take far less memory than a chunk at once would.
 The counts, like the model, come from all trusted documents and grow with them; the model is never broadcast whole or collected.
 
 Null text counts as empty: nothing speaks against it and it is kept. A null lang is a language of its own; languages
@@ -31,10 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hangarline.llm.common import fresh_name, shards_for, shared_folder, text_parts, written
+from hangarline.llm.common import fresh_name, shards_for, shared_folder, size_parts, text_parts, written
 
 ORDER = 4
 CHUNK_BYTES = 16 << 20
+#: A task works on so many bytes of a chunk at a time, or on one longer document; its arrays take some 40 times that.
+PART_BYTES = 1 << 20
 DOCS_PER_BUCKET = 4096
 #: Of a trusted document: pmod(xxhash64(doc_id), FOLDS) = 0 calibrates, the others train.
 FOLDS = 5
@@ -85,12 +88,15 @@ def _grams(sizes: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The four-byte grams of each document between zero bytes, one for each byte and the end; where each begins."""
     starts = np.concatenate([[0], np.cumsum(sizes + ORDER)])[:-1]
     padded = np.zeros(int((sizes + ORDER).sum()), dtype=np.uint8)
-    source = np.frombuffer(text, dtype=np.uint8)
-    shift = starts + ORDER - 1 - np.concatenate([[0], np.cumsum(sizes)])[:-1]
-    padded[np.arange(len(source)) + np.repeat(shift, sizes)] = source
+    filled = np.ones(len(padded), dtype=bool)
+    for i in range(ORDER - 1):
+        filled[starts + i] = False
+    filled[starts + ORDER - 1 + sizes] = False
+    padded[filled] = np.frombuffer(text, dtype=np.uint8)
     grams = np.zeros(len(padded) - ORDER + 1, dtype=np.uint32)
     for i in range(ORDER):
-        grams = (grams << np.uint32(8)) | padded[i : len(padded) - ORDER + 1 + i]
+        grams <<= np.uint32(8)
+        grams |= padded[i : len(grams) + i]
     inside = np.ones(len(padded), dtype=bool)
     ends = starts + sizes + 1
     for i in range(ORDER - 1):
@@ -98,11 +104,13 @@ def _grams(sizes: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return grams[inside[: len(grams)]], np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
 
 
-def _chunk_grams(row: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _chunk_parts(row: pd.Series) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Documents of a chunk in parts of PART_BYTES: first and after by position, their grams, and where each begins."""
     sizes = np.frombuffer(row["sizes"], dtype=np.int64)
     text = zstandard.ZstdDecompressor().decompress(row["text"], max_output_size=int(sizes.sum()) or 1) if sizes.sum() else b""
-    grams, starts = _grams(sizes, text)
-    return grams, starts, sizes
+    text, ends = memoryview(text), np.concatenate([[0], np.cumsum(sizes)])
+    for low, high in size_parts(sizes, PART_BYTES):
+        yield low, high, *_grams(sizes[low:high], text[ends[low] : ends[high]])
 
 
 GRAM_SCHEMA = "chunk long, gram long, trained long"
@@ -112,12 +120,18 @@ def _count_grams(chunk: pd.DataFrame, training: pd.DataFrame) -> pd.DataFrame:
     """A chunk's distinct grams and how often each occurs in its training documents, given by position."""
     out = []
     for _, row in chunk.iterrows():
-        grams, _, sizes = _chunk_grams(row)
-        trains = np.zeros(len(sizes), dtype=bool)
+        trains = np.zeros(len(row["doc_ids"]), dtype=bool)
         trains[training["position"].to_numpy(np.int64)] = True
-        codes, distinct = pd.factorize(grams)
-        counts = np.bincount(codes[np.repeat(trains, sizes + 1)], minlength=len(distinct))
-        out.append(pd.DataFrame({"chunk": row["chunk"], "gram": distinct.astype(np.int64), "trained": counts}))
+        found, counts = [], []
+        for low, high, grams, starts in _chunk_parts(row):
+            codes, distinct = pd.factorize(grams)
+            lengths = np.diff(np.append(starts, len(grams)))
+            found.append(distinct.astype(np.int64))
+            counts.append(np.bincount(codes[np.repeat(trains[low:high], lengths)], minlength=len(distinct)))
+        codes, distinct = pd.factorize(np.concatenate(found))
+        trained = np.zeros(len(distinct), dtype=np.int64)
+        np.add.at(trained, codes, np.concatenate(counts))
+        out.append(pd.DataFrame({"chunk": row["chunk"], "gram": distinct, "trained": trained}))
     return pd.concat(out) if out else pd.DataFrame({"chunk": [], "gram": [], "trained": []})
 
 
@@ -195,14 +209,15 @@ def _score_chunk(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     answers = answers.sort_values("gram")
     known, logs = answers["gram"].to_numpy(np.int64), -np.log(answers["p"].to_numpy())
     for _, row in chunk.iterrows():
-        grams, starts, sizes = _chunk_grams(row)
-        codes, distinct = pd.factorize(grams)
-        at = np.searchsorted(known, distinct.astype(np.int64))
-        if len(distinct) and (at.max() >= len(known) or (known[at] != distinct).any()):
-            raise ValueError("a gram of the chunk has no probability")
-        nats = np.add.reduceat(logs[at][codes], starts) if len(starts) else np.empty(0)
+        sizes, nats = np.frombuffer(row["sizes"], dtype=np.int64), []
+        for _, _, grams, starts in _chunk_parts(row):
+            codes, distinct = pd.factorize(grams)
+            at = np.searchsorted(known, distinct.astype(np.int64))
+            if len(distinct) and (at.max() >= len(known) or (known[at] != distinct).any()):
+                raise ValueError("a gram of the chunk has no probability")
+            nats.append(np.add.reduceat(logs[at][codes], starts))
         ids = pd.array([None if x is None or x != x else int(x) for x in row["doc_ids"]], dtype="Int64")
-        out.append(pd.DataFrame({"doc_id": ids, "lang": row["langs"], "n_bytes": sizes, "nats": nats}))
+        out.append(pd.DataFrame({"doc_id": ids, "lang": row["langs"], "n_bytes": sizes, "nats": np.concatenate(nats)}))
     return pd.concat(out[1:] or out)
 
 
